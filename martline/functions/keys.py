@@ -6,13 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def hash_key(*columns: str | Column) -> Column:
-    """MD5 hex of the values joined by ``|``; a null counts as empty text."""
+def key_text(*columns: str | Column) -> Column:
+    """The values joined by ``|``; a null counts as empty text."""
     parts = []
     for c in columns:
         value = F.col(c) if isinstance(c, str) else c
         parts.append(F.coalesce(value.cast("string"), F.lit("")))
-    return F.md5(parts[0] if len(parts) == 1 else F.concat_ws("|", *parts))
+    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+
+
+def hash_key(*columns: str | Column) -> Column:
+    """MD5 hex of the key text."""
+    return F.md5(key_text(*columns))
 
 
 def is_blank(c: Column) -> Column:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martline.functions.casts import date_of, decimal_of, int_of, text_of
-from martline.functions.keys import hash_key, is_blank
+from martline.functions.keys import hash_key, is_blank, key_text
 from martline.operators.dedupe import dedupe_latest
-from martline.schemas import POS_ONLY, RAW_SALES
+from martline.schemas import POS_ONLY
 
 SALES_KEYS = ["order_id", "line_item_id"]
-SALES_COLUMNS = RAW_SALES.fieldNames()
 
 
 def _trimmed(df: DataFrame, *names: str, case=lambda c: c) -> list[Column]:
@@ -47,30 +49,22 @@ def stg_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def union_sales(batch: DataFrame, stream: DataFrame | None = None) -> DataFrame:
-    """Batch and stream lines under one schema, with an origin flag.
+def _typed(raw: DataFrame) -> DataFrame:
+    """Trim and type sales lines; missing stream-only columns become null.
 
-    Both sides are typed before the union, so neither is widened to text. The
-    raw key columns stay beside the typed ones: the line key hashes them as they
-    came in.
+    ``_key_text`` is what the line key hashes: the key columns as they came in.
+    It is shorter than the hash, so steps that move or sort lines carry it and
+    hash what is left.
     """
-    rows = normalise_sales(batch.withColumn("is_streaming", F.lit(0)))
-    if stream is None:
-        return rows
-    return rows.unionByName(normalise_sales(stream.withColumn("is_streaming", F.lit(1))))
-
-
-def normalise_sales(raw: DataFrame) -> DataFrame:
-    """Trim and type sales lines; missing stream-only columns become null."""
-    for name in POS_ONLY:
-        if name not in raw.columns:
-            raw = raw.withColumn(name, F.lit(None).cast("string"))
+    absent = {name: F.lit(None).cast("string") for name in POS_ONLY if name not in raw.columns}
     if "is_streaming" not in raw.columns:
-        raw = raw.withColumn("is_streaming", F.lit(0))
+        absent["is_streaming"] = F.lit(0)
+    if absent:
+        raw = raw.withColumns(absent)
     return raw.select(
         *_trimmed(raw, "order_id"),
         int_of(raw, "line_item_id").alias("line_item_id"),
-        hash_key(*SALES_KEYS).alias("order_line_sk"),
+        key_text(*SALES_KEYS).alias("_key_text"),
         *_trimmed(raw, "customer_id", "product_id"),
         date_of(raw, "order_date").alias("order_date"),
         date_of(raw, "ship_date").alias("ship_date"),
@@ -81,44 +75,87 @@ def normalise_sales(raw: DataFrame) -> DataFrame:
         *_trimmed(raw, "ship_state", "ship_country", case=F.upper),
         *_trimmed(raw, "channel", *POS_ONLY),
         "is_streaming",
-        F.col("line_item_id").isNull().alias("line_item_missing"),
+        F.col("line_item_id").isNull().alias("_line_missing"),
     )
 
 
+def _typed_union(batch: DataFrame, stream: DataFrame | None) -> DataFrame:
+    # Each side is typed before the union, so neither is widened to text.
+    rows = _typed(batch.withColumn("is_streaming", F.lit(0)))
+    if stream is None:
+        return rows
+    return rows.unionByName(_typed(stream.withColumn("is_streaming", F.lit(1))))
+
+
+def _keyed(typed: DataFrame, *extra: Column) -> DataFrame:
+    columns = [
+        F.md5(c).alias("order_line_sk") if c == "_key_text" else F.col(c)
+        for c in typed.columns
+        if c != "_line_missing"
+    ]
+    return typed.select(*columns, *extra)
+
+
+def normalise_sales(raw: DataFrame) -> DataFrame:
+    """Sales lines trimmed and typed, with the line key."""
+    return _keyed(_typed(raw))
+
+
+def union_sales(batch: DataFrame, stream: DataFrame | None = None) -> DataFrame:
+    """Batch and stream lines under one schema, with an origin flag."""
+    return _keyed(_typed_union(batch, stream))
+
+
 # Reasons to reject a line. A null measure breaks no rule: only keys must be present.
 def _rules(as_of: date) -> dict[str, Column]:
     return {
         "is_null_customer": is_blank(F.col("customer_id")),
-        "is_null_order_key": is_blank(F.col("order_id")) | F.col("line_item_missing"),
+        "is_null_order_key": is_blank(F.col("order_id")) | F.col("_line_missing"),
         "is_negative_quantity": F.col("quantity") < 0,
         "is_future_date": F.col("order_date") > F.lit(as_of),
         "is_zero_price": F.col("unit_price") <= 0,
     }
 
 
-def flag_sales(lines: DataFrame, as_of: date) -> DataFrame:
-    """Add one 0/1 flag per rule and their OR, ``is_bad_data_record``."""
+def _broken(rules: Iterable[Column]) -> Column:
+    return F.coalesce(reduce(or_, rules), F.lit(False))
+
+
+def _flags(as_of: date) -> list[Column]:
     rules = _rules(as_of)
-    flagged = lines.select(
-        *[c for c in lines.columns if c != "line_item_missing"],
-        *[F.when(rule, 1).otherwise(0).alias(name) for name, rule in rules.items()],
-    )
-    return flagged.withColumn("is_bad_data_record", F.greatest(*rules))
+    flags = [F.when(rule, 1).otherwise(0).alias(name) for name, rule in rules.items()]
+    return [*flags, F.when(_broken(rules.values()), 1).otherwise(0).alias("is_bad_data_record")]
+
+
+def flag_sales(batch: DataFrame, stream: DataFrame | None = None, *, as_of: date) -> DataFrame:
+    """All lines with one 0/1 flag per rule and their OR, ``is_bad_data_record``."""
+    return _keyed(_typed_union(batch, stream), *_flags(as_of))
+
+
+def _latest(clean: DataFrame) -> DataFrame:
+    return dedupe_latest(clean, SALES_KEYS, "order_date", SALES_TIES)
+
+
+def _clean(typed: DataFrame, as_of: date) -> DataFrame:
+    return typed.where(~_broken(_rules(as_of).values()))
 
 
 def stg_sales(batch: DataFrame, stream: DataFrame | None = None, *, as_of: date) -> DataFrame:
-    """Clean sales lines: one row, the latest, per order and line."""
-    flagged = flag_sales(union_sales(batch, stream), as_of)
-    clean = flagged.where(F.col("is_bad_data_record") == 0)
-    latest = dedupe_latest(clean, SALES_KEYS, "order_date", SALES_TIES)
-    return latest.withColumn("loaded_at", F.current_timestamp())
+    """Clean sales lines: one row, the latest, per order and line.
+
+    The flags of a clean line are all 0, so they are added to the result instead
+    of being carried through the shuffle.
+    """
+    latest = _latest(_clean(_typed_union(batch, stream), as_of))
+    zeros = [F.lit(0).alias(name) for name in [*_rules(as_of), "is_bad_data_record"]]
+    return _keyed(latest, *zeros, F.current_timestamp().alias("loaded_at"))
 
 
 # Order among lines with one key and date: the batch line first, then by value.
 SALES_TIES = ["is_streaming", "product_id", "ship_date", "quantity", "unit_price",
               "discount_amount", "customer_id", "channel", "ship_city", "ship_state",
               "ship_country", "store_id", "store_name", "pos_terminal_id", "payment_method",
-              "order_line_sk"]
+              "_key_text"]
 
 REJECT_FLAGS = ["is_null_customer", "is_negative_quantity", "is_future_date", "is_zero_price"]
 
@@ -132,20 +169,22 @@ def rejected_sales(
     keys and stream lines are recorded nowhere. ``complete=True`` covers the
     stream, the missing-key rule and the lines that lose the duplicate contest.
     """
+    reasons = REJECT_FLAGS
     if not complete:
-        flagged = flag_sales(normalise_sales(batch), as_of)
-        reasons = REJECT_FLAGS
-        rejected = flagged.where(F.greatest(*reasons) == 1)
+        tests = [rule for name, rule in _rules(as_of).items() if name in reasons]
+        typed = _typed(batch)
+        rejected = _keyed(typed.where(_broken(tests)), *_flags(as_of))
     else:
-        flagged = flag_sales(union_sales(batch, stream), as_of)
         reasons = [*REJECT_FLAGS, "is_null_order_key", "is_duplicate"]
-        bad = flagged.where("is_bad_data_record = 1").withColumn("is_duplicate", F.lit(0))
-        clean = flagged.where("is_bad_data_record = 0")
-        # Each key keeps exactly one line, so the surplus is all but one copy of the
-        # winner plus every other line: a multiset difference.
-        kept = dedupe_latest(clean, SALES_KEYS, "order_date", SALES_TIES)
-        surplus = clean.exceptAll(kept).withColumn("is_duplicate", F.lit(1))
-        rejected = bad.unionByName(surplus)
+        typed = _typed_union(batch, stream)
+        bad = typed.where(_broken(_rules(as_of).values()))
+        clean = _clean(typed, as_of)
+        # Every key keeps one line; the rest of its lines are the multiset difference,
+        # which Spark takes by counting equal rows.
+        surplus = clean.exceptAll(_latest(clean))
+        rejected = _keyed(bad, *_flags(as_of), F.lit(0).alias("is_duplicate")).unionByName(
+            _keyed(surplus, *_flags(as_of), F.lit(1).alias("is_duplicate"))
+        )
     return rejected.select(
         "order_id", "line_item_id", "order_line_sk", "customer_id", "product_id",
         "order_date", "ship_date", "quantity", "unit_price", "discount_amount", *reasons,

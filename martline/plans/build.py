@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -17,7 +19,7 @@ from martline.operators.joins import hot_keys, missing_days, orphan_rows
 from martline.operators.metrics import Thresholds, customer_metrics, product_metrics
 from martline.plans import dates, marts
 from martline.sources.files import MONTH, exists, load_table, read_table, save_table, upsert_increment
-from martline.sources.staging import stage
+from martline.sources.staging import stage, temporary_stages
 
 
 @dataclass(frozen=True)
@@ -156,59 +158,86 @@ def snapshot(current: DataFrame, key: str, tracked: Sequence[str], path: str, ru
     return save_table(scd2_merge(history, current, key, tracked, run_ts), path)
 
 
+def together(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent steps side by side, so that small ones fill idle executors."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, step) for step in steps]]
+
+
 def build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
-    """Run every layer and return its tables.
+    """Run every layer and return its tables, each stored under ``s.root``.
 
     The staging gate stops the build before any mart is touched; the mart gate
-    runs after the snapshots, since one check reads them. Sales lines and order
-    details are written once because several steps read them.
+    runs after the snapshots, since one check reads them. Order details are
+    staged because three marts start from them.
     """
-    tables: dict[str, DataFrame] = {}
+    with temporary_stages(spark):
+        return _build(spark, raw, s)
+
+
+def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     report: dict[str, int] = {}
+    tables: dict[str, DataFrame] = {}
 
-    def keep(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        tables[name] = save_table(df, s.path(name), partition_by)
-        return tables[name]
+    def keep(name: str, make: Callable[[], DataFrame], month: bool = False):
+        def step() -> DataFrame:
+            tables[name] = save_table(make(), s.path(name), MONTH if month else None)
+            return tables[name]
 
-    customers = keep("stg_customers", clean.stg_customers(raw.customers))
-    products = keep("stg_products", clean.stg_products(raw.products))
-    sales = keep("stg_sales", clean.stg_sales(raw.sales, raw.stream, as_of=s.as_of))
-    keep("stg_sales_rejected", clean.rejected_sales(raw.sales, as_of=s.as_of))
+        return step
+
+    customers, products, sales, _ = together(
+        keep("stg_customers", lambda: clean.stg_customers(raw.customers)),
+        keep("stg_products", lambda: clean.stg_products(raw.products)),
+        keep("stg_sales", lambda: clean.stg_sales(raw.sales, raw.stream, as_of=s.as_of)),
+        keep("stg_sales_rejected", lambda: clean.rejected_sales(raw.sales, as_of=s.as_of)),
+    )
     report |= quality.enforce(staging_checks(customers, products, sales, s))
 
-    hot_customers, hot_products = hot_keys(sales, "customer_id"), hot_keys(sales, "product_id")
-    details = stage(
-        order_details(sales, products, customers,
-                      hot_customers=hot_customers, hot_products=hot_products),
-        "order-details",
+    hot = {f"hot_{k}s": hot_keys(sales, f"{k}_id") for k in ("customer", "product")}
+    details = stage(order_details(sales, products, customers, **hot), "order-details")
+    customer_dim, product_dim, days = together(
+        keep("dim_customer", lambda: marts.dim_customer(
+            customers, customer_metrics(details, as_of=s.as_of, thresholds=s.thresholds),
+            as_of=s.as_of)),
+        keep("dim_product", lambda: marts.dim_product(
+            products, product_metrics(details), as_of=s.as_of)),
+        keep("dim_date", lambda: dates.dim_date(
+            dates.date_spine(spark, s.first_day, s.last_day))),
+    )
+
+    rows = marts.fact_sales(details, customer_dim, product_dim, days, **hot)
+    upsert_increment(rows, s.path("fact_sales"), full_refresh=s.full_refresh)
+    fact = tables["fact_sales"] = read_table(spark, s.path("fact_sales"))
+
+    def wide() -> DataFrame:
+        hot = {f"hot_{k}s": hot_keys(fact, f"{k}_sk") for k in ("customer", "product")}
+        obt = marts.obt_sales(fact, customer_dim, product_dim, days, **hot)
+        return obt.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
+
+    def versions(name: str, df: DataFrame, key: str, columns: list[str], tracked: list[str]):
+        def step() -> DataFrame:
+            path = s.path(name)
+            tables[name] = snapshot(df.select(*columns), key, tracked, path, s.run_ts)
+            return tables[name]
+
+        return step
+
+    _, history, _ = together(
+        keep("obt_sales", wide, month=True),
+        versions("snap_customers", customers, "customer_id",
+                 schemas.CUSTOMER_HISTORY, schemas.CUSTOMER_TRACKED),
+        versions("snap_products", products, "product_id",
+                 schemas.PRODUCT_HISTORY, schemas.PRODUCT_TRACKED),
     )
-    by_customer = customer_metrics(details, as_of=s.as_of, thresholds=s.thresholds)
-    customer_dim = keep("dim_customer", marts.dim_customer(customers, by_customer, as_of=s.as_of))
-    product_dim = keep("dim_product", marts.dim_product(products, product_metrics(details), as_of=s.as_of))
-    days = keep("dim_date", dates.dim_date(dates.date_spine(spark, s.first_day, s.last_day)))
-
-    fact_path = s.path("fact_sales")
-    fact_rows = marts.fact_sales(details, customer_dim, product_dim, days,
-                                 hot_customers=hot_customers, hot_products=hot_products)
-    upsert_increment(fact_rows, fact_path, full_refresh=s.full_refresh)
-    fact = tables["fact_sales"] = read_table(spark, fact_path)
-    wide = marts.obt_sales(fact, customer_dim, product_dim, days,
-                           hot_customers=hot_keys(fact, "customer_sk"),
-                           hot_products=hot_keys(fact, "product_sk"))
-    month = F.date_format("order_date", "yyyy-MM")
-    keep("obt_sales", wide.withColumn(MONTH, month), MONTH)
-
-    for name, df, key, columns, tracked in (
-        ("snap_customers", customers, "customer_id", schemas.CUSTOMER_HISTORY, schemas.CUSTOMER_TRACKED),
-        ("snap_products", products, "product_id", schemas.PRODUCT_HISTORY, schemas.PRODUCT_TRACKED),
-    ):
-        tables[name] = snapshot(df.select(*columns), key, tracked, s.path(name), s.run_ts)
 
     report |= quality.enforce(
         mart_checks(customer_dim, product_dim, days, fact, s)
         + source_checks(raw, s.as_of)
-        + history_checks(tables["snap_customers"])
+        + history_checks(history)
     )
     report |= quality.enforce(anomaly_checks(sales, s.as_of))
-    tables["gate_report"] = spark.createDataFrame(sorted(report.items()), "check string, violations bigint")
+    tables["gate_report"] = spark.createDataFrame(
+        sorted(report.items()), "check string, violations bigint"
+    )
     return tables

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPE: ContextVar[str | None] = ContextVar("martline_stages", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,13 +31,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder."""
+    root = _SCOPE.get() or f"{shared_folder(spark)}/martline/{spark.sparkContext.applicationId}"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a Parquet table and read it back.
 
     Later steps start from the written rows, so a lost executor never causes the
     upstream work to run again, and two readers always see the same values.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/martline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends.
+
+    Only for blocks whose results are written to tables of their own.
+    """
+    folder = new_path(spark, "scope")
+    token = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

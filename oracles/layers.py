@@ -126,7 +126,7 @@ customer_totals as (
     count(*) as total_line_items, sum(quantity)::bigint as total_units_purchased,
     sum(net_revenue) as total_revenue, sum(gross_revenue) as total_gross_revenue,
     sum(total_cost) as total_cost, sum(net_profit) as total_profit,
-    avg(profit_margin_pct) as avg_profit_margin_pct, avg(net_revenue) as avg_order_value,
+    avg(profit_margin_pct) as avg_profit_margin_pct, sum(net_revenue)::double / count(net_revenue) as avg_order_value,
     min(order_date) as first_order_date, max(order_date) as last_order_date,
     count(distinct product_id) as distinct_products_purchased,
     count(distinct (year(order_date), month(order_date))) as active_months
@@ -153,7 +153,8 @@ product_totals as (
     count(*) as total_line_items, sum(quantity)::bigint as total_units_sold,
     sum(net_revenue) as total_revenue, sum(gross_revenue) as total_gross_revenue,
     sum(total_cost) as total_cost, sum(net_profit) as total_profit,
-    avg(profit_margin_pct) as avg_profit_margin_pct, avg(net_revenue) as avg_revenue_per_order,
+    avg(profit_margin_pct) as avg_profit_margin_pct, sum(net_revenue)::double / count(net_revenue)
+      as avg_revenue_per_order,
     count(distinct customer_id) as unique_customers, min(order_date) as first_sale_date,
     max(order_date) as last_sale_date
   from details group by all

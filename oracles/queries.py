@@ -1,7 +1,6 @@
 """DuckDB SQL for each registered query.
 
-Money comes out as DOUBLE and means are rounded to six digits, as in
-``workload.comparable``.
+Money comes out as DOUBLE and means with six digits, as in ``workload.comparable``.
 """
 
 from __future__ import annotations
@@ -16,11 +15,16 @@ MART = partial(with_layers, as_of="2024-01-25", stream=True, unknown=False)
 CLEAN = partial(with_layers, as_of="2024-01-25", stream=True, batch="raw_sales")
 
 
+def six(value: str) -> str:
+    """Six digits, by the same arithmetic as ``workload.comparable``."""
+    return f"floor(({value}) * 1e6 + 0.5) / 1e6"
+
+
 def pick(plain: str, money: str = "", mean: str = "") -> str:
     """Select list: plain columns, decimals as DOUBLE, floats rounded."""
     parts = plain.split()
     parts += [f"{c}::double as {c}" for c in money.split()]
-    parts += [f"round({c}, 6) as {c}" for c in mean.split()]
+    parts += [f"{six(c)} as {c}" for c in mean.split()]
     return ", ".join(parts)
 
 
@@ -181,12 +185,12 @@ union all select year, 'Cyber Monday', friday + 3 from fridays""",
   select *, november + ((12 - dayofweek(november)) % 7 + 21)::int as friday,
     strftime(order_date, '%m%d') as md from days
 )
-select order_date, count(*) as lines, round(avg(quantity), 6) as avg_quantity,
-  round(least(2.5,
+select order_date, count(*) as lines, floor((avg(quantity)) * 1e6 + 0.5) / 1e6 as avg_quantity,
+  floor((least(2.5,
     [0.7, 0.8, 0.9, 1.0, 1.0, 1.0, 1.1, 1.0, 1.1, 1.2, 1.5, 1.8][month(order_date)]::double
     * [0.8, 1.0, 1.1, 1.1, 1.2, 1.0, 0.7][isodow(order_date)]::double
     + case md when '0101' then 0.3 when '0214' then 0.2 when '1225' then 0.5 else 0 end
-    + if(order_date = friday, 0.8, 0) + if(order_date = friday + 3, 0.4, 0))::double, 6)
+    + if(order_date = friday, 0.8, 0) + if(order_date = friday + 3, 0.4, 0))::double) * 1e6 + 0.5) / 1e6
     as seasonality_index
 from marked group by order_date, md, friday"""),
     "available_on": CLEAN("""
@@ -230,7 +234,7 @@ select * replace (unit_price::double as unit_price, discount_amount::double as d
   list_price::double as list_price, standard_cost::double as standard_cost,
   gross_revenue::double as gross_revenue, net_revenue::double as net_revenue,
   total_cost::double as total_cost, gross_profit::double as gross_profit,
-  net_profit::double as net_profit, round(profit_margin_pct, 6) as profit_margin_pct,
+  net_profit::double as net_profit, floor((profit_margin_pct) * 1e6 + 0.5) / 1e6 as profit_margin_pct,
   customer_total_revenue::double as customer_total_revenue,
   product_list_price::double as product_list_price,
   product_standard_cost::double as product_standard_cost)
@@ -278,7 +282,7 @@ group by product_id"""),
         "select order_id, line_item_id, unit_price::double as unit_price from lines where unit_price <= 0"
     ),
     "margins_out_of_range": FULL("""
-select order_line_sk, order_id, round(profit_margin_pct, 6) as profit_margin_pct from details
+select order_line_sk, order_id, floor((profit_margin_pct) * 1e6 + 0.5) / 1e6 as profit_margin_pct from details
 where abs(profit_margin_pct) > 100"""),
     "freshness": MART("""
 select source, max_date, date '2024-01-25' as today,
@@ -306,18 +310,18 @@ from (select order_line_sk, order_date, quantity, (unit_price + 1)::decimal(10,2
       where order_line_sk not in (select order_line_sk from second_load))"""),
     "stream_totals": CLEAN("""
 select count(*) as total_events,
-  round(coalesce(sum(quantity * unit_price - discount_amount), 0), 6) as total_revenue,
-  round(coalesce(avg(quantity * unit_price - discount_amount), 0), 6) as avg_order_value
+  floor((coalesce(sum(quantity * unit_price - discount_amount), 0)) * 1e6 + 0.5) / 1e6 as total_revenue,
+  floor((coalesce(avg(quantity * unit_price - discount_amount), 0)) * 1e6 + 0.5) / 1e6 as avg_order_value
 from raw_stream"""),
     "store_breakdown": CLEAN("""
 select store_id, store_name, ship_city, count(*) as events,
-  round(sum(quantity * unit_price - discount_amount), 6) as revenue,
-  round(avg(quantity * unit_price - discount_amount), 6) as aov,
+  floor((sum(quantity * unit_price - discount_amount)) * 1e6 + 0.5) / 1e6 as revenue,
+  floor((avg(quantity * unit_price - discount_amount)) * 1e6 + 0.5) / 1e6 as aov,
   strftime(max(created_at), '%Y-%m-%d %H:%M:%S.%f') as last_event
 from raw_stream group by all"""),
     "recent_events": CLEAN("""
 select event_id, store_name, pos_terminal_id, order_id, product_id, quantity,
-  round(quantity * unit_price - discount_amount, 6) as net_amount, channel, payment_method,
+  floor((quantity * unit_price - discount_amount) * 1e6 + 0.5) / 1e6 as net_amount, channel, payment_method,
   strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') as created_at
 from raw_stream order by raw_stream.created_at desc, event_id limit 8"""),
     "with_defaults": CLEAN("""
@@ -325,10 +329,10 @@ select event_id, 1::bigint as line_item_id,
   if(channel = 'POS_Retail', discount_amount, 0) as discount_amount from raw_stream"""),
     "append_new": CLEAN("""
 select event_id, order_date,
-  round(if(order_date < date '2024-01-11', unit_price, unit_price + 1), 6) as unit_price
+  floor((if(order_date < date '2024-01-11', unit_price, unit_price + 1)) * 1e6 + 0.5) / 1e6 as unit_price
 from raw_stream"""),
     "ingest": CLEAN("""
-select event_id, store_id, quantity, round(unit_price, 6) as unit_price,
+select event_id, store_id, quantity, floor((unit_price) * 1e6 + 0.5) / 1e6 as unit_price,
   strftime(created_at, '%Y-%m-%d %H:%M:%S.000000') as created_at
 from raw_stream where store_id not in ('STORE-102', 'STORE-103')"""),
 }
@@ -348,7 +352,7 @@ _MESSAGE = """
 SQL["to_messages"] = CLEAN(_MESSAGE + " select store_id as key, message as value from messages")
 SQL["decode_messages"] = CLEAN(_MESSAGE + """
 select if(ok, event_id, null) as event_id, if(ok, order_date, null) as order_date,
-  if(ok, quantity, null) as quantity, if(ok, round(unit_price, 6), null) as unit_price,
+  if(ok, quantity, null) as quantity, if(ok, floor((unit_price) * 1e6 + 0.5) / 1e6, null) as unit_price,
   if(ok, strftime(created_at, '%Y-%m-%d %H:%M:%S.000000'), null) as created_at,
   case store_id when 'STORE-102' then left(message, 40) when 'STORE-103' then '[' || message || ']'
     else message end as value,

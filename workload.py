@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 from decimal import Decimal
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ from martline.operators.ranking import global_rank
 from martline.plans import build as building
 from martline.plans import cards, dates, marts
 from martline.sources import files, retail
-from martline.sources.staging import shared_folder, stage
+from martline.sources.staging import new_path, stage
 from martline.streaming import ingest as streams
 from martline.streaming import live
 
@@ -67,7 +66,8 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(kind, T.DecimalType):
             c = c.cast("double")
         elif isinstance(kind, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 6)
+            # Plain arithmetic: ROUND treats a half differently from engine to engine.
+            c = F.floor(c * 1e6 + 0.5) / 1e6
         elif isinstance(kind, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         columns.append(c.alias(f.name))
@@ -154,16 +154,11 @@ def _raw(spark: SparkSession, d: str) -> building.Raw:
     )
 
 
-def _new_path(spark: SparkSession, name: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/martline/{app}/{name}-{uuid4().hex}"
-
-
 def warehouse(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The tables of one full build over the data folder."""
 
     def make() -> dict[str, DataFrame]:
-        return building.build(spark, _raw(spark, d), _settings(_new_path(spark, "warehouse")))
+        return building.build(spark, _raw(spark, d), _settings(new_path(spark, "warehouse")))
 
     return _once(spark, d, "warehouse", make)
 
@@ -213,12 +208,12 @@ def _as_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def normalise_sales(spark, d):
-    return clean.normalise_sales(_as_text(spark, d)).drop("line_item_missing")
+    return clean.normalise_sales(_as_text(spark, d))
 
 
 @query
 def flag_sales(spark, d):
-    flagged = clean.flag_sales(clean.normalise_sales(_as_text(spark, d)), BATCH_DAY)
+    flagged = clean.flag_sales(_as_text(spark, d), as_of=BATCH_DAY)
     flags = [c for c in flagged.columns if c.startswith("is_")]
     return flagged.groupBy(*flags).agg(F.count("*").alias("lines"))
 
@@ -392,10 +387,14 @@ def dim_product(spark, d):
     return _model(spark, d)[2]
 
 
-def _fact(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _hot(lines: DataFrame, suffix: str) -> dict[str, DataFrame]:
+    return {f"hot_{k}s": hot_keys(lines, f"{k}_{suffix}") for k in ("customer", "product")}
+
+
+def _fact(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     lines, customers, products = _model(spark, d)
-    hot = {f"hot_{k}s": hot_keys(lines, f"{k}_id") for k in ("customer", "product")}
-    return marts.fact_sales(lines, customers, products, _days(spark), **hot), customers, products
+    fact = marts.fact_sales(lines, customers, products, _days(spark), **_hot(lines, "id"))
+    return fact, customers, products, lines
 
 
 @query
@@ -405,10 +404,8 @@ def fact_sales(spark, d):
 
 @query
 def obt_sales(spark, d):
-    fact, customers, products = _fact(spark, d)
-    fact = stage(fact, "fact")
-    hot = {f"hot_{k}s": hot_keys(fact, f"{k}_sk") for k in ("customer", "product")}
-    return marts.obt_sales(fact, customers, products, _days(spark), **hot)
+    fact, customers, products, lines = _fact(spark, d)
+    return marts.obt_sales(fact, customers, products, _days(spark), **_hot(lines, "sk"))
 
 
 # --- joins and checks ----------------------------------------------------------------
@@ -428,7 +425,7 @@ def orphan_lines(spark, d):
 
 @query
 def orphan_report(spark, d):
-    fact, customers, products = _fact(spark, d)
+    fact, customers, products, _ = _fact(spark, d)
     return quality.orphan_report(fact, {"customer_sk": customers, "product_sk": products})
 
 
@@ -533,7 +530,7 @@ def mart_gate(spark, d):
 @query
 def upsert_increment(spark, d):
     """A fact loaded to the end of 2000, then brought up to date after a price change."""
-    path = _new_path(spark, "fact")
+    path = new_path(spark, "fact")
     first = clean.stg_sales(_dirty(spark, d), as_of=date(2000, 12, 31))
     files.upsert_increment(first.drop("loaded_at"), path)
     second = clean.stg_sales(_dirty(spark, d), as_of=BATCH_DAY).withColumn(
@@ -700,7 +697,7 @@ def with_defaults(spark, d):
 @query
 def append_new(spark, d):
     """Events stored up to a day; then all events come twice, at a higher price."""
-    path = _new_path(spark, "events")
+    path = new_path(spark, "events")
     events = retail.raw_sales_stream(spark, d)
     streams.append_new(events.where(F.col("order_date") < date(2024, 1, 11)), path)
     again = events.withColumn("unit_price", F.col("unit_price") + 1)
@@ -712,7 +709,7 @@ def append_new(spark, d):
 @query
 def ingest(spark, d):
     """Messages written as text files and drained by the streaming query, twice over."""
-    inbox, table, state = (_new_path(spark, n) for n in ("inbox", "events", "checkpoint"))
+    inbox, table, state = (new_path(spark, n) for n in ("inbox", "events", "checkpoint"))
     _mixed_messages(spark, d).write.text(inbox)
     for _ in range(2):
         messages = streams.read_pos_stream(spark, "files", path=inbox)

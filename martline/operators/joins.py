@@ -44,18 +44,21 @@ def left_join(
     hot: DataFrame | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Left equi-join that splits hot keys of ``left``.
+    """Left equi-join that splits the ``hot`` keys of ``left`` (see ``hot_keys``).
 
     A right side whose estimated size is within the broadcast limit is left to
     Catalyst, which broadcasts it. Otherwise each hot key is cut into as many
     parts as it needs: left rows take a part by the hash of ``spread_by`` and
     only the right rows of hot keys are repeated per part. Left rows without a
-    key match nothing and are spread the same way.
+    key match nothing and are spread the same way. Count ``hot`` on a written
+    table: the join reads it for both sides. Without it the join is a plain one
+    and relies on the adaptive skew split.
     """
-    if estimated_bytes(right) <= (broadcast_limit(left) if limit is None else limit):
+    small = estimated_bytes(right) <= (broadcast_limit(left) if limit is None else limit)
+    if small or hot is None:
         return left.join(right, key, "left")
     pieces = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left, key) if hot is None else hot)
+    hot = F.broadcast(hot)
     salts = F.when(F.col(key).isNull(), pieces).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_left = left.join(hot, key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")

@@ -1,0 +1,44 @@
+"""Every registered query against its DuckDB answer on the smallest data folder."""
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+
+import __spark_entry__ as entry
+
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for file in TESTDATA.glob("*.parquet"):
+        con.execute(f"create view {file.stem} as select * from '{file}'")
+    return con
+
+
+def test_only_hashed_assignment_has_no_sql():
+    assert set(QUERIES) - set(SQL) == {"assign_hashed"}
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, db, name):
+    df = QUERIES[name](spark, str(TESTDATA))
+    answer = db.execute(SQL[name])
+    types = {d[0]: str(d[1]) for d in answer.description}
+    assert {f.name: NAMES[f.dataType.simpleString()] for f in df.schema} == types
+    columns = sorted(types)
+    place = {d[0]: i for i, d in enumerate(answer.description)}
+    expected = sorted((tuple(r[place[c]] for c in columns) for r in answer.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr) == expected
+
+
+def test_flagship(spark):
+    assert entry.entry(spark).count() > 0
+
+
+def test_hashed_assignment_covers_all_customers(spark, db):
+    assigned = QUERIES["assign_hashed"](spark, str(TESTDATA)).collect()
+    assert sum(r.customers for r in assigned) == db.execute("select count(*) from customer").fetchone()[0]

@@ -126,32 +126,42 @@ def sales_profile(sales: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """Named checks of one severity: ``counts`` has columns ``check`` and ``violations``."""
+    """Named checks: ``counts`` has columns ``check``, ``severity`` and ``violations``."""
 
-    severity: str
     counts: DataFrame
 
 
-def rules(severity: str, table: str, df: DataFrame, conditions: Mapping[str, Column]) -> Check:
-    """Row rules of one table, counted in one pass."""
-    named = {f"{table}.{name}": rule for name, rule in conditions.items()}
-    return Check(severity, count_where(df, named))
-
-
-def not_null(table: str, df: DataFrame, columns: Sequence[str]) -> Check:
-    return rules(ERROR, table, df, {f"{c}.not_null": F.col(c).isNull() for c in columns})
+def rules(
+    table: str,
+    df: DataFrame,
+    *,
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Sequence] | None = None,
+    errors: Mapping[str, Column] | None = None,
+    warnings: Mapping[str, Column] | None = None,
+) -> Check:
+    """All row rules of one table, counted in one pass. ``errors`` and ``warnings``
+    are true for rows that break the rule."""
+    conditions = {f"{c}.not_null": F.col(c).isNull() for c in not_null}
+    for column, values in (accepted or {}).items():
+        conditions[f"{column}.accepted"] = ~F.col(column).isin(list(values))
+    conditions |= {**(errors or {}), **(warnings or {})}
+    counts = count_where(df, {f"{table}.{name}": rule for name, rule in conditions.items()})
+    soft = [f"{table}.{name}" for name in warnings or {}]
+    return Check(counts.withColumn("severity", F.when(F.col("check").isin(soft), WARN).otherwise(ERROR)))
 
 
 def violations(severity: str, name: str, rows: DataFrame) -> Check:
     """A check whose result rows are the violations."""
     counted = rows.agg(F.count("*").alias("violations"))
-    return Check(severity, counted.select(F.lit(name).alias("check"), "violations"))
+    labels = F.lit(name).alias("check"), F.lit(severity).alias("severity")
+    return Check(counted.select(*labels, "violations"))
 
 
 def run_gate(checks: Sequence[Check]) -> DataFrame:
     """Report of all checks: ``check``, ``severity``, ``violations``."""
-    reports = [c.counts.withColumn("severity", F.lit(c.severity)) for c in checks]
-    return reduce(DataFrame.unionByName, reports).select("check", "severity", "violations")
+    reports = reduce(DataFrame.unionByName, [c.counts for c in checks])
+    return reports.select("check", "severity", "violations")
 
 
 def enforce(checks: Sequence[Check]) -> dict[str, int]:

@@ -50,27 +50,35 @@ class Settings:
         return f"{self.root}/{table}"
 
 
+def _unique(*columns: tuple[str, DataFrame, str]) -> list[quality.Check]:
+    return [
+        quality.violations(quality.ERROR, f"{table}.{c}.unique", quality.check_unique(df, c))
+        for table, df, c in columns
+    ]
+
+
+def _related(table: str, df: DataFrame, *links: tuple[str, DataFrame, str]) -> list[quality.Check]:
+    return [
+        quality.violations(quality.ERROR, f"{table}.{c}.relationship", quality.check_fk(df, c, *parent))
+        for c, *parent in links
+    ]
+
+
 def staging_checks(
     customers: DataFrame, products: DataFrame, sales: DataFrame, s: Settings
 ) -> list[quality.Check]:
     q = quality
     return [
-        q.not_null("stg_customers", customers, ["customer_sk", "customer_id", "email", "cohort"]),
-        q.not_null("stg_products", products, ["product_sk", "product_id", "product_name", "list_price"]),
-        q.not_null("stg_sales", sales, ["order_line_sk", "order_id", "quantity", "unit_price"]),
-        *[q.violations(q.ERROR, f"{t}.{c}.unique", q.check_unique(df, c)) for t, df, c in (
-            ("stg_customers", customers, "customer_sk"),
-            ("stg_customers", customers, "customer_id"),
-            ("stg_products", products, "product_sk"),
-            ("stg_products", products, "product_id"),
-            ("stg_sales", sales, "order_line_sk"),
-        )],
-        q.violations(q.ERROR, "stg_customers.cohort.accepted",
-                     q.check_values(customers, "cohort", s.cohorts)),
-        q.violations(q.ERROR, "stg_sales.customer_id.relationship",
-                     q.check_fk(sales, "customer_id", customers, "customer_id")),
-        q.violations(q.ERROR, "stg_sales.product_id.relationship",
-                     q.check_fk(sales, "product_id", products, "product_id")),
+        q.rules("stg_customers", customers, not_null=["customer_sk", "customer_id", "email", "cohort"],
+                accepted={"cohort": s.cohorts}),
+        q.rules("stg_products", products,
+                not_null=["product_sk", "product_id", "product_name", "list_price"]),
+        q.rules("stg_sales", sales, not_null=["order_line_sk", "order_id", "quantity", "unit_price"]),
+        *_unique(("stg_customers", customers, "customer_sk"), ("stg_customers", customers, "customer_id"),
+                 ("stg_products", products, "product_sk"), ("stg_products", products, "product_id"),
+                 ("stg_sales", sales, "order_line_sk")),
+        *_related("stg_sales", sales, ("customer_id", customers, "customer_id"),
+                  ("product_id", products, "product_id")),
     ]
 
 
@@ -80,34 +88,22 @@ def mart_checks(
     q = quality
     in_range = F.col("profit_margin_pct").between(-100, 100)
     return [
-        q.not_null("dim_customer", customers, ["customer_sk", "customer_id", "email", "cohort"]),
-        q.not_null("dim_product", products, ["product_sk", "product_id", "product_name", "list_price"]),
-        q.not_null("dim_date", days, ["date_sk", "date_actual", "year"]),
-        q.not_null("fact_sales", fact, [
-            "order_line_sk", "customer_sk", "product_sk", "order_date_sk", "order_id", "quantity",
-            "unit_price", "net_revenue", "channel", "profit_margin_pct"]),
-        *[q.violations(q.ERROR, f"{t}.{c}.unique", q.check_unique(df, c)) for t, df, c in (
-            ("dim_customer", customers, "customer_sk"),
-            ("dim_customer", customers, "customer_id"),
-            ("dim_product", products, "product_sk"),
-            ("dim_product", products, "product_id"),
-            ("dim_date", days, "date_sk"),
-            ("dim_date", days, "date_actual"),
-            ("fact_sales", fact, "order_line_sk"),
-        )],
-        *[q.violations(q.ERROR, f"fact_sales.{c}.relationship", q.check_fk(fact, c, parent, pc))
-          for c, parent, pc in (
-            ("customer_sk", customers, "customer_sk"),
-            ("product_sk", products, "product_sk"),
-            ("order_date_sk", days, "date_sk"),
-        )],
-        q.rules(q.ERROR, "dim_customer", customers, {
-            "income_bracket.accepted": ~F.col("income_bracket").isin(list(s.income_brackets))}),
-        q.rules(q.ERROR, "fact_sales", fact, {
-            "quantity.accepted": ~F.col("quantity").isin(list(s.quantities)),
-            "channel.accepted": ~F.col("channel").isin(list(s.channels)),
-            "is_bad_data_record.accepted": ~F.col("is_bad_data_record").isin(0, 1)}),
-        q.rules(q.WARN, "fact_sales", fact, {"margin_range": ~in_range}),
+        q.rules("dim_customer", customers, not_null=["customer_sk", "customer_id", "email", "cohort"],
+                accepted={"income_bracket": s.income_brackets}),
+        q.rules("dim_product", products,
+                not_null=["product_sk", "product_id", "product_name", "list_price"]),
+        q.rules("dim_date", days, not_null=["date_sk", "date_actual", "year"]),
+        q.rules("fact_sales", fact,
+                not_null=["order_line_sk", "customer_sk", "product_sk", "order_date_sk", "order_id",
+                          "quantity", "unit_price", "net_revenue", "channel", "profit_margin_pct"],
+                accepted={"quantity": s.quantities, "channel": s.channels, "is_bad_data_record": [0, 1]},
+                warnings={"margin_range": ~in_range}),
+        *_unique(("dim_customer", customers, "customer_sk"), ("dim_customer", customers, "customer_id"),
+                 ("dim_product", products, "product_sk"), ("dim_product", products, "product_id"),
+                 ("dim_date", days, "date_sk"), ("dim_date", days, "date_actual"),
+                 ("fact_sales", fact, "order_line_sk")),
+        *_related("fact_sales", fact, ("customer_sk", customers, "customer_sk"),
+                  ("product_sk", products, "product_sk"), ("order_date_sk", days, "date_sk")),
         q.violations(q.WARN, "fact_sales.customer_orphans", orphan_rows(
             fact.select("order_line_sk", "customer_sk"), customers, "customer_sk")),
         q.violations(q.WARN, "fact_sales.dimensions_complete", q.orphan_report(
@@ -122,7 +118,7 @@ def anomaly_checks(sales: DataFrame, as_of: date) -> list[quality.Check]:
     q = quality
     return [
         q.violations(q.ERROR, "sales.duplicate_lines", q.duplicates(sales, clean.SALES_KEYS)),
-        q.rules(q.ERROR, "sales", sales, {
+        q.rules("sales", sales, errors={
             "future_dates": F.col("order_date") > F.lit(as_of),
             "negative_quantity": F.col("quantity") < 0,
             "zero_price": F.col("unit_price") <= 0}),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +88,17 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
+def _writer(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
+    """Writer that gathers the rows of each partition value before writing.
+
+    Without that every task would write a file per value. Rebalancing merges small
+    values into one task and splits a value that is too much for one.
+    """
+    if partition_by is None:
+        return df.write
+    return df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
+
+
 # --- tables replaced as a whole -------------------------------------------------
 
 
@@ -99,8 +111,7 @@ def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> Dat
     """
     spark = df.sparkSession
     version = f"version-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(f"{path}/{version}")
+    _writer(df, partition_by).parquet(f"{path}/{version}")
     pointer = f"{path}/{_POINTER}"
     previous = _read_text(spark, pointer).split("\n")[0] if exists(spark, pointer) else None
     _write_text(spark, pointer, f"{version}\n{df.schema.json()}")
@@ -118,8 +129,6 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _struct(text: str) -> T.StructType:
-    import json
-
     return T.StructType.fromJson(json.loads(text))
 
 
@@ -194,8 +203,8 @@ def upsert_increment(
     month = F.date_format(F.col(watermark), "yyyy-MM")
     rows = rows.withColumn(MONTH, month)
     if full_refresh or not exists(spark, f"{path}/{_SCHEMA}"):
-        whole = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        whole.partitionBy(MONTH).parquet(path)
+        whole = _writer(rows, MONTH).mode("overwrite")
+        whole.option("partitionOverwriteMode", "static").parquet(path)
         _write_text(spark, f"{path}/{_SCHEMA}", rows.schema.json())
         return
     target = read_table(spark, path)
@@ -210,7 +219,8 @@ def upsert_increment(
     merged = stage(merge_rows(target.where(in_touched), increment, key), "merged")
     # The wider schema goes first: readers fill a column that older files lack with null.
     _write_text(spark, f"{path}/{_SCHEMA}", merged.schema.json())
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    months = _writer(merged, MONTH).mode("overwrite")
+    months.option("partitionOverwriteMode", "dynamic").parquet(path)
     filled = {r[0] for r in merged.select(MONTH).distinct().collect()}
     for gone in set(touched) - filled:
         _delete(spark, f"{path}/{MONTH}={gone or '__HIVE_DEFAULT_PARTITION__'}")

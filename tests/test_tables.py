@@ -10,6 +10,15 @@ from martline.sources import files
 from martline.sources.staging import stage, temporary_stages
 
 D = date(2024, 3, 31)
+
+
+def test_month_tables_are_gathered_before_writing(spark, tmp_path):
+    rows_ = spark.range(0, 1000, 1, 8).selectExpr(
+        "cast(id as string) as order_line_sk", "date_add(date'2024-01-01', int(id % 90)) as order_date")
+    files.upsert_increment(rows_, str(tmp_path / "fact"))
+    per_month = [len(list(m.glob("*.parquet"))) for m in (tmp_path / "fact").glob("sale_month=*")]
+    assert per_month == [1, 1, 1]
+
 FACT = "order_line_sk string, order_date date, unit_price double"
 
 

@@ -21,9 +21,8 @@ import workload  # noqa: E402
 from martline.session import spark_session  # noqa: E402
 
 MODELS = [
-    "stg_sales", "stg_sales_with_stream", "rejected_sales", "details",
-    "customer_totals_and_segments", "product_metrics_ranked", "rank_lines",
-    "seasonality_index", "check_fk", "scd2_customers", "append_new",
+    "stg_sales", "stg_sales_with_stream", "rejected_sales", "order_details", "customer_metrics",
+    "product_metrics", "global_rank", "seasonality_index", "check_fk", "scd2_merge", "append_new",
 ]
 CARDS = [
     "kpi_revenue", "kpi_orders", "daily_revenue", "revenue_by_category", "top_products",

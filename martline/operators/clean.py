@@ -14,6 +14,7 @@ from martline.functions.casts import date_of, decimal_of, int_of, text_of
 from martline.functions.keys import hash_key, is_blank, key_text
 from martline.operators.dedupe import dedupe_latest
 from martline.schemas import POS_ONLY
+from martline.sources.staging import stage
 
 SALES_KEYS = ["order_id", "line_item_id"]
 
@@ -132,10 +133,6 @@ def flag_sales(batch: DataFrame, stream: DataFrame | None = None, *, as_of: date
     return _keyed(_typed_union(batch, stream), *_flags(as_of))
 
 
-def _latest(clean: DataFrame) -> DataFrame:
-    return dedupe_latest(clean, SALES_KEYS, "order_date", SALES_TIES)
-
-
 def _clean(typed: DataFrame, as_of: date) -> DataFrame:
     return typed.where(~_broken(_rules(as_of).values()))
 
@@ -146,7 +143,8 @@ def stg_sales(batch: DataFrame, stream: DataFrame | None = None, *, as_of: date)
     The flags of a clean line are all 0, so they are added to the result instead
     of being carried through the shuffle.
     """
-    latest = _latest(_clean(_typed_union(batch, stream), as_of))
+    clean = _clean(_typed_union(batch, stream), as_of)
+    latest = dedupe_latest(clean, SALES_KEYS, "order_date", SALES_TIES)
     zeros = [F.lit(0).alias(name) for name in [*_rules(as_of), "is_bad_data_record"]]
     return _keyed(latest, *zeros, F.current_timestamp().alias("loaded_at"))
 
@@ -178,10 +176,13 @@ def rejected_sales(
         reasons = [*REJECT_FLAGS, "is_null_order_key", "is_duplicate"]
         typed = _typed_union(batch, stream)
         bad = typed.where(_broken(_rules(as_of).values()))
-        clean = _clean(typed, as_of)
-        # Every key keeps one line; the rest of its lines are the multiset difference,
-        # which Spark takes by counting equal rows.
-        surplus = clean.exceptAll(_latest(clean))
+        # Written with a row number, so that of equal copies exactly one is the winner and
+        # the others are found by that number, however many copies a line has.
+        clean = stage(
+            _clean(typed, as_of).withColumn("_row", F.monotonically_increasing_id()), "clean-lines"
+        )
+        winners = dedupe_latest(clean, SALES_KEYS, "order_date", [*SALES_TIES, "_row"])
+        surplus = clean.join(winners.select("_row"), "_row", "left_anti").drop("_row")
         rejected = _keyed(bad, *_flags(as_of), F.lit(0).alias("is_duplicate")).unionByName(
             _keyed(surplus, *_flags(as_of), F.lit(1).alias("is_duplicate"))
         )

@@ -125,13 +125,13 @@ select * exclude (n) replace (unit_price::double as unit_price,
     if(n = 2, -3, quantity) as quantity, if(n = 3, date '2099-01-01', order_date) as order_date,
     if(n = 5, 0, unit_price) as unit_price, if(n = 5, 0, discount_amount) as discount_amount)
   from ranked where n <= 5)"""),
-    "details": BATCH(f"select {LINE}, {FLAGS}, is_bad_data_record, {DETAIL} from details"),
-    "customer_totals_and_segments": BATCH("select " + pick(
+    "order_details": BATCH(f"select {LINE}, {FLAGS}, is_bad_data_record, {DETAIL} from details"),
+    "customer_metrics": BATCH("select " + pick(
         "customer_id customer_sk total_orders total_line_items total_units_purchased "
         "first_order_date last_order_date distinct_products_purchased active_months "
         "days_since_last_order value_segment frequency_segment recency_segment customer_tier",
         TOTALS, "avg_profit_margin_pct avg_order_value") + " from customer_metrics"),
-    "default_segments": """
+    "segment_customers": """
 select customer_id, total_orders, total_revenue::double as total_revenue, last_order_date,
   case when total_revenue < 2000 then 'LOW_VALUE' when total_revenue < 5000 then 'MID_VALUE'
        else 'HIGH_VALUE' end as value_segment,
@@ -146,17 +146,17 @@ select customer_id, total_orders, total_revenue::double as total_revenue, last_o
        when total_revenue >= 2000 and total_orders >= 10 then 'GOLD'
        when total_revenue < 500 then 'BRONZE' else 'SILVER' end as customer_tier
 from (select o_custkey::varchar as customer_id, count(distinct o_orderkey) as total_orders,
-        sum((o_totalprice / 1000)::decimal(12,2)) as total_revenue,
+        sum(o_totalprice::decimal(12,2) * 0.001::decimal(4,3)) as total_revenue,
         max(o_orderdate)::date as last_order_date
       from orders group by o_custkey)""",
-    "product_metrics_ranked": BATCH("select " + pick(
+    "product_metrics": BATCH("select " + pick(
         "product_id product_sk total_orders total_line_items total_units_sold unique_customers "
         "first_sale_date last_sale_date revenue_rank volume_rank profit_rank margin_rank",
         TOTALS, "avg_profit_margin_pct avg_revenue_per_order") + " from product_metrics"),
-    "rank_products_distributed": BATCH(
+    "rank_products": BATCH(
         "select product_id, revenue_rank, volume_rank, profit_rank, margin_rank from product_metrics"
     ),
-    "rank_lines": CLEAN("""
+    "global_rank": CLEAN("""
 select line, unit_price::double as unit_price, quantity,
   (row_number() over (order by unit_price desc, line))::int as price_rank,
   (row_number() over (order by quantity desc, line))::int as quantity_rank
@@ -239,10 +239,10 @@ select * replace (unit_price::double as unit_price, discount_amount::double as d
   product_list_price::double as product_list_price,
   product_standard_cost::double as product_standard_cost)
 from obt"""),
-    "orphan_keys": FULL("""
+    "orphans": FULL("""
 select distinct product_id from lines
 where product_id not in (select product_id from products)"""),
-    "orphan_lines": FULL("""
+    "orphan_rows": FULL("""
 select order_line_sk, order_id, product_id, customer_id from lines
 where customer_id is null or customer_id not in (select customer_id from customers)"""),
     "orphan_report": FULL("""
@@ -251,7 +251,7 @@ where customer_sk is null or customer_sk not in (select customer_sk from dim_cus
 union all
 select distinct 'missing_product_sk', product_sk from fact
 where product_sk is null or product_sk not in (select product_sk from dim_product)"""),
-    "missing_sales_days": BATCH("""
+    "missing_days": BATCH("""
 select date_actual, 0::bigint as sale_count from spine
 where date_actual between (select min(order_date) from sales) and (select max(order_date) from sales)
   and date_actual not in (select order_date from sales)"""),
@@ -264,7 +264,7 @@ select column_name, violations from (
   from details) unpivot (violations for column_name in (*))"""),
     "check_unique": FULL("""
 select order_line_sk, count(*) as occurrence_count from lines group by 1 having count(*) > 1"""),
-    "duplicate_order_lines": FULL("""
+    "duplicates": FULL("""
 select order_id, line_item_id, count(*) as occurrence_count from lines
 group by all having count(*) > 1"""),
     "check_values": FULL("""
@@ -523,11 +523,11 @@ _CUSTOMER_HISTORY = """
   from starts
 )
 """
-SQL["scd2_customers"] = CLEAN(
+SQL["scd2_merge"] = CLEAN(
     _CUSTOMER_HISTORY
     + f"select customer_id, city, gender, income_bracket, {_META.format(key='customer_id')} from history"
 )
-SQL["current_customers"] = CLEAN(
+SQL["current_rows"] = CLEAN(
     _CUSTOMER_HISTORY
     + f"select customer_id, city, {_STAMP.format(c='valid_from')} from history where valid_to is null"
 )
@@ -562,8 +562,8 @@ with placed as (
     (c_custkey % 1000003 * 7919 + 500009) % 1000000 as q
   from customer
 )"""
-SQL["assign_cohorts"] = f"{_PLACED} select c_custkey, {_COHORT} as cohort from placed"
-SQL["assign_income"] = f"""{_PLACED},
+SQL["assign_weighted"] = f"{_PLACED} select c_custkey, {_COHORT} as cohort from placed"
+SQL["assign_weighted_by"] = f"""{_PLACED},
 limits(cohort, low, medium, high) as (values
   ('LOYAL_HEAVY', 10, 40, 80), ('LOYAL_LIGHT', 15, 55, 85), ('GROWING', 20, 60, 90),
   ('DECLINING', 35, 75, 95), ('ONE_SHOT', 40, 75, 95), ('CHURN_RISK', 50, 80, 95))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from martline import schemas
 from martline.operators import clean, history, quality, sampling, temporal
 from martline.operators.details import order_details
-from martline.operators.joins import hot_keys, missing_days, orphan_rows, orphans
+from martline.operators.joins import hot_keys, left_join, missing_days, orphan_rows, orphans
 from martline.operators.metrics import (
     Thresholds,
     customer_metrics,
@@ -50,12 +50,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    """Register ``fn`` under its name, with comparable output columns."""
-    QUERIES[fn.__name__] = lambda spark, sf_dir: comparable(fn(spark, sf_dir))
+def query(fn: Query, name: str | None = None) -> Query:
+    """Register ``fn`` with comparable output columns."""
+    QUERIES[name or fn.__name__] = lambda spark, sf_dir: comparable(fn(spark, sf_dir))
     return fn
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """Register under the name of a library function that this module imports."""
+    return lambda fn: query(fn, name)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Drop load times, give decimals and floats a common form, timestamps as text."""
     columns = []
@@ -256,36 +261,37 @@ def inject_defects(spark, d):
 # --- details, metrics, ranks -------------------------------------------------------
 
 
-@query
-def details(spark, d):
+@named("order_details")
+def batch_details(spark, d):
     return _details(spark, d, BATCH_DAY, False)
 
 
-@query
+@named("customer_metrics")
 def customer_totals_and_segments(spark, d):
     return customer_metrics(
         _details(spark, d, BATCH_DAY, False), as_of=BATCH_DAY, thresholds=THRESHOLDS
     )
 
 
-@query
+@named("segment_customers")
 def default_segments(spark, d):
-    """Segments at the default limits, from order totals as booked."""
+    """Segments at the default limits, from order totals in thousands."""
     orders = retail.table(spark, d, "orders")
     totals = orders.groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
         F.countDistinct("o_orderkey").alias("total_orders"),
-        F.sum((F.col("o_totalprice") / 1000).cast("decimal(12,2)")).alias("total_revenue"),
+        F.sum(F.col("o_totalprice").cast("decimal(12,2)") * F.lit("0.001").cast("decimal(4,3)"))
+        .alias("total_revenue"),
         F.max(F.col("o_orderdate").cast("date")).alias("last_order_date"),
     )
     return segment_customers(totals, as_of=BATCH_DAY)
 
 
-@query
+@named("product_metrics")
 def product_metrics_ranked(spark, d):
     return product_metrics(_details(spark, d, BATCH_DAY, False))
 
 
-@query
+@named("rank_products")
 def rank_products_distributed(spark, d):
     """The same ranks on the way for tables that do not fit one task."""
     ranked = rank_products(
@@ -296,7 +302,7 @@ def rank_products_distributed(spark, d):
     )
 
 
-@query
+@named("global_rank")
 def rank_lines(spark, d):
     """Every line item numbered by price and by quantity, which has few values."""
     lines = retail.raw_sales(spark, d)
@@ -368,7 +374,8 @@ def sold_while_sellable(spark, d):
     lines = retail.raw_sales(spark, d)
     sellable = temporal.is_sellable(F.col("order_date"))
     spans = _products(spark, d).select("product_id", "launch_date", "discontinued_date")
-    joined = lines.join(spans, "product_id", "left").select(sellable.alias("sellable"), "quantity")
+    joined = left_join(lines, spans, "product_id", "order_id", hot=hot_keys(lines, "product_id"))
+    joined = joined.select(sellable.alias("sellable"), "quantity")
     return joined.groupBy(F.col("sellable").cast("int").alias("sellable")).agg(
         F.count("*").alias("lines"), F.sum("quantity").alias("units")
     )
@@ -411,12 +418,12 @@ def obt_sales(spark, d):
 # --- joins and checks ----------------------------------------------------------------
 
 
-@query
+@named("orphans")
 def orphan_keys(spark, d):
     return orphans(_lines(spark, d), _products(spark, d), "product_id")
 
 
-@query
+@named("orphan_rows")
 def orphan_lines(spark, d):
     """Lines without a known customer: missing and blank keys."""
     lines = _lines(spark, d).select("order_line_sk", "order_id", "product_id", "customer_id")
@@ -429,7 +436,7 @@ def orphan_report(spark, d):
     return quality.orphan_report(fact, {"customer_sk": customers, "product_sk": products})
 
 
-@query
+@named("missing_days")
 def missing_sales_days(spark, d):
     lines = clean.stg_sales(_dirty(spark, d), as_of=BATCH_DAY)
     return missing_days(lines, _days(spark))
@@ -449,7 +456,7 @@ def check_unique(spark, d):
     return quality.check_unique(_lines(spark, d), "order_line_sk")
 
 
-@query
+@named("duplicates")
 def duplicate_order_lines(spark, d):
     return quality.duplicates(_lines(spark, d), clean.SALES_KEYS)
 
@@ -561,7 +568,7 @@ def _customer_history(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@query
+@named("scd2_merge")
 def scd2_customers(spark, d):
     return _customer_history(spark, d).select(
         "customer_id", "city", "gender", "income_bracket", *history.META
@@ -581,7 +588,7 @@ def scd2_products(spark, d):
     return merged.select("product_id", "brand", "list_price", *history.META)
 
 
-@query
+@named("current_rows")
 def current_customers(spark, d):
     return history.current_rows(_customer_history(spark, d)).select("customer_id", "city", "valid_from")
 
@@ -610,10 +617,8 @@ for _card in (
     def _limited(spark, d, card=_card):
         return card(_obt(spark, d), _YEAR)
 
-    _whole.__name__ = _card.__name__
-    _limited.__name__ = f"{_card.__name__}_of_2000"
-    query(_whole)
-    query(_limited)
+    query(_whole, _card.__name__)
+    query(_limited, f"{_card.__name__}_of_2000")
 
 
 @query
@@ -727,7 +732,7 @@ def _position(seed: int):
     return (F.col("c_custkey") % 1_000_003 * 7919 + seed) % sampling.STEPS
 
 
-@query
+@named("assign_weighted")
 def assign_cohorts(spark, d):
     customers = retail.table(spark, d, "customer").select("c_custkey")
     return sampling.assign_weighted(
@@ -735,7 +740,7 @@ def assign_cohorts(spark, d):
     )
 
 
-@query
+@named("assign_weighted_by")
 def assign_income(spark, d):
     customers = retail.table(spark, d, "customer").select("c_custkey")
     with_cohort = sampling.assign_weighted(

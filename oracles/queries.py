@@ -354,7 +354,7 @@ SQL["decode_messages"] = CLEAN(_MESSAGE + """
 select if(ok, event_id, null) as event_id, if(ok, order_date, null) as order_date,
   if(ok, quantity, null) as quantity, if(ok, floor((unit_price) * 1e6 + 0.5) / 1e6, null) as unit_price,
   if(ok, strftime(created_at, '%Y-%m-%d %H:%M:%S.000000'), null) as created_at,
-  case store_id when 'STORE-102' then left(message, 40) when 'STORE-103' then '[' || message || ']'
+  case store_id when 'STORE-102' then replace(message, '"order_id":', '"order_id" ') when 'STORE-103' then '[' || message || ']'
     else message end as value,
   ok::int as is_valid
 from (select *, store_id not in ('STORE-102', 'STORE-103') as ok from messages)""")

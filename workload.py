@@ -672,11 +672,12 @@ def to_messages(spark, d):
 
 
 def _mixed_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Messages of which those of one store are cut short and of one are wrapped in a list."""
+    """Messages of which those of one store lack a colon and of one are wrapped in a list."""
     value = F.col("value")
-    cut = F.when(F.col("key") == "STORE-102", F.substring("value", 1, 40))
-    wrapped = cut.when(F.col("key") == "STORE-103", F.concat(F.lit("["), value, F.lit("]")))
-    return _messages(spark, d).select(wrapped.otherwise(value).alias("value"))
+    colon = F.replace("value", F.lit('"order_id":'), F.lit('"order_id" '))
+    listed = F.concat(F.lit("["), value, F.lit("]"))
+    broken = F.when(F.col("key") == "STORE-102", colon).when(F.col("key") == "STORE-103", listed)
+    return _messages(spark, d).select(broken.otherwise(value).alias("value"))
 
 
 @query

@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 from martline.llm.common import column
 
 LONG = 1 << 16
-#: Between two letters with one space: no match of a pattern that binds a space
-#: only to what follows it can span the place before the space.
-_SAFE = regex.compile(r"(?<=\p{L})(?= \p{L})")
+#: Before a space that stands between text and a letter: no match of a pattern that
+#: binds a space only to what follows it can span that place.
+_SAFE = regex.compile(r"(?<=\S)(?= \p{L})")
 
 
 @lru_cache(maxsize=4)

@@ -1,5 +1,159 @@
-"""The questions of ``queries.py`` as DuckDB SQL, where SQL can express them."""
+"""The questions of ``queries.py`` as DuckDB SQL, where SQL can express them.
+
+Tokenizers, hash draws and trees of markup are beyond it: operators 4, 6, 7, 9 and 10
+and the pipeline are tested against brute force instead.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from martline.llm import line_dedup, secrets
+
+SPACE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]"
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+LINES = f"""
+with pages as (select doc_id, source, text, string_split(text, chr(10)) as ls from documents),
+lines as (select doc_id, source, unnest(ls) as line, generate_subscripts(ls, 1) as i from pages),
+keyed as (select *, trim(line, ' ' || chr(9) || chr(13)) as k from lines),
+totals as (select source, count(*) as total from documents group by source),
+counts as (select source, k, count(distinct doc_id) as n from keyed where k <> '' group by source, k),
+gone as (
+    select c.source, c.k from counts c join totals t on c.source is not distinct from t.source
+    where n >= {line_dedup.MIN_PAGES} and n::double / total::double > {line_dedup.MAX_RATIO}::double
+),
+marked as (
+    select l.doc_id, l.line, l.i, g.k is not null as dropped
+    from keyed l left join gone g on l.source is not distinct from g.source and l.k = g.k
+),
+cleaned as (
+    select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+           coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '') as text
+    from marked group by doc_id
+)
+select p.doc_id, p.source, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped,
+       case when p.text is not null then c.text end as text
+from pages p left join cleaned c using (doc_id)
+"""
+
+TOP_K = """
+with scaled as (
+    select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)) as e
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+    from scaled q join scaled c on q.vec_id <> c.vec_id
+    where q.vec_id % 50 = 0
+),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored)
+select query_id, place::integer as rank, vec_id, score from ranked where place <= 5
+"""
+
+NEAR = rf"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '{WORD}+') as w
+    from documents
+),
+sets as (
+    select doc_id, case when len(w) = 0 then []
+        when len(w) < 4 then [array_to_string(w, ' ')]
+        else list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) end as s
+    from words
+),
+shingles as (select doc_id, len(s) as n, unnest(s) as x from sets),
+links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.x = b.x and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach(doc_id, other) as (
+    select doc_id, doc_id from documents
+    union
+    select r.doc_id, l.b from reach r join links l on r.other = l.a
+),
+smallest as (select doc_id, min(other) as component_id from reach group by doc_id)
+select s.doc_id, len(s)::bigint as n_shingles, component_id, s.doc_id = component_id as kept
+from sets s join smallest using (doc_id)
+"""
+
+QUALITY = rf"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+split as (
+    select doc_id, t, regexp_extract_all(t, '{WORD}+') as w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) as ls
+    from texts
+),
+numbered as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from split),
+triples as (
+    select doc_id, i, lead(word, 2) over o as third,
+           word || ' ' || lead(word) over o || ' ' || lead(word, 2) over o as x
+    from numbered window o as (partition by doc_id order by i)
+),
+again as (
+    select doc_id, i from (select *, count(*) over (partition by doc_id, x) as n from triples where third is not null) where n >= 2
+),
+inside as (select doc_id, count(distinct i + d.d) as n from again, (values (0), (1), (2)) d(d) group by doc_id),
+measured as (
+    select s.doc_id, len(w)::bigint as n_words, length(regexp_replace(t, '{SPACE}', '', 'g'))::bigint as word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols, len(ls)::bigint as n_lines,
+           (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(i.n, 0)::bigint as n_repeat_words,
+           length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper, length(regexp_replace(t, '[^a-z]', '', 'g')) as n_lower
+    from split s left join inside i using (doc_id)
+),
+judged as (
+    select *, (n_words < 50)::int::bigint + 2 * (100 * n_repeat_words > 50 * n_words)::int + 4 * (5 * n_symbols > n_words)::int
+           + 8 * (n_lines >= 4 and 2 * n_dup_lines > n_lines)::int
+           + 16 * (word_chars < 2 * n_words or word_chars > 20 * n_words)::int + 32 * (n_upper > n_lower)::int as failed
+    from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 as base_failed,
+       failed = 0 as kept, failed::bigint as failed
+from judged
+"""
+
+
+def _secrets() -> str:
+    parts = [
+        f"select doc_id, {place} as place, '{r.kind}' as kind, {r.least} as least, "
+        f"regexp_extract_all(t, {_quoted(r.pattern)}, 0) as m, regexp_extract_all(t, {_quoted(r.pattern)}, {r.group}) as g, "
+        f"string_split_regex(t, {_quoted(r.pattern)}) as b from texts"
+        for place, r in enumerate(secrets.RULES)
+    ]
+    counts = ", ".join(f"count(*) filter (where kind = '{r.kind}') as n_{r.kind}" for r in secrets.BASE)
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' order by start, place)"
+    return f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+found as ({" union all ".join(parts)}),
+each as (
+    select doc_id, place, kind, least, unnest(m) as m, unnest(g) as g, unnest(b[:len(m)]) as b, generate_subscripts(m, 1) as i
+    from found where len(m) > 0
+),
+placed as (
+    select *, sum(length(b) + length(m)) over (partition by doc_id, kind order by i) as stop from each
+),
+spans as (select doc_id, place, kind, (stop - length(m))::bigint as start, stop::bigint as stop from placed where length(g) >= least),
+per_doc as (
+    select doc_id, {counts}, {listed} filter (where place < {len(secrets.BASE)}) as base, {listed} as spans
+    from spans group by doc_id
+)
+select doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) as n_{r.kind}" for r in secrets.BASE)},
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join per_doc using (doc_id)
+"""
+
+
+SQL = {
+    "op1_line_dedup": LINES,
+    "op2_exact_top_k": TOP_K,
+    "op3_near_duplicates": NEAR,
+    "op5_quality_rules": QUALITY,
+    "op8_secret_scan": _secrets(),
+}

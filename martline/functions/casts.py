@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# A day, alone or with a time of day and a zone after it.
+_DAY = (
+    r"^\s*(\d{1,7}-\d{1,2}-\d{1,2})"
+    r"(?:[ T](?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d{1,9})?)?\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?)?)?\s*$"
+)
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     return c if isinstance(df.schema[name].dataType, T.StringType) else c.cast("string")
@@ -24,7 +31,7 @@ def int_of(df: DataFrame, name: str) -> Column:
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.rint(c).try_cast("int")
     if isinstance(kind, T.StringType):
-        c = c.try_cast("decimal(18,6)")
+        c = c.try_cast("decimal(38,18)")  # wide enough not to round before the half is judged
     if isinstance(kind, (T.StringType, T.DecimalType)):
         c = F.round(c, 0)
     return c.try_cast("int")
@@ -51,5 +58,5 @@ def date_of(df: DataFrame, name: str) -> Column:
         return c
     if isinstance(kind, T.StringType):
         dashed = F.translate(c, "/", "-")
-        return F.when(dashed.rlike(r"^\s*\d{1,7}-\d{1,2}-\d{1,2}"), dashed.try_cast("date"))
+        return F.when(dashed.rlike(_DAY), F.regexp_extract(dashed, _DAY, 1).try_cast("date"))
     return c.try_cast("date")

@@ -42,15 +42,20 @@ def scd2_merge(
     """History after comparing ``current`` with its open versions.
 
     A change in any ``tracked`` column (null-safe) closes the open version at
-    ``run_ts`` and opens a new one; a change elsewhere is ignored. Keys missing
-    from ``current`` stay open unless ``invalidate_deletes``. One full join of
-    open versions with current rows yields both the closed and the new rows;
+    ``run_ts`` and opens a new one; a change elsewhere is ignored. Closing sets
+    ``valid_to`` alone. Keys missing from ``current`` stay open unless
+    ``invalidate_deletes``. Columns that only one side has are kept and filled with
+    null. A key that ``current`` holds more than once raises an error when the
+    result is read: which of its rows is the newest cannot be told. One full join
+    of open versions with current rows yields both the closed and the new rows;
     closed versions pass through untouched.
     """
-    fresh = first_versions(current, key, run_ts)
+    fresh = first_versions(_one_per_key(current, key), key, run_ts)
     if history is None:
         return fresh
+    history = _with_columns(history, fresh.drop(*META))
     columns = history.columns
+    fresh = _with_columns(fresh, history)
     is_open = F.col("valid_to").isNull()
     old = history.where(is_open).select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
     new = fresh.select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
@@ -64,7 +69,7 @@ def scd2_merge(
     if invalidate_deletes:
         ends = ends | (known & ~seen)
     run = _moment(run_ts)
-    closed = F.col("old").withField("valid_to", run).withField("updated_at", run)
+    closed = F.col("old").withField("valid_to", run)
     versions = F.array_compact(
         F.array(
             F.when(known, F.when(ends, closed).otherwise(F.col("old"))),
@@ -75,6 +80,21 @@ def scd2_merge(
     return history.where(~is_open).unionByName(merged)
 
 
+def _with_columns(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns it lacks of ``other``, null, before its own META columns."""
+    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema if f.name not in df.columns]
+    own = [c for c in df.columns if c not in META]
+    return df.select(*own, *lacking, *[c for c in META if c in df.columns]) if lacking else df
+
+
+def _one_per_key(current: DataFrame, key: str) -> DataFrame:
+    """``current``, with an error instead of a row that repeats a key."""
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    message = F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))
+    once = F.when(F.col("_nth") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return current.where(F.col(key).isNotNull()).withColumn("_nth", nth).where(once).drop("_nth")
+
+
 def current_rows(history: DataFrame) -> DataFrame:
     """The open version of each key."""
     return history.where(F.col("valid_to").isNull())

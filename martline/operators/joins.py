@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.sources.staging import stage
+
 _SIZE_UNITS = {"b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
 
@@ -35,6 +39,23 @@ def hot_keys(df: DataFrame, key: str, pieces: int | None = None) -> DataFrame:
     )
 
 
+def staged_hot_keys(df: DataFrame, keys: Sequence[str], pieces: int | None = None) -> dict[str, DataFrame]:
+    """``hot_keys`` of several columns from one scan of ``df``, written so that joins read a small table.
+
+    Both sides of a salted join, and both joins of a step, read what was counted
+    once; at most P rows per column are stored.
+    """
+    p = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = F.explode(F.array(*[F.struct(F.lit(k).alias("_of"), F.col(k).cast("string").alias("_key")) for k in keys]))
+    counts = df.select(named.alias("_x")).select("_x.*").where("_key IS NOT NULL").groupBy("_of", "_key").agg(
+        F.count("*").alias("_n"))
+    totals = counts.groupBy(F.col("_of").alias("_total_of")).agg(F.greatest(F.sum("_n") / p, F.lit(1.0)).alias("_per_task"))
+    # One row per column name.
+    met = counts.join(F.broadcast(totals), F.col("_of") == F.col("_total_of")).where(F.col("_n") > F.col("_per_task"))
+    hot = stage(met.select("_of", "_key", F.ceil(F.col("_n") / F.col("_per_task")).cast("int").alias("_salts")), "hot-keys")
+    return {k: hot.where(F.col("_of") == k).select(F.col("_key").cast(df.schema[k].dataType).alias(k), "_salts") for k in keys}
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,

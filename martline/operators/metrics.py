@@ -37,6 +37,11 @@ def _exact_mean(name: str) -> Column:
     return F.sum(name).cast("double") / F.count(name)
 
 
+def _stable_mean(name: str) -> Column:
+    # Doubles as decimals with twelve digits after the point; see _exact_mean.
+    return F.sum(F.col(name).cast("decimal(30,12)")).cast("double") / F.count(name)
+
+
 def _line_totals(units: str) -> list[Column]:
     return [
         F.countDistinct("order_id").alias("total_orders"),
@@ -46,7 +51,7 @@ def _line_totals(units: str) -> list[Column]:
         _total("gross_revenue").alias("total_gross_revenue"),
         _total("total_cost").alias("total_cost"),
         _total("net_profit").alias("total_profit"),
-        F.avg("profit_margin_pct").alias("avg_profit_margin_pct"),
+        _stable_mean("profit_margin_pct").alias("avg_profit_margin_pct"),
     ]
 
 
@@ -118,11 +123,11 @@ RANKS = {
 }
 
 
-def rank_products(totals: DataFrame, **options) -> DataFrame:
+def rank_products(totals: DataFrame) -> DataFrame:
     """Add the four global ranks; ties go to the smaller product id."""
-    return global_rank(totals, RANKS, "product_id", **options)
+    return global_rank(totals, RANKS, "product_id")
 
 
-def product_metrics(details: DataFrame, **options) -> DataFrame:
+def product_metrics(details: DataFrame) -> DataFrame:
     """Totals and ranks per product."""
-    return rank_products(product_totals(details), **options)
+    return rank_products(product_totals(details))

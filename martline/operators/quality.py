@@ -151,6 +151,36 @@ def rules(
     return Check(counts.withColumn("severity", F.when(F.col("check").isin(soft), WARN).otherwise(ERROR)))
 
 
+def foreign_key(
+    df: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    *,
+    broken: str,
+    orphan_keys: str | None = None,
+    orphan_rows: str | None = None,
+) -> Check:
+    """Up to three checks of one key from one scan of ``df``, joined once by distinct value.
+
+    ``broken`` (error) counts values without a parent; ``orphan_keys`` (warning)
+    counts the missing value too, ``orphan_rows`` (warning) the rows of both.
+    """
+    counts = df.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_rows"))
+    known = parent.select(F.col(parent_column).alias("_known")).distinct()
+    lost = F.col("_known").isNull()
+    met = counts.join(known, F.col("_key") == F.col("_known"), "left").agg(
+        F.count_if(lost & F.col("_key").isNotNull()).alias("broken"), F.count_if(lost).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(lost, F.col("_rows"))), F.lit(0)).alias("orphan_rows"),
+    )
+    asked = [(broken, ERROR, "broken"), (orphan_keys, WARN, "orphan_keys"), (orphan_rows, WARN, "orphan_rows")]
+    found = F.array(*[
+        F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"), F.col(c).alias("violations"))
+        for name, severity, c in asked if name
+    ])
+    return Check(met.select(F.explode(found).alias("_c")).select("_c.*"))
+
+
 def violations(severity: str, name: str, rows: DataFrame) -> Check:
     """A check whose result rows are the violations."""
     counted = rows.agg(F.count("*").alias("violations"))
@@ -159,9 +189,9 @@ def violations(severity: str, name: str, rows: DataFrame) -> Check:
 
 
 def run_gate(checks: Sequence[Check]) -> DataFrame:
-    """Report of all checks: ``check``, ``severity``, ``violations``."""
+    """Report of all checks: ``check``, ``severity``, ``violations``; parts of one check add up."""
     reports = reduce(DataFrame.unionByName, [c.counts for c in checks])
-    return reports.select("check", "severity", "violations")
+    return reports.groupBy("check", "severity").agg(F.sum("violations").alias("violations"))
 
 
 def enforce(checks: Sequence[Check]) -> dict[str, int]:

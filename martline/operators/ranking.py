@@ -7,43 +7,26 @@ from pyspark.sql import functions as F
 
 from martline.sources.staging import stage
 
-# Rows that one task may sort on its own.
-SINGLE_TASK_ROWS = 200_000
-
 # monotonically_increasing_id holds the partition above 33 bits of row position.
 _POSITION_BITS = 33
 
 
-def global_rank(
-    df: DataFrame,
-    ranks: dict[str, str],
-    unique: str,
-    *,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def global_rank(df: DataFrame, ranks: dict[str, str], unique: str) -> DataFrame:
     """Number all rows from 1 by each measure, greatest first, nulls last.
 
-    ``ranks`` maps the new column to its measure; ``unique`` breaks ties, so every
-    order is total and no value, however common, can overfill a range.
+    ``ranks`` maps the new column, a bigint, to its measure; ``unique`` breaks ties,
+    so every order is total and no value, however common, can overfill a range.
 
-    The input is written once; up to ``single_task_rows`` rows are numbered by plain
-    windows. Above, each measure sorts the table by range, every row keeps its
-    position within its partition, and the positions are written with the rows.
-    Adding up the partition sizes (a few numbers per partition) then turns each
-    position into a rank.
+    The input is written once. Each measure sorts the table by range, every row
+    keeps its position within its partition, and the positions are written with the
+    rows. Adding up the partition sizes (a few numbers per partition) then turns
+    each position into a rank. Tables of every size take this way.
     """
-    base = stage(df, "rank-input")
     orders = {
         name: [F.col(measure).desc_nulls_last(), F.col(unique).asc_nulls_last()]
         for name, measure in ranks.items()
     }
-    if base.count() <= single_task_rows:
-        return base.select(
-            "*",
-            *[F.row_number().over(Window.orderBy(*o)).alias(n) for n, o in orders.items()],
-        )
-
-    placed = base
+    placed = stage(df, "rank-input")
     for name, order in orders.items():
         placed = placed.orderBy(*order).withColumn(name, F.monotonically_increasing_id())
     placed = stage(placed, "rank-positions")
@@ -67,7 +50,7 @@ def global_rank(
         placed = (
             placed.withColumn("_part", part[name])
             .join(F.broadcast(start), "_part", "left")
-            .withColumn(name, (position + F.col("_offset") + 1).cast("int"))
+            .withColumn(name, position + F.col("_offset") + 1)
             .drop("_part", "_offset")
         )
     return placed

@@ -33,12 +33,13 @@ def assign_weighted(
 
     The choice depends on ``key`` alone, so it is the same in every run and for
     every row of a key. With ``by``, ``weights`` maps each value of that column to
-    its own weights. ``position`` replaces the hash of the key by another number
-    in [0, 1,000,000).
+    its own weights. ``position`` replaces the hash of the key, the first eight hex
+    digits of its MD5, by another number in [0, 1,000,000).
     """
     if position is None:
         # The name goes into the hash: two assignments by one key are independent.
-        position = F.pmod(F.xxhash64(F.col(key), F.lit(name)), F.lit(STEPS))
+        digits = F.substring(F.md5(F.concat_ws("|", F.lit(name), F.col(key).cast("string"))), 1, 8)
+        position = F.conv(digits, 16, 10).cast("bigint") % STEPS
     if by is None:
         return df.withColumn(name, _pick(position, weights))
     choice = F.lit(None).cast("string")

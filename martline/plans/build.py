@@ -15,7 +15,7 @@ from martline import schemas
 from martline.operators import clean, quality
 from martline.operators.details import order_details
 from martline.operators.history import scd2_merge, scd2_overlaps
-from martline.operators.joins import hot_keys, missing_days, orphan_rows
+from martline.operators.joins import missing_days, staged_hot_keys
 from martline.operators.metrics import Thresholds, customer_metrics, product_metrics
 from martline.plans import dates, marts
 from martline.sources.files import MONTH, exists, load_table, read_table, save_table, upsert_increment
@@ -59,8 +59,7 @@ def _unique(*columns: tuple[str, DataFrame, str]) -> list[quality.Check]:
 
 def _related(table: str, df: DataFrame, *links: tuple[str, DataFrame, str]) -> list[quality.Check]:
     return [
-        quality.violations(quality.ERROR, f"{table}.{c}.relationship", quality.check_fk(df, c, *parent))
-        for c, *parent in links
+        quality.foreign_key(df, c, *parent, broken=f"{table}.{c}.relationship") for c, *parent in links
     ]
 
 
@@ -102,12 +101,11 @@ def mart_checks(
                  ("dim_product", products, "product_sk"), ("dim_product", products, "product_id"),
                  ("dim_date", days, "date_sk"), ("dim_date", days, "date_actual"),
                  ("fact_sales", fact, "order_line_sk")),
-        *_related("fact_sales", fact, ("customer_sk", customers, "customer_sk"),
-                  ("product_sk", products, "product_sk"), ("order_date_sk", days, "date_sk")),
-        q.violations(q.WARN, "fact_sales.customer_orphans", orphan_rows(
-            fact.select("order_line_sk", "customer_sk"), customers, "customer_sk")),
-        q.violations(q.WARN, "fact_sales.dimensions_complete", q.orphan_report(
-            fact, {"customer_sk": customers, "product_sk": products})),
+        *_related("fact_sales", fact, ("order_date_sk", days, "date_sk")),
+        q.foreign_key(fact, "customer_sk", customers, "customer_sk", broken="fact_sales.customer_sk.relationship",
+                      orphan_keys="fact_sales.dimensions_complete", orphan_rows="fact_sales.customer_orphans"),
+        q.foreign_key(fact, "product_sk", products, "product_sk", broken="fact_sales.product_sk.relationship",
+                      orphan_keys="fact_sales.dimensions_complete"),
         q.violations(q.WARN, "fact_sales.daily_gaps", missing_days(fact, days)),
     ]
 
@@ -190,8 +188,11 @@ def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     )
     report |= quality.enforce(staging_checks(customers, products, sales, s))
 
-    hot = {f"hot_{k}s": hot_keys(sales, f"{k}_id") for k in ("customer", "product")}
-    details = stage(order_details(sales, products, customers, **hot), "order-details")
+    hot = staged_hot_keys(sales, ["customer_id", "product_id"])
+    details = order_details(
+        sales, products, customers, hot_products=hot["product_id"], hot_customers=hot["customer_id"]
+    )
+    details = stage(details, "order-details")
     customer_dim, product_dim, days = together(
         keep("dim_customer", lambda: marts.dim_customer(
             customers, customer_metrics(details, as_of=s.as_of, thresholds=s.thresholds),
@@ -202,13 +203,12 @@ def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
             dates.date_spine(spark, s.first_day, s.last_day))),
     )
 
-    rows = marts.fact_sales(details, customer_dim, product_dim, days, **hot)
+    rows = marts.fact_sales(details, days)
     upsert_increment(rows, s.path("fact_sales"), full_refresh=s.full_refresh)
     fact = tables["fact_sales"] = read_table(spark, s.path("fact_sales"))
 
     def wide() -> DataFrame:
-        hot = {f"hot_{k}s": hot_keys(fact, f"{k}_sk") for k in ("customer", "product")}
-        obt = marts.obt_sales(fact, customer_dim, product_dim, days, **hot)
+        obt = marts.obt_sales(fact, customer_dim, product_dim, days, **marts.hot_sks(hot))
         return obt.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
 
     def versions(name: str, df: DataFrame, key: str, columns: list[str], tracked: list[str]):

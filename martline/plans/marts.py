@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.functions.keys import hash_key
 from martline.operators.joins import left_join
 
 
@@ -65,21 +67,13 @@ def dim_product(products: DataFrame, metrics: DataFrame, *, as_of: date) -> Data
     return with_audit(enriched, as_of)
 
 
-def fact_sales(
-    details: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    dates: DataFrame,
-    *,
-    hot_customers: DataFrame | None = None,
-    hot_products: DataFrame | None = None,
-) -> DataFrame:
-    """Order lines with the keys of the customer, product and two date dimensions."""
-    fact = details.drop("customer_sk", "product_sk", "loaded_at")
-    fact = left_join(fact, customers.select("customer_id", "customer_sk"), "customer_id",
-                     "order_line_sk", hot=hot_customers)
-    fact = left_join(fact, products.select("product_id", "product_sk"), "product_id",
-                     "order_line_sk", hot=hot_products)
+def fact_sales(details: DataFrame, dates: DataFrame) -> DataFrame:
+    """Order lines with the keys of the customer, product and two date dimensions.
+
+    ``order_details`` has found the customer and product keys already: the
+    dimensions hold the same customers and products as the staging tables.
+    """
+    fact = details.drop("loaded_at")
     for role in ("order", "ship"):
         days = dates.select(
             F.col("date_actual").alias(f"{role}_date"), F.col("date_sk").alias(f"{role}_date_sk")
@@ -88,27 +82,58 @@ def fact_sales(
     return fact.withColumn("loaded_at", F.current_timestamp())
 
 
+def hot_sks(hot: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Hot customer and product ids as the surrogate keys that the wide table joins by."""
+    return {
+        f"hot_{k}s": hot[f"{k}_id"].select(hash_key(f"{k}_id").alias(f"{k}_sk"), "_salts") for k in ("customer", "product")
+    }
+
+
 FACT_COLUMNS = ["order_line_sk", "order_id", "line_item_id", "order_date", "ship_date",
                 "quantity", "unit_price", "discount_amount", "list_price", "standard_cost",
                 "gross_revenue", "net_revenue", "total_cost", "gross_profit", "net_profit",
                 "profit_margin_pct", "channel", "store_id", "store_name", "pos_terminal_id",
                 "payment_method", "is_streaming"]
 
-# Wide-table name -> dimension column; equal names are listed once.
+# Wide-table name -> dimension column.
 CUSTOMER_COLUMNS = {
-    **{c: c for c in ["customer_id", "first_name", "last_name", "email"]},
-    **{f"customer_{c}": c for c in ["city", "state", "postal_code", "country"]},
-    **{c: c for c in ["gender", "income_bracket", "cohort", "age", "signup_date", "value_segment",
-                      "frequency_segment", "recency_segment", "customer_tier"]},
-    **{f"customer_{c}": c for c in ["total_orders", "total_revenue"]},
-}
+    "customer_id": "customer_id",
+    "first_name": "first_name",
+    "last_name": "last_name",
+    "email": "email",
+    "customer_city": "city",
+    "customer_state": "state",
+    "customer_postal_code": "postal_code",
+    "customer_country": "country",
+    "gender": "gender",
+    "income_bracket": "income_bracket",
+    "cohort": "cohort",
+    "age": "age",
+    "signup_date": "signup_date",
+    "value_segment": "value_segment",
+    "frequency_segment": "frequency_segment",
+    "recency_segment": "recency_segment",
+    "customer_tier": "customer_tier",
+    "customer_total_orders": "total_orders",
+    "customer_total_revenue": "total_revenue",
+}
 PRODUCT_COLUMNS = {
-    **{c: c for c in ["product_id", "product_name", "category", "subcategory", "brand",
-                      "product_category", "product_subcategory", "product_brand", "color",
-                      "size"]},
-    **{f"product_{c}": c for c in ["list_price", "standard_cost"]},
-    **{c: c for c in ["product_status", "revenue_rank", "volume_rank"]},
-}
+    "product_id": "product_id",
+    "product_name": "product_name",
+    "category": "category",
+    "subcategory": "subcategory",
+    "brand": "brand",
+    "product_category": "product_category",
+    "product_subcategory": "product_subcategory",
+    "product_brand": "product_brand",
+    "color": "color",
+    "size": "size",
+    "product_list_price": "list_price",
+    "product_standard_cost": "standard_cost",
+    "product_status": "product_status",
+    "revenue_rank": "revenue_rank",
+    "volume_rank": "volume_rank",
+}
 DATE_COLUMNS = {
     "order": ["year", "quarter", "quarter_label", "month", "month_name", "week_of_year",
               "day_of_month", "day_of_week", "day_name", "is_weekend", "season", "is_holiday",

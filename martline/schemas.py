@@ -5,24 +5,32 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _strings(names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names.split()])
+def _strings(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-# Bronze files are read as text; staging gives the columns their types.
+# Columns of the bronze files, read as text; staging gives them their types.
 RAW_CUSTOMERS = _strings(
-    "customer_id first_name last_name email phone address_line1 address_line2 city state "
-    "postal_code country birth_date gender income_bracket cohort signup_date last_update_date"
+    [
+        "customer_id", "first_name", "last_name", "email", "phone", "address_line1", "address_line2",
+        "city", "state", "postal_code", "country", "birth_date", "gender", "income_bracket", "cohort",
+        "signup_date", "last_update_date",
+    ]
 )
 RAW_PRODUCTS = _strings(
-    "product_id product_name category subcategory brand list_price standard_cost color size "
-    "weight_kg launch_date discontinued_date"
+    [
+        "product_id", "product_name", "category", "subcategory", "brand", "list_price", "standard_cost",
+        "color", "size", "weight_kg", "launch_date", "discontinued_date",
+    ]
 )
 RAW_SALES = _strings(
-    "order_id line_item_id order_date customer_id product_id quantity unit_price "
-    "discount_amount ship_date ship_city ship_state ship_country channel"
+    [
+        "order_id", "line_item_id", "order_date", "customer_id", "product_id", "quantity", "unit_price",
+        "discount_amount", "ship_date", "ship_city", "ship_state", "ship_country", "channel",
+    ]
 )
 
+# Fields of a point-of-sale event.
 POS_EVENT = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -58,22 +66,22 @@ FACT_QUANTITIES = list(range(1, 11))
 
 # Share of customers per cohort.
 COHORT_WEIGHTS = {
-    "LOYAL_HEAVY": 15,
-    "LOYAL_LIGHT": 20,
-    "GROWING": 20,
-    "DECLINING": 15,
-    "ONE_SHOT": 15,
-    "CHURN_RISK": 15,
+    "LOYAL_HEAVY": 0.15,
+    "LOYAL_LIGHT": 0.20,
+    "GROWING": 0.20,
+    "DECLINING": 0.15,
+    "ONE_SHOT": 0.15,
+    "CHURN_RISK": 0.15,
 }
 
-# Income bracket shares (percent) given the cohort, in INCOME_BRACKETS order.
+# Income bracket shares given the cohort, in INCOME_BRACKETS order.
 INCOME_WEIGHTS = {
-    "LOYAL_HEAVY": [10, 30, 40, 20],
-    "LOYAL_LIGHT": [15, 40, 30, 15],
-    "GROWING": [20, 40, 30, 10],
-    "DECLINING": [35, 40, 20, 5],
-    "ONE_SHOT": [40, 35, 20, 5],
-    "CHURN_RISK": [50, 30, 15, 5],
+    "LOYAL_HEAVY": [0.10, 0.30, 0.40, 0.20],
+    "LOYAL_LIGHT": [0.15, 0.40, 0.30, 0.15],
+    "GROWING": [0.20, 0.40, 0.30, 0.10],
+    "DECLINING": [0.35, 0.40, 0.20, 0.05],
+    "ONE_SHOT": [0.40, 0.35, 0.20, 0.05],
+    "CHURN_RISK": [0.50, 0.30, 0.15, 0.05],
 }
 
 # Columns whose change opens a new history version.

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from martline.sources.staging import stage
 CORRUPT = "_corrupt_record"
 _POINTER = "_CURRENT"
 _SCHEMA = "_SCHEMA"
+_MANIFEST = "_MANIFEST"
 
 
 # Small files beside the data, through the file system of the path itself.
@@ -32,10 +33,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: written aside, then renamed over the old one in one step."""
     p, fs = _fs(spark, path)
-    out = fs.create(p, True)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
     out.write(bytearray(text, "utf-8"))
     out.close()
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(aside), fs.makeQualified(p), options)
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -52,25 +60,44 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+_CSV = {
+    "header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def load_csv(spark: SparkSession, path: str, schema: T.StructType, *, rejects: bool = False) -> DataFrame:
     """CSV with header, every column as text.
 
-    Rows with too many or too few fields are kept, padded or cut to the schema;
+    Quotes inside quoted fields are doubled; quoted fields may hold commas and line
+    breaks. An empty field is null, a quoted empty one is empty text. Because of the
+    line breaks a file is read by one task: write large tables as many files. Rows
+    with too many or too few fields are kept, padded or cut to the schema;
     ``rejects=True`` adds their original text in ``_corrupt_record``.
     """
     if rejects:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    # A mark that no text holds stands for null, so that quoted empty text is not taken for one.
+    reader = spark.read.schema(schema).options(**_CSV).option("nullValue", "\x01").option("mode", "PERMISSIVE")
     return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
+def load_bronze(
+    spark: SparkSession, inputs: Mapping[str, tuple[str, T.StructType]], root: str
+) -> dict[str, DataFrame]:
+    """Replace one stored table under ``root`` per CSV input (path, schema), as text."""
+    return {name: save_table(load_csv(spark, path, schema), f"{root}/{name}") for name, (path, schema) in inputs.items()}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header that ``load_csv`` reads back as it was: blanks, quotes, nulls and empty text."""
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def to_messages(df: DataFrame, key: str) -> DataFrame:
-    """Keyed messages: the row as JSON under ``key`` as text, ready for a Kafka sink."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    """Keyed messages: the row as JSON, nulls included, under ``key`` as text, ready for a Kafka sink."""
+    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
 def write_messages(messages: DataFrame, servers: str, topic: str) -> None:
@@ -148,12 +175,14 @@ def ensure_table(
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A growing table under its recorded schema, without reading file footers."""
+    if exists(spark, f"{path}/{_MANIFEST}"):
+        return _read_months(spark, path, _read_manifest(spark, path))
     return spark.read.schema(_struct(_read_text(spark, f"{path}/{_SCHEMA}"))).parquet(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` if there is none yet."""
-    if exists(spark, f"{path}/{_SCHEMA}"):
+    if exists(spark, f"{path}/{_SCHEMA}") or exists(spark, f"{path}/{_MANIFEST}"):
         return read_table(spark, path)
     return spark.createDataFrame([], schema)
 
@@ -180,6 +209,52 @@ def merge_rows(target: DataFrame, increment: DataFrame, key: str) -> DataFrame:
 
 
 MONTH = "sale_month"
+_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _read_manifest(spark: SparkSession, path: str) -> dict:
+    """``schema``, and per month its ``folder`` and ``newest`` day; the null month is named as in paths."""
+    return json.loads(_read_text(spark, f"{path}/{_MANIFEST}"))
+
+
+def _read_months(spark: SparkSession, path: str, manifest: dict, months: Collection[str] | None = None) -> DataFrame:
+    """The rows of all months, or of some: one scan per folder, there are no more of them than months."""
+    schema = T.StructType.fromJson(manifest["schema"])
+    by_folder: dict[str, list[str]] = {}
+    for month, entry in sorted(manifest["months"].items()):
+        if months is None or month in months:
+            by_folder.setdefault(entry["folder"], []).append(f"{path}/{entry['folder']}/{MONTH}={month}")
+    scans = [
+        spark.read.schema(schema).option("basePath", f"{path}/{folder}").parquet(*paths) for folder, paths in by_folder.items()
+    ]
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], schema)
+
+
+def _month_name(column: Column) -> Column:
+    return F.coalesce(column, F.lit(_NO_MONTH))
+
+
+def _commit_months(spark: SparkSession, path: str, rows: DataFrame, kept: dict, watermark: str, previous: dict) -> None:
+    """Write ``rows`` to a new folder and swap the manifest to them and the months ``kept``.
+
+    The swap is one rename. Until then the table is as it was; a folder that a
+    broken run leaves behind is in no manifest, and goes with the next commit. The
+    folders of the previous manifest stay for readers that are still on it.
+    """
+    folder = f"data-{uuid.uuid4().hex}"
+    _writer(rows, MONTH).parquet(f"{path}/{folder}")
+    written = spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
+    newest = written.groupBy(_month_name(F.col(MONTH)).alias("month")).agg(F.max(watermark).cast("string").alias("newest"))
+    # One row per month.
+    months = {r["month"]: {"folder": folder, "newest": r["newest"]} for r in newest.collect()}
+    manifest = {"schema": json.loads(rows.schema.json()), "months": {**kept, **months}}
+    _write_text(spark, f"{path}/{_MANIFEST}", json.dumps(manifest))
+    used = {e["folder"] for m in (manifest, previous) for e in m["months"].values()}
+    root, fs = _fs(spark, path)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("data-") and name not in used:
+            fs.delete(status.getPath(), True)
 
 
 def upsert_increment(
@@ -195,32 +270,27 @@ def upsert_increment(
 
     Only months that receive rows or hold a row being replaced are rewritten. A
     key can sit in any month, so finding those reads the key column of the whole
-    table; nothing else of the other months is read. The new content of the
-    months is staged first: a failed run leaves the table as it was or partly
-    renewed, and running it again completes it. ``full_refresh`` replaces all rows.
+    table; nothing else of the other months is read. Rows, schema and the newest
+    day, from which the next increment starts, change in one step: a failed run
+    changes nothing and can be run again. ``full_refresh`` replaces all rows.
     """
     spark = rows.sparkSession
-    month = F.date_format(F.col(watermark), "yyyy-MM")
-    rows = rows.withColumn(MONTH, month)
-    if full_refresh or not exists(spark, f"{path}/{_SCHEMA}"):
-        whole = _writer(rows, MONTH).mode("overwrite")
-        whole.option("partitionOverwriteMode", "static").parquet(path)
-        _write_text(spark, f"{path}/{_SCHEMA}", rows.schema.json())
+    rows = rows.withColumn(MONTH, F.date_format(F.col(watermark), "yyyy-MM"))
+    known = exists(spark, f"{path}/{_MANIFEST}")
+    manifest = _read_manifest(spark, path) if known else {"schema": None, "months": {}}
+    if full_refresh or not known:
+        _commit_months(spark, path, rows, {}, watermark, manifest)
         return
-    target = read_table(spark, path)
-    increment = stage(new_rows(rows, target, watermark, lookback_days), "increment")
+    newest = max((e["newest"] for e in manifest["months"].values() if e["newest"]), default="1900-01-01")
+    due = F.col(watermark) >= F.date_sub(F.lit(newest).cast("date"), lookback_days)
+    increment = stage(rows.where(due), "increment")
+    target = _read_months(spark, path, manifest)
     replaced = target.select(key, MONTH).join(increment.select(key), key, "left_semi")
-    touched = [r[0] for r in increment.select(MONTH).union(replaced.select(MONTH)).distinct().collect()]
+    found = increment.select(MONTH).union(replaced.select(MONTH)).select(_month_name(F.col(MONTH)).alias("month"))
+    # One row per month.
+    touched = {r["month"] for r in found.distinct().collect()}
     if not touched:
         return
-    in_touched = F.col(MONTH).isin([m for m in touched if m is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(MONTH).isNull()
-    merged = stage(merge_rows(target.where(in_touched), increment, key), "merged")
-    # The wider schema goes first: readers fill a column that older files lack with null.
-    _write_text(spark, f"{path}/{_SCHEMA}", merged.schema.json())
-    months = _writer(merged, MONTH).mode("overwrite")
-    months.option("partitionOverwriteMode", "dynamic").parquet(path)
-    filled = {r[0] for r in merged.select(MONTH).distinct().collect()}
-    for gone in set(touched) - filled:
-        _delete(spark, f"{path}/{MONTH}={gone or '__HIVE_DEFAULT_PARTITION__'}")
+    merged = merge_rows(_read_months(spark, path, manifest, touched), increment, key)
+    kept = {m: e for m, e in manifest["months"].items() if m not in touched}
+    _commit_months(spark, path, merged, kept, watermark, manifest)

@@ -70,11 +70,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with the date, customer and channel of its order."""
+    """One row per line item with the date, customer and channel of its order, null without one."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     price = F.col("l_extendedprice").cast(MONEY)
     discount = F.col("l_discount").cast("decimal(3,2)")
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("line_item_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),

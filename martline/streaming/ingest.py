@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martline.schemas import POS_EVENT
-from martline.sources.files import ensure_table, read_table
+from martline.sources.files import ensure_table, exists, read_table
 
 DRAIN = {"availableNow": True}
 EVERY_TWO_SECONDS = {"processingTime": "2 seconds"}
@@ -18,76 +20,97 @@ EVERY_TWO_SECONDS = {"processingTime": "2 seconds"}
 # A batch starts at 50 messages or after 2 seconds.
 KAFKA_BATCHING = {"minOffsetsPerTrigger": "50", "maxTriggerDelay": "2s"}
 
-_BAD = "_bad"
-
-
 def read_pos_stream(spark: SparkSession, source: str = "kafka", **options: str) -> DataFrame:
-    """Message texts as a streaming frame with one column, ``value``.
+    """Message texts as a streaming frame with the column ``value``.
 
     ``kafka`` starts at the earliest offset and needs ``subscribe`` and
-    ``kafka.bootstrap.servers`` (and the connector on the class path). ``files``
-    reads one message per line from the folder ``path``.
+    ``kafka.bootstrap.servers`` (and the connector on the class path); it adds
+    ``partition`` and ``offset``. ``files`` reads one message per line from the
+    folder ``path``.
     """
     if source == "files":
         path = options.pop("path")
         return spark.readStream.options(**options).text(path)
     reader = spark.readStream.format(source).option("startingOffsets", "earliest")
     return reader.options(**{**KAFKA_BATCHING, **options}).load().select(
-        F.col("value").cast("string").alias("value")
+        F.col("value").cast("string").alias("value"), "partition", "offset"
     )
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A field as a database would cast it; what does not parse is null."""
+    if isinstance(kind, T.LongType):
+        return F.round(text.try_cast("decimal(38,18)"), 0).try_cast("bigint")
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """Parse message texts; ``value`` keeps the text and ``is_valid`` tells good from bad.
+    """Parse message texts; other columns of ``messages`` pass through.
 
-    Good is a JSON object that fits the event schema and has an ``event_id``.
+    Good (``is_valid``) is every JSON object with an ``event_id``. Fields are read
+    as text and cast, so "2" and 2.0 are quantities too. ``fields`` lists the names
+    that the object has, with a value or an explicit null.
     """
-    schema = T.StructType([*POS_EVENT.fields, T.StructField(_BAD, T.StringType())])
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    rows = messages.select("value", parsed.alias("e"))
-    is_object = F.ltrim("value").startswith("{")
-    valid = is_object & F.col(f"e.{_BAD}").isNull() & F.col("e.event_id").isNotNull()
-    return rows.select(
-        *[F.col(f"e.{n}") for n in POS_EVENT.fieldNames()],
-        "value",
-        F.coalesce(valid, F.lit(False)).alias("is_valid"),
+    names = POS_EVENT.fieldNames()
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = messages.select(
+        "*", F.from_json("value", as_text).alias("_e"), F.json_object_keys("value").alias("fields")
     )
+    valid = F.col("fields").isNotNull() & F.col("_e.event_id").isNotNull()
+    typed = [_typed(F.col(f"_e.{f.name}"), f.dataType).alias(f.name) for f in POS_EVENT.fields]
+    return rows.select(*typed, *messages.columns, "fields", F.coalesce(valid, F.lit(False)).alias("is_valid"))
 
 
 def with_defaults(events: DataFrame) -> DataFrame:
-    """Line 1 and no discount where these are missing.
-
-    JSON parsing cannot tell an absent field from an explicit null, so both get
-    the default.
-    """
+    """Line 1 and no discount where the message lacks the field; an explicit null stays null."""
+    present = {n: F.array_contains("fields", n) for n in ("line_item_id", "discount_amount")}
     return events.withColumns(
         {
-            "line_item_id": F.coalesce("line_item_id", F.lit(1).cast("bigint")),
-            "discount_amount": F.coalesce("discount_amount", F.lit(0.0)),
+            "line_item_id": F.when(present["line_item_id"], F.col("line_item_id")).otherwise(F.lit(1).cast("bigint")),
+            "discount_amount": F.when(present["discount_amount"], F.col("discount_amount")).otherwise(F.lit(0.0)),
         }
     )
 
 
-def unseen(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def unseen(batch: DataFrame, stored: DataFrame, key: str, first_by: Sequence[str] = ()) -> DataFrame:
     """One row per key of ``batch`` for keys that ``stored`` does not have.
 
-    The stored side is only filtered by the keys of the batch, which Spark can
-    broadcast when the batch is small; the stored rows themselves do not move.
+    Of rows that repeat a key the first by ``first_by`` is kept, any of them if
+    that is empty. The stored side is only filtered by the keys of the batch, which
+    Spark can broadcast when the batch is small; the stored rows themselves do not
+    move.
     """
-    unique = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+    keyed = batch.where(F.col(key).isNotNull())
+    if first_by:
+        nth = F.row_number().over(Window.partitionBy(key).orderBy(*first_by))
+        unique = keyed.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    else:
+        unique = keyed.dropDuplicates([key])
     seen = stored.select(key).join(unique.select(key), key, "left_semi")
     return unique.join(seen, key, "left_anti")
 
 
-def append_new(batch: DataFrame, path: str, key: str = "event_id") -> None:
+def append_new(batch: DataFrame, path: str, key: str = "event_id", first_by: Sequence[str] = ()) -> None:
     """Append the rows of ``batch`` whose key the table does not have yet.
 
     Running it again with the same batch adds nothing, so a replayed or partly
-    written batch ends in the same table. One writer per table.
+    written batch ends in the same table. The columns ``first_by`` are not stored.
+    One writer per table.
     """
-    ensure_table(batch.sparkSession, path, batch.schema)
+    rows = T.StructType([f for f in batch.schema if f.name not in first_by])
+    ensure_table(batch.sparkSession, path, rows)
     stored = read_table(batch.sparkSession, path)
-    unseen(batch, stored, key).select(*stored.columns).write.mode("append").parquet(path)
+    unseen(batch, stored, key, first_by).select(*stored.columns).write.mode("append").parquet(path)
+
+
+def rejects_of(path: str) -> str:
+    """Where the bad messages of the event table at ``path`` are kept."""
+    return f"{path.rstrip('/')}-rejects"
+
+
+def progress_of(path: str) -> str:
+    """Where the progress of the event table at ``path`` is kept."""
+    return f"{path.rstrip('/')}-progress"
 
 
 def ingest(
@@ -103,19 +126,29 @@ def ingest(
 
     The default trigger takes everything available and stops; with a timed one
     call ``awaitTermination(timeout)`` and ``stop()``. A batch that cannot be
-    written fails the query, which resumes there from its checkpoint. Bad
-    messages go to ``rejects_path``, one folder per batch, so that a replay
-    replaces them.
+    written fails the query, which resumes there from its checkpoint. Of messages
+    that repeat an event the first to arrive is stored. Bad messages always go to
+    ``rejects_path`` (default: beside the table), and one row per batch to the
+    progress table; one folder per batch, so that a replay replaces them.
     """
+    rejects = rejects_path or rejects_of(path)
+    run = uuid.uuid4().hex
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        began = time.time()
+        if "offset" not in batch.columns:  # a file source: by place in the batch
+            batch = batch.withColumn("offset", F.monotonically_increasing_id()).withColumn("partition", F.lit(0))
         decoded = decode_messages(batch).persist()
         try:
-            good = with_defaults(decoded.where("is_valid").drop("value", "is_valid"))
-            append_new(good, path)
-            if rejects_path:
-                bad = decoded.where("NOT is_valid").select("value")
-                bad.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            good = with_defaults(decoded.where("is_valid")).drop("value", "fields", "is_valid")
+            append_new(good, path, first_by=["partition", "offset"])
+            bad = decoded.where("NOT is_valid").select("value")
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            counts = decoded.agg(
+                F.count("*").alias("messages"), F.count_if(~F.col("is_valid")).alias("rejected"),
+                F.lit(time.time() - began).alias("seconds"), F.lit(run).alias("run"),
+            )
+            counts.write.mode("overwrite").parquet(f"{progress_of(path)}/batch_id={batch_id}")
         finally:
             decoded.unpersist()
 
@@ -131,11 +164,27 @@ def dedupe_within(events: DataFrame, key: str, ts: str, delay: str) -> DataFrame
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def ingest_summary(query: StreamingQuery) -> dict[str, float]:
-    """Messages read and time spent, from the recent progress of the query."""
-    progress = query.recentProgress
-    return {
-        "batches": len(progress),
-        "messages": sum(p["numInputRows"] for p in progress),
-        "seconds": sum(p["durationMs"].get("triggerExecution", 0) for p in progress) / 1000,
-    }
+_PROGRESS = "messages bigint, rejected bigint, seconds double, run string, batch_id bigint"
+
+
+def ingest_progress(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch that was written to the event table at ``path``, over all its runs."""
+    if not exists(spark, progress_of(path)):
+        return spark.createDataFrame([], _PROGRESS)
+    return spark.read.schema(_PROGRESS).parquet(progress_of(path))
+
+
+def ingest_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Batches, messages read and refused, and seconds, from the first batch on."""
+    return ingest_progress(spark, path).agg(
+        F.count("*").alias("batches"), F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
+        F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"),
+    )
+
+
+def ingest_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Bad messages set aside beside the event table at ``path``."""
+    kind = "value string, batch_id bigint"
+    if not exists(spark, rejects_of(path)):
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).parquet(rejects_of(path))

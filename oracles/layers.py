@@ -39,7 +39,7 @@ raw_sales as (
     l_shipdate::date as ship_date, 'City ' || l_suppkey as ship_city,
     lower(o_orderstatus) as ship_state, lower(l_linestatus) as ship_country,
     o_orderpriority || ' ' as channel
-  from lineitem join orders on o_orderkey = l_orderkey
+  from lineitem left join orders on o_orderkey = l_orderkey
 ),
 dirty_sales as (
   select * replace (
@@ -126,7 +126,7 @@ customer_totals as (
     count(*) as total_line_items, sum(quantity)::bigint as total_units_purchased,
     sum(net_revenue) as total_revenue, sum(gross_revenue) as total_gross_revenue,
     sum(total_cost) as total_cost, sum(net_profit) as total_profit,
-    avg(profit_margin_pct) as avg_profit_margin_pct, sum(net_revenue)::double / count(net_revenue) as avg_order_value,
+    sum(profit_margin_pct::decimal(30,12))::double / count(profit_margin_pct) as avg_profit_margin_pct, sum(net_revenue)::double / count(net_revenue) as avg_order_value,
     min(order_date) as first_order_date, max(order_date) as last_order_date,
     count(distinct product_id) as distinct_products_purchased,
     count(distinct (year(order_date), month(order_date))) as active_months
@@ -153,7 +153,7 @@ product_totals as (
     count(*) as total_line_items, sum(quantity)::bigint as total_units_sold,
     sum(net_revenue) as total_revenue, sum(gross_revenue) as total_gross_revenue,
     sum(total_cost) as total_cost, sum(net_profit) as total_profit,
-    avg(profit_margin_pct) as avg_profit_margin_pct, sum(net_revenue)::double / count(net_revenue)
+    sum(profit_margin_pct::decimal(30,12))::double / count(profit_margin_pct) as avg_profit_margin_pct, sum(net_revenue)::double / count(net_revenue)
       as avg_revenue_per_order,
     count(distinct customer_id) as unique_customers, min(order_date) as first_sale_date,
     max(order_date) as last_sale_date
@@ -241,7 +241,7 @@ obt as (
 
 
 def _rank(measure: str) -> str:
-    return f"(row_number() over (order by {measure} desc nulls last, product_id))::int"
+    return f"row_number() over (order by {measure} desc nulls last, product_id)"
 
 
 def with_layers(

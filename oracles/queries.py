@@ -87,7 +87,11 @@ union all select 'raw_sales_stream', count(*) from raw_stream"""),
         "standard_cost::double as standard_cost, weight_kg::double as weight_kg) from products"
     ),
     "normalise_sales": _text(f" select {LINE} from parsed"),
-    "flag_sales": _text(f""",
+    "flag_sales": BATCH(
+        f"select order_id, line_item_id, order_line_sk, customer_id, product_id, is_streaming, {FLAGS}, "
+        "is_bad_data_record from flagged"
+    ),
+    "flag_text_sales": _text(f""",
 judged as (
   select is_streaming, 0 as is_null_customer, (line_item_id is null)::int as is_null_order_key,
     coalesce(quantity < 0, false)::int as is_negative_quantity,
@@ -96,10 +100,7 @@ judged as (
   from parsed
 )
 select *, greatest({FLAGS}) as is_bad_data_record, count(*) as lines from judged group by all"""),
-    "union_sales": FULL("""
-select is_streaming, store_id, payment_method, channel, count(*) as lines,
-  sum(unit_price)::double as unit_prices, sum(discount_amount)::double as discounts
-from lines group by all"""),
+    "union_sales": FULL(f"select {LINE} from lines"),
     "stg_sales": BATCH(f"select {LINE}, {FLAGS}, is_bad_data_record from sales"),
     "stg_sales_with_stream": FULL(f"select {LINE}, {FLAGS}, is_bad_data_record from sales"),
     "rejected_sales": BATCH(f"""
@@ -158,8 +159,8 @@ from (select o_custkey::varchar as customer_id, count(distinct o_orderkey) as to
     ),
     "global_rank": CLEAN("""
 select line, unit_price::double as unit_price, quantity,
-  (row_number() over (order by unit_price desc, line))::int as price_rank,
-  (row_number() over (order by quantity desc, line))::int as quantity_rank
+  row_number() over (order by unit_price desc, line) as price_rank,
+  row_number() over (order by quantity desc, line) as quantity_rank
 from (select distinct concat_ws('|', order_id, line_item_id, product_id, ship_city, ship_date) as line,
         unit_price, quantity from raw_sales)"""),
     "sales_profile": CLEAN("""
@@ -325,7 +326,7 @@ select event_id, store_name, pos_terminal_id, order_id, product_id, quantity,
   strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') as created_at
 from raw_stream order by raw_stream.created_at desc, event_id limit 8"""),
     "with_defaults": CLEAN("""
-select event_id, 1::bigint as line_item_id,
+select event_id, if(payment_method = 'Card', 1, null)::bigint as line_item_id,
   if(channel = 'POS_Retail', discount_amount, 0) as discount_amount from raw_stream"""),
     "append_new": CLEAN("""
 select event_id, order_date,
@@ -349,15 +350,30 @@ _MESSAGE = """
     strftime(created_at, '%Y-%m-%dT%H:%M:%S'), '"}') as message
   from raw_stream
 )"""
+_MIXED = _MESSAGE + r"""
+, mixed as (
+  select *, store_id not in ('STORE-102', 'STORE-103') as ok, case store_id
+    when 'STORE-102' then replace(message, '"order_id":', '"order_id" ')
+    when 'STORE-103' then '[' || message || ']'
+    when 'STORE-104' then regexp_replace(message, '"quantity":(\d+)', '"quantity":"\1"')
+    when 'STORE-105' then regexp_replace(message, '"quantity":(\d+)', '"quantity":\1.0')
+    else message end as mixed
+  from messages
+)"""
 SQL["to_messages"] = CLEAN(_MESSAGE + " select store_id as key, message as value from messages")
-SQL["decode_messages"] = CLEAN(_MESSAGE + """
+SQL["ingest_rejects"] = CLEAN(_MIXED + " select mixed as value from mixed, range(2) where not ok")
+SQL["ingest_summary"] = CLEAN(
+    _MIXED + " select 2 * count(*) as messages, 2 * count(*) filter (where not ok) as rejected from mixed"
+)
+SQL["dedupe_within"] = CLEAN(_MIXED + " select event_id, store_id, order_date from mixed where ok")
+SQL["read_or_empty"] = CLEAN(_MIXED + """
+select 'events' as table_name, count(*) as row_count from mixed where ok union all select 'missing', 0""")
+SQL["decode_messages"] = CLEAN(_MIXED + """
 select if(ok, event_id, null) as event_id, if(ok, order_date, null) as order_date,
   if(ok, quantity, null) as quantity, if(ok, floor((unit_price) * 1e6 + 0.5) / 1e6, null) as unit_price,
   if(ok, strftime(created_at, '%Y-%m-%d %H:%M:%S.000000'), null) as created_at,
-  case store_id when 'STORE-102' then replace(message, '"order_id":', '"order_id" ') when 'STORE-103' then '[' || message || ']'
-    else message end as value,
-  ok::int as is_valid
-from (select *, store_id not in ('STORE-102', 'STORE-103') as ok from messages)""")
+  mixed as value, ok::int as is_valid
+from mixed""")
 
 # --- cards -------------------------------------------------------------------------------
 
@@ -403,6 +419,48 @@ SQL["revenue_by_chosen_channels"] = _card(
 SQL["top_products_of_category"] = _card("top_products", "category = 'ECONOMY'")
 SQL["margin_by_product_of_category"] = _card("margin_by_product", "category = 'ECONOMY'")
 
+SQL["ingest_to_marts"] = MART("""
+, rows as (
+  select * from obt where store_id is null or store_id not in ('STORE-102', 'STORE-103')
+)
+""" + _CARDS["revenue_by_channel"])
+
+# --- files -------------------------------------------------------------------------------
+
+SQL["csv_round_trip"] = MART("""
+select customer_id, case customer_id::bigint % 6
+    when 0 then 'He said "hi", ok ' || first_name when 1 then 'line' || chr(10) || 'break ' || first_name
+    when 2 then '  ' || first_name || '  ' when 3 then '' when 4 then null else first_name end as first_name,
+  email, 'end,' as cohort
+from raw_customers""")
+SQL["load_bronze"] = BATCH("""
+select 'raw_customers' as table_name, count(*) as row_count from raw_customers
+union all select 'raw_products', count(*) from raw_products
+union all select 'raw_sales', count(*) from dirty_sales""")
+
+# States per run; a version starts where the state differs from the last one seen.
+_CUSTOMER_HISTORY = """
+, states as (
+  select customer_id, income_bracket, gender, city, timestamp '2024-01-01' as run
+  from customers where signup_date < date '1999-01-01'
+  union all
+  select customer_id, income_bracket, 'X',
+    case cohort when 'BUILDING' then 'Moved' when 'MACHINERY' then null else city end,
+    timestamp '2024-01-02' from customers
+  union all
+  select customer_id, income_bracket, 'X', state, timestamp '2024-01-03' from customers
+  where income_bracket <> 'LOW'
+), starts as (
+  select * from (
+    select *, lag(city) over w as before, row_number() over w as n from states
+    window w as (partition by customer_id order by run))
+  where n = 1 or before is distinct from city
+), history as (
+  select customer_id, city, gender, income_bracket, run as valid_from,
+    lead(run) over (partition by customer_id order by run) as valid_to
+  from starts
+)
+"""
 # --- gates -------------------------------------------------------------------------------
 
 
@@ -450,7 +508,7 @@ SQL["staging_gate"] = MART(_checks(
     ("sales.zero_price", "error", "select count(*) from lines where unit_price <= 0"),
 ))
 
-SQL["mart_gate"] = MART(_checks(
+SQL["mart_gate"] = MART(_CUSTOMER_HISTORY + _checks(
     *_nulls("dim_customer", "dim_customer", "customer_sk customer_id email cohort"),
     *_nulls("dim_product", "dim_product", "product_sk product_id product_name list_price"),
     *_nulls("dim_date", "dim_date", "date_sk date_actual year"),
@@ -483,8 +541,11 @@ SQL["mart_gate"] = MART(_checks(
     ("fact_sales.daily_gaps", "warn",
      "select count(*) from spine where date_actual not in (select order_date from fact) and "
      "date_actual between (select min(order_date) from fact) and (select max(order_date) from fact)"),
-    ("snap_customers.starts_in_order", "warn", "select 0"),
-    ("snap_customers.no_overlap", "warn", "select 0"),
+    ("snap_customers.starts_in_order", "warn",
+     "select count(*) from (select *, lag(valid_from) over (partition by customer_id order by valid_from) as p "
+     "from history) where valid_from < p"),
+    ("snap_customers.no_overlap", "warn",
+     "select count(*) - count(distinct customer_id) from history"),
     ("sources.freshness", "warn",
      "select (select (max(signup_date) < date '2024-01-25' - 30)::int from raw_customers) + "
      "(select (max(launch_date) < date '2024-01-25' - 30)::int from raw_products) + "
@@ -497,32 +558,9 @@ _VERSION = "md5({key} || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S')) as ve
 _STAMP = ("strftime({c}, '%Y-%m-%d %H:%M:%S.000000') as {c}")
 _META = ", ".join((
     _STAMP.format(c="valid_from"), _STAMP.format(c="valid_to"), _VERSION,
-    "strftime(coalesce(valid_to, valid_from), '%Y-%m-%d %H:%M:%S.000000') as updated_at",
+    "strftime(history.valid_from, '%Y-%m-%d %H:%M:%S.000000') as updated_at",
 ))
 
-# States per run; a version starts where the state differs from the last one seen.
-_CUSTOMER_HISTORY = """
-, states as (
-  select customer_id, income_bracket, gender, city, timestamp '2024-01-01' as run
-  from customers where signup_date < date '1999-01-01'
-  union all
-  select customer_id, income_bracket, 'X',
-    case cohort when 'BUILDING' then 'Moved' when 'MACHINERY' then null else city end,
-    timestamp '2024-01-02' from customers
-  union all
-  select customer_id, income_bracket, 'X', state, timestamp '2024-01-03' from customers
-  where income_bracket <> 'LOW'
-), starts as (
-  select * from (
-    select *, lag(city) over w as before, row_number() over w as n from states
-    window w as (partition by customer_id order by run))
-  where n = 1 or before is distinct from city
-), history as (
-  select customer_id, city, gender, income_bracket, run as valid_from,
-    lead(run) over (partition by customer_id order by run) as valid_to
-  from starts
-)
-"""
 SQL["scd2_merge"] = CLEAN(
     _CUSTOMER_HISTORY
     + f"select customer_id, city, gender, income_bracket, {_META.format(key='customer_id')} from history"
@@ -571,3 +609,8 @@ select c_custkey, cohort,
   case when q < low * 10000 then 'LOW' when q < medium * 10000 then 'MEDIUM'
        when q < high * 10000 then 'HIGH' else 'VERY_HIGH' end as income_bracket
 from (select *, {_COHORT} as cohort from placed) join limits using (cohort)"""
+SQL["assign_hashed"] = f"""
+with placed as (
+  select ('0x' || left(md5('cohort|' || c_custkey), 8))::bigint % 1000000 as p from customer
+)
+select {_COHORT} as cohort, count(*) as customers from placed group by 1"""

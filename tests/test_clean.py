@@ -12,7 +12,8 @@ from martline.operators.sampling import inject_defects
 
 TEXTS = ["5", "5.4", "5.5", "2.5", "-2.5", "1e1", " 7 ", "", "x", "+5", "1.005", "12.345", "2024",
          "2024-1-5", " 2024-01-05 ", "2024/01/05", "2024-02-30", "2024-01-05 10:00:00", "20240105",
-         "NaN", "99999999999"]
+         "NaN", "99999999999", "2024-01-15 garbage", "2024-01-15Tx", "2024-01-15T10:00:00Z", "2024-01-15 10", "2024-1-5 1:2:3",
+         "2024-01-15 25:00:00", "2024-01-15 10:00:00.5+02", "2.4999999", "0.4999999999999", "2.5000001"]
 FLOATS = [2.5, 3.5, -2.5, 0.125, 1.005, 2.675, 0.135, 10.0, 99.99, 1e7]
 
 

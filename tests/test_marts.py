@@ -64,7 +64,7 @@ def test_star_and_wide_table(spark, raw_sales, raw_customers, raw_products):
         ("P1", 8.0, pytest.approx(200 / 3), "ACTIVE", 1), ("P2", -4.0, None, "DISCONTINUED", None),
     ]
     days = dates.dim_date(dates.date_spine(spark))
-    fact = marts.fact_sales(details, customer_dim, product_dim, days)
+    fact = marts.fact_sales(details, days)
     assert rows(fact, "order_id", "order_date_sk", "ship_date_sk") == [
         ("A", 20240601, 20240603), ("B", 20240601, None)]
     obt = marts.obt_sales(fact, customer_dim, product_dim, days)
@@ -122,11 +122,11 @@ def test_weighted_assignment_follows_the_weights(spark):
     again = assign_weighted(ids.repartition(7), "id", COHORT_WEIGHTS, name="cohort")
     assert cohorts.exceptAll(again).count() == 0
     shares = {r.cohort: r["count"] / 20_000 for r in cohorts.groupBy("cohort").count().collect()}
-    assert shares == {c: pytest.approx(w / 100, abs=0.015) for c, w in COHORT_WEIGHTS.items()}
+    assert shares == {c: pytest.approx(w, abs=0.015) for c, w in COHORT_WEIGHTS.items()}
     table = {c: dict(zip(INCOME_BRACKETS, w)) for c, w in INCOME_WEIGHTS.items()}
     income = assign_weighted(cohorts, "id", table, name="income", by="cohort")
     heavy = income.where("cohort = 'LOYAL_HEAVY'").groupBy("income").count().collect()
     total = sum(r["count"] for r in heavy)
     assert {r.income: r["count"] / total for r in heavy} == {
-        b: pytest.approx(w / 100, abs=0.03) for b, w in zip(INCOME_BRACKETS, INCOME_WEIGHTS["LOYAL_HEAVY"])
+        b: pytest.approx(w, abs=0.03) for b, w in zip(INCOME_BRACKETS, INCOME_WEIGHTS["LOYAL_HEAVY"])
     }

@@ -5,8 +5,9 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from oracles.queries import SQL
+from workload import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
@@ -18,9 +19,9 @@ def db():
     return con
 
 
-def test_only_hashed_assignment_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"assign_hashed"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -37,8 +38,3 @@ def test_query_equals_sql(spark, db, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
-
-
-def test_hashed_assignment_covers_all_customers(spark, db):
-    assigned = QUERIES["assign_hashed"](spark, str(TESTDATA)).collect()
-    assert sum(r.customers for r in assigned) == db.execute("select count(*) from customer").fetchone()[0]

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from martline.operators.joins import estimated_bytes, hot_keys, left_join, orphan_rows, orphans
+from martline.operators.joins import estimated_bytes, hot_keys, left_join, orphan_rows, orphans, staged_hot_keys
 from martline.operators.ranking import global_rank
 from martline.operators.temporal import availability_counts, available_on
 from martline.plans.dates import date_spine
@@ -52,6 +52,13 @@ def test_hot_keys_are_few(skewed):
     assert sum(r["_salts"] for r in hot) <= 16
 
 
+def test_hot_keys_of_several_columns_are_counted_at_once(skewed):
+    both = staged_hot_keys(skewed, ["key", "n"], pieces=8)
+    assert rows(both["key"]) == rows(hot_keys(skewed, "key", pieces=8))
+    assert rows(both["n"]) == rows(hot_keys(skewed, "n", pieces=8))
+    assert both["n"].schema["n"].dataType == skewed.schema["n"].dataType
+
+
 def test_small_written_dimension_is_left_to_catalyst(spark, tmp_path, skewed, dimension):
     dimension.write.parquet(str(tmp_path / "dim"))
     small = spark.read.parquet(str(tmp_path / "dim"))
@@ -69,15 +76,17 @@ def test_orphans_match_brute_force(skewed, dimension):
     assert orphan_rows(skewed, dimension, "key").count() == sum(v in missing for v in values)
 
 
-def test_distributed_ranks_equal_single_task_ranks(spark):
+def test_ranks_equal_brute_force(spark):
     rng = random.Random(3)
     # Half of the rows share one value, some have none.
     values = [0] * 500 + [None] * 50 + [rng.randrange(1000) for _ in range(450)]
     df = spark.createDataFrame([(f"id{i:04}", v, float(i % 10)) for i, v in enumerate(values)],
                                "id string, a int, b double")
     ranks = {"rank_a": "a", "rank_b": "b"}
-    wide = rows(global_rank(df, ranks, "id", single_task_rows=0), "id", "rank_a", "rank_b")
-    assert wide == rows(global_rank(df, ranks, "id"), "id", "rank_a", "rank_b")
+    ranked = global_rank(df, ranks, "id")
+    assert dict(ranked.dtypes)["rank_a"] == dict(ranked.dtypes)["rank_b"] == "bigint"
+    wide = rows(ranked, "id", "rank_a", "rank_b")
+    assert wide == rows(global_rank(df.repartition(13), ranks, "id"), "id", "rank_a", "rank_b")
     data = sorted(range(1000), key=lambda i: (values[i] is None, -(values[i] or 0), f"id{i:04}"))
     expected = {f"id{i:04}": n for n, i in enumerate(data, 1)}
     assert {r[0]: r[1] for r in wide} == expected

@@ -43,8 +43,8 @@ def _stored(spark, tmp_path):
 def test_each_event_is_stored_once(spark, tmp_path):
     inbox = tmp_path / "inbox"
     _send(inbox, "1", _event(1), _event(2), _event(1))
-    query = _drain(spark, tmp_path)
-    assert streams.ingest_summary(query)["messages"] == 3
+    _drain(spark, tmp_path)
+    assert rows(streams.ingest_summary(spark, str(tmp_path / "events")), "batches", "messages", "rejected") == [(1, 3, 0)]
     assert _stored(spark, tmp_path).count() == 2
     _send(inbox, "2", _event(2, unit_price=9.0), _event(3))
     _drain(spark, tmp_path)
@@ -58,15 +58,44 @@ def test_each_event_is_stored_once(spark, tmp_path):
 def test_bad_messages_are_set_aside_and_gaps_get_defaults(spark, tmp_path):
     bad = ["{broken", json.dumps([_event(7)]), "5", json.dumps(_event(8, event_id=...))]
     _send(tmp_path / "inbox", "1", *bad, _event(1, line_item_id=..., discount_amount=...))
-    _drain(spark, tmp_path, rejects_path=str(tmp_path / "rejects"))
+    _drain(spark, tmp_path)
     row = _stored(spark, tmp_path).first()
     assert (row.event_id, row.line_item_id, row.discount_amount) == ("e1", 1, 0.0)
     assert row.order_date == date(2024, 6, 1)
     assert row.created_at == datetime(2024, 6, 1, 10, 0, 1, 250000)
-    rejects = spark.read.parquet(str(tmp_path / "rejects"))
+    rejects = streams.ingest_rejects(spark, str(tmp_path / "events"))
     assert sorted(r.value for r in rejects.collect()) == sorted(bad)
 
 
+def test_explicit_nulls_stay_and_loose_types_are_cast(spark, tmp_path):
+    nulls = _event(1, line_item_id=None, discount_amount=None, quantity="2", unit_price="1.5")
+    _send(tmp_path / "inbox", "1", nulls, _event(2, quantity=2.0, unit_price=3, order_date="soon"), {"event_id": "e3"})
+    _drain(spark, tmp_path)
+    assert rows(_stored(spark, tmp_path), "event_id", "line_item_id", "discount_amount", "quantity", "unit_price", "order_date") == [
+        ("e1", None, None, 2, 1.5, date(2024, 6, 1)), ("e2", 1, 5.0, 2, 3.0, None), ("e3", 1, 0.0, None, None, None)]
+
+
+def test_the_first_arrival_of_an_event_is_stored(spark, tmp_path):
+    _send(tmp_path / "inbox", "1", *[_event(1, quantity=n) for n in range(1, 9)])
+    _drain(spark, tmp_path)
+    assert rows(_stored(spark, tmp_path), "event_id", "quantity") == [("e1", 1)]
+    batch = spark.createDataFrame([("a", 2, 7), ("a", 1, 9), ("a", 1, 8)], "event_id string, partition int, offset int")
+    kept = streams.unseen(batch.repartition(3), batch.limit(0), "event_id", ["partition", "offset"])
+    assert rows(kept) == [("a", 1, 8)]
+
+
+def test_the_summary_counts_the_whole_run(spark, tmp_path):
+    """Spark keeps the progress of the last 100 batches only."""
+    for n in range(105):
+        _send(tmp_path / "inbox", f"{n:03}", _event(n % 60), "{broken")
+    messages = streams.read_pos_stream(spark, "files", path=str(tmp_path / "inbox"), maxFilesPerTrigger="1")
+    streams.ingest(messages, str(tmp_path / "events"), str(tmp_path / "state")).awaitTermination()
+    summary = streams.ingest_summary(spark, str(tmp_path / "events")).first()
+    assert (summary.batches, summary.messages, summary.rejected) == (105, 210, 105)
+    assert summary.seconds > 0
+    assert streams.ingest_summary(spark, str(tmp_path / "none")).first().batches == 0
+
+
 def test_live_figures_of_table_and_stream_agree(spark, tmp_path):
     _send(tmp_path / "inbox", "1", *[_event(n, quantity=n) for n in range(1, 7)])
     _send(tmp_path / "inbox", "2", *[_event(n, quantity=n) for n in range(7, 12)])
@@ -77,7 +106,7 @@ def test_live_figures_of_table_and_stream_agree(spark, tmp_path):
     assert [r.event_id for r in live.recent_events(events, 3).collect()] == ["e11", "e10", "e9"]
 
     messages = streams.read_pos_stream(spark, "files", path=str(tmp_path / "inbox"), maxFilesPerTrigger="1")
-    decoded = streams.decode_messages(messages).where("is_valid").drop("value", "is_valid")
+    decoded = streams.decode_messages(messages).where("is_valid").drop("value", "fields", "is_valid")
     query = (
         live.store_breakdown(decoded).writeStream.outputMode("complete").format("memory")
         .queryName("stores").trigger(availableNow=True)

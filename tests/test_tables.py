@@ -16,7 +16,7 @@ def test_month_tables_are_gathered_before_writing(spark, tmp_path):
     rows_ = spark.range(0, 1000, 1, 8).selectExpr(
         "cast(id as string) as order_line_sk", "date_add(date'2024-01-01', int(id % 90)) as order_date")
     files.upsert_increment(rows_, str(tmp_path / "fact"))
-    per_month = [len(list(m.glob("*.parquet"))) for m in (tmp_path / "fact").glob("sale_month=*")]
+    per_month = [len(list(m.glob("*.parquet"))) for m in (tmp_path / "fact").glob("data-*/sale_month=*")]
     assert per_month == [1, 1, 1]
 
 FACT = "order_line_sk string, order_date date, unit_price double"
@@ -26,6 +26,10 @@ def _load(spark, path, records, schema=FACT, **options):
     files.upsert_increment(spark.createDataFrame(records, schema), str(path), **options)
 
 
+def _files(spark, path, month):
+    return {f for f in files.read_table(spark, str(path)).inputFiles() if f"sale_month={month}" in f}
+
+
 def _fact(spark, path):
     return rows(files.read_table(spark, str(path)), "order_line_sk", "order_date", "unit_price")
 
@@ -39,11 +43,11 @@ def test_upsert_replaces_inserts_and_skips_late_rows(spark, tmp_path):
                 ("next", date(2024, 4, 1), 4.0)]
     _load(spark, path, update)
     assert _fact(spark, path) == expected
-    untouched = list((path / "sale_month=2024-01").glob("*.parquet"))
+    untouched = _files(spark, path, "2024-01")
     again = [r for r in update if r[0] != "late"]
     _load(spark, path, again)
     assert _fact(spark, path) == expected
-    assert list((path / "sale_month=2024-01").glob("*.parquet")) == untouched
+    assert _files(spark, path, "2024-01") == untouched != set()
 
 
 def test_upsert_empties_a_month_and_looks_back(spark, tmp_path):
@@ -51,7 +55,7 @@ def test_upsert_empties_a_month_and_looks_back(spark, tmp_path):
     _load(spark, path, [("b", date(2024, 1, 5), 1.0), ("a", D, 1.0)])
     _load(spark, path, [("b", date(2024, 4, 2), 2.0)])
     assert _fact(spark, path) == [("a", D, 1.0), ("b", date(2024, 4, 2), 2.0)]
-    assert not (path / "sale_month=2024-01").exists()
+    assert not _files(spark, path, "2024-01")
     _load(spark, path, [("late", D, 7.0)], lookback_days=2)
     assert ("late", D, 7.0) in _fact(spark, path)
 
@@ -65,6 +69,43 @@ def test_upsert_adds_new_columns_and_refreshes(spark, tmp_path):
     assert _fact(spark, path) == [("z", date(2020, 1, 1), 9.0)]
 
 
+@pytest.mark.parametrize("step", ["write", "swap", "clean"])
+def test_a_broken_upsert_changes_nothing_or_all(spark, tmp_path, monkeypatch, step):
+    """The run ends at a step of the commit; readers see old or new, and a rerun ends as an unbroken run."""
+    first = [("a", D, 1.0), ("b", date(2024, 1, 5), 1.0)]
+    update = [("b", D, 2.0), ("c", D, 3.0), ("d", date(2024, 4, 1), 4.0)]
+    path, plain = tmp_path / "fact", tmp_path / "plain"
+    for p in (path, plain):
+        _load(spark, p, first)
+    _load(spark, plain, update)
+    old, new = _fact(spark, path), _fact(spark, plain)
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        if step == "write":
+            broken.setattr(files, "_writer", stop)
+        elif step == "swap":
+            broken.setattr(files, "_write_text", stop)
+        else:
+            broken.setattr(files, "_fs", lambda s, p, real=files._fs: stop() if str(p) == str(path) else real(s, p))
+        _load(spark, path, update)
+    assert _fact(spark, path) == (new if step == "clean" else old)
+    _load(spark, path, update)
+    assert _fact(spark, path) == new
+    _load(spark, path, update)
+    assert len(list(path.glob("data-*"))) <= 4
+
+
+def test_small_files_are_replaced_in_one_step(spark, tmp_path):
+    path = str(tmp_path / "pointer")
+    for text in ("one", "two\nlines"):
+        files._write_text(spark, path, text)
+        assert files._read_text(spark, path) == text
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["pointer"]
+
+
 def test_saved_table_is_replaced_whole_and_keeps_one_old_version(spark, tmp_path):
     path = str(tmp_path / "t")
     first = files.save_table(spark.range(3), path)
@@ -92,6 +133,16 @@ def test_csv_is_read_as_text_and_bad_rows_are_kept(spark, tmp_path):
     assert files.load_csv(spark, out, RAW_SALES).count() == 3
 
 
+def test_csv_keeps_text_as_it_is(spark, tmp_path):
+    texts = ['He said "hi", ok', "line\nbreak", "  lead", "tr  ", "", None, "back\\slash", '"', ",", "é🙂"]
+    df = spark.createDataFrame([(str(i), t, "x") for i, t in enumerate(texts)], "id string, text string, last string")
+    files.write_csv(df, str(tmp_path / "out"))
+    assert rows(files.load_csv(spark, str(tmp_path / "out"), df.schema)) == rows(df)
+    (tmp_path / "pandas.csv").write_text('id,text,last\n1,"He said ""hi"", ok",x\n2,"two\nlines",y\n')
+    loaded = files.load_csv(spark, str(tmp_path / "pandas.csv"), df.schema)
+    assert rows(loaded) == [("1", 'He said "hi", ok', "x"), ("2", "two\nlines", "y")]
+
+
 def test_growing_table_is_created_once_and_missing_reads_empty(spark, tmp_path):
     path = str(tmp_path / "events")
     assert files.read_or_empty(spark, path, POS_EVENT).count() == 0
@@ -145,6 +196,19 @@ def test_history_over_three_batches(spark):
     assert rows(closed.where("id = 2"), "valid_to") == [(RUNS[2],)]
 
 
+def test_history_refuses_repeated_keys_and_carries_new_columns(spark):
+    twice = spark.createDataFrame([(1, "Rome", "f"), (1, "Oslo", "f")], PEOPLE)
+    for history in (None, _history(spark, [(1, "Rome", "f")])):
+        with pytest.raises(Exception, match="id is not unique: 1"):
+            scd2_merge(history, twice, "id", ["city"], RUNS[1]).collect()
+    wider = spark.createDataFrame([(1, "Bonn", "f", "x"), (2, "Oslo", "m", "y")], PEOPLE + ", note string")
+    out = scd2_merge(_history(spark, [(1, "Rome", "f")]), wider, "id", ["city"], RUNS[1])
+    assert rows(out, "id", "city", "note", "valid_to", "updated_at") == [
+        (1, "Bonn", "x", None, RUNS[1]), (1, "Rome", None, RUNS[1], RUNS[0]), (2, "Oslo", "y", None, RUNS[1])]
+    narrow = scd2_merge(out, spark.createDataFrame([(2, "Oslo", "m")], PEOPLE), "id", ["city"], RUNS[2])
+    assert rows(narrow) == rows(out)
+
+
 def test_overlaps_are_found_only_by_the_strict_check(spark):
     out = _history(spark, [(1, "Rome", "f")], [(1, "Bonn", "f")])
     assert scd2_overlaps(out, "id").count() == scd2_overlaps(out, "id", strict=True).count() == 0

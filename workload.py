@@ -9,6 +9,7 @@ full build per data folder, as a report reads marts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from martline import schemas
 from martline.operators import clean, history, quality, sampling, temporal
 from martline.operators.details import order_details
-from martline.operators.joins import hot_keys, left_join, missing_days, orphan_rows, orphans
+from martline.operators.joins import left_join, missing_days, orphan_rows, orphans, staged_hot_keys
 from martline.operators.metrics import (
     Thresholds,
     customer_metrics,
@@ -113,13 +114,13 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 def _details(spark: SparkSession, d: str, as_of: date, stream: bool) -> DataFrame:
     batch = _dirty(spark, d)
     events = retail.raw_sales_stream(spark, d) if stream else None
-    raw = clean.union_sales(batch, events)
+    hot = staged_hot_keys(clean.union_sales(batch, events), ["customer_id", "product_id"])
     return order_details(
         clean.stg_sales(batch, events, as_of=as_of),
         _products(spark, d),
         _customers(spark, d),
-        hot_products=hot_keys(raw, "product_id"),
-        hot_customers=hot_keys(raw, "customer_id"),
+        hot_products=hot["product_id"],
+        hot_customers=hot["customer_id"],
     )
 
 
@@ -218,6 +219,15 @@ def normalise_sales(spark, d):
 
 @query
 def flag_sales(spark, d):
+    """Every line with its flags: missing, blank and unknown keys, all planted faults."""
+    flagged = clean.flag_sales(_dirty(spark, d), as_of=BATCH_DAY)
+    flags = [c for c in flagged.columns if c.startswith("is_")]
+    return flagged.select("order_id", "line_item_id", "order_line_sk", "customer_id", "product_id", *flags)
+
+
+@query
+def flag_text_sales(spark, d):
+    """Lines per pattern of flags, where some fields do not parse."""
     flagged = clean.flag_sales(_as_text(spark, d), as_of=BATCH_DAY)
     flags = [c for c in flagged.columns if c.startswith("is_")]
     return flagged.groupBy(*flags).agg(F.count("*").alias("lines"))
@@ -225,10 +235,7 @@ def flag_sales(spark, d):
 
 @query
 def union_sales(spark, d):
-    return _lines(spark, d).groupBy("is_streaming", "store_id", "payment_method", "channel").agg(
-        F.count("*").alias("lines"), F.sum("unit_price").alias("unit_prices"),
-        F.sum("discount_amount").alias("discounts"),
-    )
+    return _lines(spark, d)
 
 
 @query
@@ -292,11 +299,9 @@ def product_metrics_ranked(spark, d):
 
 
 @named("rank_products")
-def rank_products_distributed(spark, d):
-    """The same ranks on the way for tables that do not fit one task."""
-    ranked = rank_products(
-        product_totals(_details(spark, d, BATCH_DAY, False)), single_task_rows=0
-    )
+def rank_product_totals(spark, d):
+    """The four ranks of every product sold."""
+    ranked = rank_products(product_totals(_details(spark, d, BATCH_DAY, False)))
     return ranked.select(
         "product_id", "revenue_rank", "volume_rank", "profit_rank", "margin_rank"
     )
@@ -311,9 +316,7 @@ def rank_lines(spark, d):
                     F.col("ship_date").cast("string")).alias("line"),
         "unit_price", "quantity",
     ).distinct()
-    return global_rank(
-        distinct, {"price_rank": "unit_price", "quantity_rank": "quantity"}, "line", single_task_rows=0
-    )
+    return global_rank(distinct, {"price_rank": "unit_price", "quantity_rank": "quantity"}, "line")
 
 
 @query
@@ -374,7 +377,7 @@ def sold_while_sellable(spark, d):
     lines = retail.raw_sales(spark, d)
     sellable = temporal.is_sellable(F.col("order_date"))
     spans = _products(spark, d).select("product_id", "launch_date", "discontinued_date")
-    joined = left_join(lines, spans, "product_id", "order_id", hot=hot_keys(lines, "product_id"))
+    joined = left_join(lines, spans, "product_id", "order_id", hot=staged_hot_keys(lines, ["product_id"])["product_id"])
     joined = joined.select(sellable.alias("sellable"), "quantity")
     return joined.groupBy(F.col("sellable").cast("int").alias("sellable")).agg(
         F.count("*").alias("lines"), F.sum("quantity").alias("units")
@@ -394,14 +397,9 @@ def dim_product(spark, d):
     return _model(spark, d)[2]
 
 
-def _hot(lines: DataFrame, suffix: str) -> dict[str, DataFrame]:
-    return {f"hot_{k}s": hot_keys(lines, f"{k}_{suffix}") for k in ("customer", "product")}
-
-
 def _fact(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     lines, customers, products = _model(spark, d)
-    fact = marts.fact_sales(lines, customers, products, _days(spark), **_hot(lines, "id"))
-    return fact, customers, products, lines
+    return marts.fact_sales(lines, _days(spark)), customers, products, lines
 
 
 @query
@@ -412,7 +410,8 @@ def fact_sales(spark, d):
 @query
 def obt_sales(spark, d):
     fact, customers, products, lines = _fact(spark, d)
-    return marts.obt_sales(fact, customers, products, _days(spark), **_hot(lines, "sk"))
+    hot = marts.hot_sks(staged_hot_keys(lines, ["customer_id", "product_id"]))
+    return marts.obt_sales(fact, customers, products, _days(spark), **hot)
 
 
 # --- joins and checks ----------------------------------------------------------------
@@ -521,12 +520,13 @@ def staging_gate(spark, d):
 
 @query
 def mart_gate(spark, d):
+    """Mart checks of the build, and the history checks on three runs with planted overlaps."""
     w = warehouse(spark, d)
     return quality.run_gate(
         building.mart_checks(
             w["dim_customer"], w["dim_product"], w["dim_date"], w["fact_sales"], _settings("")
         )
-        + building.history_checks(w["snap_customers"])
+        + building.history_checks(_broken_history(spark, d))
         + building.source_checks(_raw(spark, d), STREAM_DAY)
     )
 
@@ -593,11 +593,14 @@ def current_customers(spark, d):
     return history.current_rows(_customer_history(spark, d)).select("customer_id", "city", "valid_from")
 
 
+def _broken_history(spark: SparkSession, d: str) -> DataFrame:
+    """Every closed end removed: each later version overlaps the one before."""
+    return _customer_history(spark, d).withColumn("valid_to", F.lit(None).cast("timestamp"))
+
+
 @query
 def scd2_overlaps(spark, d):
-    """A history with every closed end removed: each later version overlaps."""
-    broken = _customer_history(spark, d).withColumn("valid_to", F.lit(None).cast("timestamp"))
-    return history.scd2_overlaps(broken, "customer_id", strict=True)
+    return history.scd2_overlaps(_broken_history(spark, d), "customer_id", strict=True)
 
 
 # --- cards -----------------------------------------------------------------------------
@@ -672,12 +675,18 @@ def to_messages(spark, d):
 
 
 def _mixed_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Messages of which those of one store lack a colon and of one are wrapped in a list."""
-    value = F.col("value")
-    colon = F.replace("value", F.lit('"order_id":'), F.lit('"order_id" '))
-    listed = F.concat(F.lit("["), value, F.lit("]"))
-    broken = F.when(F.col("key") == "STORE-102", colon).when(F.col("key") == "STORE-103", listed)
-    return _messages(spark, d).select(broken.otherwise(value).alias("value"))
+    """Messages, by store: without a colon, wrapped in a list, quantity as text and with a point."""
+    value, quantity = F.col("value"), r'"quantity":(\d+)'
+    variants = {
+        "STORE-102": F.replace("value", F.lit('"order_id":'), F.lit('"order_id" ')),
+        "STORE-103": F.concat(F.lit("["), value, F.lit("]")),
+        "STORE-104": F.regexp_replace("value", quantity, '"quantity":"$1"'),
+        "STORE-105": F.regexp_replace("value", quantity, '"quantity":$1.0'),
+    }
+    mixed = value
+    for store, variant in variants.items():
+        mixed = F.when(F.col("key") == store, variant).otherwise(mixed)
+    return _messages(spark, d).select(mixed.alias("value"))
 
 
 @query
@@ -692,40 +701,133 @@ def decode_messages(spark, d):
 
 @query
 def with_defaults(spark, d):
-    events = retail.raw_sales_stream(spark, d)
-    gaps = events.withColumns({
-        "line_item_id": F.when(F.col("payment_method") == "Card", F.col("line_item_id")),
-        "discount_amount": F.when(F.col("channel") == "POS_Retail", F.col("discount_amount")),
-    })
-    return streams.with_defaults(gaps).select("event_id", "line_item_id", "discount_amount")
+    """Messages without a line (card) or with a null one, and some without a discount."""
+    events = retail.raw_sales_stream(spark, d).withColumn(
+        "line_item_id", F.when(F.col("payment_method") == "Card", F.col("line_item_id"))
+    )
+    message = files.to_messages(events, "channel")
+    no_line = F.replace("value", F.lit('"line_item_id":1,'), F.lit(""))
+    no_discount = F.regexp_replace(no_line, r'"discount_amount":[^,]*,', "")
+    value = F.when(F.col("key") == "POS_Retail", no_line).otherwise(no_discount)
+    decoded = streams.decode_messages(message.select(value.alias("value")))
+    return streams.with_defaults(decoded).select("event_id", "line_item_id", "discount_amount")
 
 
 @query
 def append_new(spark, d):
-    """Events stored up to a day; then all events come twice, at a higher price."""
+    """Events stored up to a day; then all arrive three times, each time dearer; then as they were."""
     path = new_path(spark, "events")
     events = retail.raw_sales_stream(spark, d)
     streams.append_new(events.where(F.col("order_date") < date(2024, 1, 11)), path)
-    again = events.withColumn("unit_price", F.col("unit_price") + 1)
-    streams.append_new(again.unionByName(again), path)
+    arrivals = F.explode(F.array(F.lit(3), F.lit(1), F.lit(2)))
+    again = events.withColumn("arrival", arrivals).withColumn("unit_price", F.col("unit_price") + F.col("arrival"))
+    streams.append_new(again, path, first_by=["arrival"])
     streams.append_new(events, path)
     return files.read_table(spark, path).select("event_id", "order_date", "unit_price")
 
 
+def _ingested(spark: SparkSession, d: str) -> str:
+    """Messages written as text files and drained by the streaming query, twice over."""
+
+    def make() -> str:
+        inbox, table, state = (new_path(spark, n) for n in ("inbox", "events", "checkpoint"))
+        for _ in range(2):
+            _mixed_messages(spark, d).write.mode("append").text(inbox)
+            messages = streams.read_pos_stream(spark, "files", path=inbox)
+            streams.ingest(messages, table, state).awaitTermination()
+        return table
+
+    return _once(spark, d, "ingested", make)
+
+
 @query
 def ingest(spark, d):
-    """Messages written as text files and drained by the streaming query, twice over."""
-    inbox, table, state = (new_path(spark, n) for n in ("inbox", "events", "checkpoint"))
-    _mixed_messages(spark, d).write.text(inbox)
-    for _ in range(2):
-        messages = streams.read_pos_stream(spark, "files", path=inbox)
-        streams.ingest(messages, table, state).awaitTermination()
-        _mixed_messages(spark, d).write.mode("append").text(inbox)
-    return files.read_table(spark, table).select(
+    return files.read_table(spark, _ingested(spark, d)).select(
         "event_id", "store_id", "quantity", "unit_price", "created_at"
     )
 
 
+@query
+def ingest_rejects(spark, d):
+    return streams.ingest_rejects(spark, _ingested(spark, d)).select("value")
+
+
+@query
+def ingest_summary(spark, d):
+    return streams.ingest_summary(spark, _ingested(spark, d)).select("messages", "rejected")
+
+
+@query
+def dedupe_within(spark, d):
+    """The same messages twice, deduplicated within an hour of state and drained into files."""
+    inbox, table, state = (new_path(spark, n) for n in ("inbox", "events-once", "checkpoint"))
+    for _ in range(2):
+        _mixed_messages(spark, d).write.mode("append").text(inbox)
+    events = streams.decode_messages(streams.read_pos_stream(spark, "files", path=inbox)).where("is_valid")
+    once = streams.dedupe_within(events, "event_id", "created_at", "1 hour").select("event_id", "store_id", "order_date")
+    writer = once.writeStream.format("parquet").outputMode("append").option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start(table).awaitTermination()
+    return spark.read.schema(once.schema).parquet(table)
+
+
+@query
+def read_or_empty(spark, d):
+    """Rows of an event table that is there and of one that is not."""
+    paths = {"events": _ingested(spark, d), "missing": new_path(spark, "missing")}
+    return files.table_counts({n: files.read_or_empty(spark, p, schemas.POS_EVENT) for n, p in paths.items()})
+
+
+@query
+def ingest_to_marts(spark, d):
+    """Revenue by channel of a build whose stream rows come from the table the stream query filled."""
+
+    def make() -> DataFrame:
+        events = files.read_or_empty(spark, _ingested(spark, d), schemas.POS_EVENT)
+        raw = replace(_raw(spark, d), stream=events)
+        return building.build(spark, raw, _settings(new_path(spark, "stream-warehouse")))["obt_sales"]
+
+    return cards.revenue_by_channel(_once(spark, d, "stream-obt", make))
+
+
+# --- files -----------------------------------------------------------------------------
+
+
+def _awkward(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as text with quotes, commas, line breaks, padding, nulls and empty text."""
+    kind = F.col("customer_id").cast("bigint") % 6
+    name = F.col("first_name")
+    awkward = (
+        F.when(kind == 0, F.concat(F.lit('He said "hi", ok '), name)).when(kind == 1, F.concat(F.lit("line\nbreak "), name))
+        .when(kind == 2, F.concat(F.lit("  "), name, F.lit("  "))).when(kind == 3, F.lit("")).when(kind == 4, F.lit(None))
+        .otherwise(name)
+    )
+    raw = retail.raw_customers(spark, d)
+    return raw.select("customer_id", awkward.alias("first_name"), "email", F.lit("end,").alias("cohort"))
+
+
+@query
+def csv_round_trip(spark, d):
+    """Text written as CSV and read back as it was."""
+    path = new_path(spark, "csv")
+    rows = _awkward(spark, d)
+    files.write_csv(rows, path)
+    return files.load_csv(spark, path, rows.schema)
+
+
+@query
+def load_bronze(spark, d):
+    """CSV files stored as bronze tables, with the audit of their counts."""
+    sources = {"raw_customers": (retail.raw_customers(spark, d), schemas.RAW_CUSTOMERS),
+               "raw_products": (retail.raw_products(spark, d), schemas.RAW_PRODUCTS),
+               "raw_sales": (_dirty(spark, d), schemas.RAW_SALES)}
+    inputs = {}
+    for name, (rows, schema) in sources.items():
+        path = new_path(spark, name)
+        files.write_csv(rows.select(*[F.col(c).cast("string") for c in schema.fieldNames()]), path)
+        inputs[name] = (path, schema)
+    return files.table_counts(files.load_bronze(spark, inputs, new_path(spark, "bronze")))
+
+
 # --- assignment ------------------------------------------------------------------------
 
 

@@ -9,12 +9,13 @@ sets with the chance of their Jaccard similarity, with sums as concentrated as t
 of independent draws.
 
 1. Rows with equal sets form a class; its smallest id stands for it.
-2. Classes that share a band meet in a bucket. Every member is compared with the
-   bucket's leader, the smallest set fingerprint, on full sets; links give components.
-3. In buckets that still hold several components, members are compared with other
-   leaders, drawn anew, as long as that finds links. Then all pairs of members of
-   different components are compared that have not been yet. So each pair that shares
-   a band is either compared or already connected: no link that banding finds is lost.
+2. Classes that share a band meet in a bucket. Members are compared on full sets with
+   their bucket's leader, drawn by hash, if they are not in its component yet: first
+   in a few bands, which connect most of a large group, then in all of them, and
+   again with other leaders while many pairs are open and links are found.
+3. Then all pairs of a bucket whose members are still in different components are
+   compared, unless they have been. So each pair that shares a band is either
+   compared or already connected: no link that banding finds is lost.
 
 A pair at the threshold of 0.8 shares no band with a chance of (1 - 0.8**ROWS)**BANDS,
 about 2e-6.
@@ -45,7 +46,8 @@ from martline.sources.staging import stage
 
 SHINGLE, PERCENT = 5, 80
 ROWS, BANDS = 7, 56
-LEADER_ROUNDS = 3
+#: Bands of the first round, most rounds with leaders, and open pairs per member that end them.
+FIRST_BANDS, LEADER_ROUNDS, FEW = 4, 6, 8
 _U64 = np.uint64
 _MIX = (_U64(0xBF58476D1CE4E5B9), _U64(0x94D049BB133111EB))
 #: Odd multipliers, one per place in a shingle, repeated with another rotation for longer ones.
@@ -158,6 +160,7 @@ def components(
     rows: int = ROWS, count: int = BANDS,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``ta`` and ``tb`` (128 bits of the text), ``n_shingles``, ``class_a``, ``class_b``, ``component_id``."""
+    spark = docs.sparkSession
     source = docs.select(column(key).cast("long").alias("doc_id"), column(text).alias("text"))
     nodes = source.withColumn("s", _signatures(size, rows, count)("text"))
     nodes = stage(nodes.select("doc_id", *_text_key(F.col("text")), "s.*"), "minhash-nodes")
@@ -167,28 +170,29 @@ def components(
     ranked = nodes.where("n > 0").withColumn("place", F.row_number().over(in_class)).where("place = 1")
     reps = stage(ranked.select(*first, "n", "a", "b", "bands"), "minhash-classes")
 
-    members = reps.select(F.explode("bands").alias("band"), "a", "b", "n")
-    buckets = members.groupBy("band").agg(F.min(F.struct("a", "b", "n")).alias("leader"), F.count("*").alias("size"))
-    met = members.join(buckets.where("size > 1"), "band").where((F.col("a") != F.col("leader.a")) | (F.col("b") != F.col("leader.b")))
-    met = stage(met.select("band", "size", "a", "b", "n", "leader"), "minhash-buckets")
-    pairs = _close(met.select("leader.a", "leader.b", "leader.n", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2")), percent)
-    tested = _verify(stage(pairs.distinct(), "minhash-pairs"), reps, source, size, percent)
-    labels = connected(tested.where("linked"))
-
-    both = F.array(F.struct("a", "b", "n"), F.col("leader"))
-    crowd = met.where("size > 2").select("band", F.explode(both).alias("m")).distinct().select("band", "m.*")
-    for turn in range(1, LEADER_ROUNDS + 2):
-        open_members = stage(_unresolved(crowd, labels), "minhash-open")
-        if open_members.isEmpty():
-            break
-        last = turn == LEADER_ROUNDS + 1
-        asked = _cross_pairs(open_members) if last else _leader_pairs(open_members, turn)
+    members = reps.select(F.posexplode("bands").alias("place", "band"), "a", "b", "n")
+    shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    crowd = stage(members.join(shared.select("band"), "band", "left_semi"), "minhash-buckets")
+    texts = _texts(source, reps, crowd.select("a", "b").distinct())  # the corpus is read for texts this once
+
+    tested = spark.createDataFrame([], "a long, b long, a2 long, b2 long")
+    labels = spark.createDataFrame([], "a long, b long, la long, lb long")
+    turn, found, crossed = 1, True, False
+    while not crossed:
+        here = crowd.where(F.col("place") < FIRST_BANDS) if turn == 1 else crowd
+        open_members = stage(_unresolved(here, labels), "minhash-open")
+        if turn > 2:
+            crossed = not found or turn > LEADER_ROUNDS or _few_open_pairs(open_members)
+        asked = _cross_pairs(open_members) if crossed else _leader_pairs(open_members, turn)
         fresh = _close(asked, percent).distinct().join(tested, ["a", "b", "a2", "b2"], "left_anti")
-        fresh = _verify(stage(fresh, "minhash-pairs"), reps, source, size, percent)
-        found = not fresh.where("linked").isEmpty()
-        tested = stage(tested.unionByName(fresh), "minhash-tested")
+        judged = _verify(stage(fresh, "minhash-pairs"), texts, size, percent)
+        links = judged.where("linked").drop("linked")
+        found = not links.isEmpty()
         if found:
-            labels = connected(tested.where("linked"))
+            labels = connected(links, labels)
+        if not crossed:
+            tested = stage(tested.unionByName(judged.drop("linked")), "minhash-tested")
+        turn += 1
     return _labelled(nodes, labels)
 
 
@@ -202,39 +206,51 @@ def _close(pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _verify(pairs: DataFrame, reps: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame:
-    """``pairs`` with ``linked``, from the whole texts of both classes."""
-    wanted = pairs.select("a", "b").unionByName(pairs.select(F.col("a2").alias("a"), F.col("b2").alias("b"))).distinct()
-    where = reps.select("doc_id", "ta", "tb", "a", "b").join(wanted, ["a", "b"], "left_semi")
+def _texts(source: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b, text`` of the representatives of ``classes``, written."""
+    where = reps.select("doc_id", "ta", "tb", "a", "b").join(classes, ["a", "b"], "left_semi").alias("w")
     rows = source.select("doc_id", *_text_key(F.col("text")), "text").alias("s")
     same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.ta") == F.col("w.ta")) & (F.col("s.tb") == F.col("w.tb"))
-    texts = rows.join(where.alias("w"), same).select("w.a", "w.b", "s.text")
-    texts = stage(texts.dropDuplicates(["a", "b"]), "minhash-texts")
-    both = pairs.join(texts, ["a", "b"]).join(texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("text").alias("text2")), ["a2", "b2"])
+    texts = rows.join(where, same).select("w.a", "w.b", "s.text")
+    return stage(texts.dropDuplicates(["a", "b"]), "minhash-texts")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``pairs`` with ``linked``, from the whole texts of both classes."""
+    other = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("text").alias("text2"))
+    both = pairs.join(texts, ["a", "b"]).join(other, ["a2", "b2"])
     judged = both.withColumn("linked", _linked(size, percent)("text", "text2"))
     return stage(judged.select("a", "b", "a2", "b2", "linked"), "minhash-tested")
 
 
-def connected(links: DataFrame) -> DataFrame:
-    """``a, b`` (node) and ``la, lb`` (label: the smallest node of its component) for every node with a link.
+def connected(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labels`` after ``links``: ``a, b`` (node) and ``la, lb`` (label) for every node with a link.
 
-    Each turn takes the smallest label among the neighbours, then that label's
-    label, until no label changes. Labels are written after each turn.
+    Links are carried over to the components they join, so old ones are not walked
+    again. Each turn then takes the smallest label among the neighbours and that
+    label's label, until none changes. Labels are written after each turn.
     """
-    one, two = F.struct("a", "b"), F.struct(F.col("a2").alias("a"), F.col("b2").alias("b"))
-    edges = links.select(F.explode(F.array(F.struct(one.alias("x"), two.alias("y")), F.struct(two.alias("x"), one.alias("y")))).alias("e"))
-    edges = stage(edges.select("e.x", "e.y").distinct(), "links")
-    labels = stage(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("id"), F.least("x", "m").alias("label")), "labels")
+    ends = links.select(F.struct("a", "b").alias("x"), F.struct(F.col("a2").alias("a"), F.col("b2").alias("b")).alias("y"))
+    known = stage(labels.select(F.struct("a", "b").alias("id"), F.struct(F.col("la").alias("a"), F.col("lb").alias("b")).alias("top")), "labels")
+    for end in ("x", "y"):
+        ends = ends.join(known, F.col(end) == F.col("id"), "left").withColumn(end, F.coalesce("top", end)).drop("id", "top")
+    both = F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
+    edges = stage(ends.where("x != y").select(both.alias("e")).select("e.x", "e.y").distinct(), "links")
+    merged = stage(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("id"), F.least("x", "m").alias("label")), "labels")
     while True:
-        near = edges.join(labels, edges.y == labels.id).groupBy("x").agg(F.min("label").alias("m"))
-        stepped = labels.join(near, labels.id == near.x).select("id", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        near = edges.join(merged, edges.y == merged.id).groupBy("x").agg(F.min("label").alias("m"))
+        stepped = merged.join(near, merged.id == near.x).select("id", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         stepped = stage(stepped, "labels")
         up = stepped.select(F.col("id").alias("up"), F.col("label").alias("top"))
         jumped = stepped.join(up, stepped.label == up.up).select("id", "old", F.least("label", "top").alias("label"))
-        labels = stage(jumped, "labels")
-        if labels.where("old != label").isEmpty():
-            return labels.select("id.a", "id.b", F.col("label.a").alias("la"), F.col("label.b").alias("lb"))
-        labels = labels.select("id", "label")
+        merged = stage(jumped, "labels")
+        if merged.where("old != label").isEmpty():
+            break
+        merged = merged.select("id", "label")
+    merged = merged.select(F.col("id").alias("from"), "label")
+    old = known.join(merged, F.col("top") == F.col("from"), "left").select("id", F.coalesce("label", "top").alias("label"))
+    new = merged.join(known, F.col("from") == F.col("id"), "left_anti").select(F.col("from").alias("id"), "label")
+    return stage(old.union(new).select("id.a", "id.b", F.col("label.a").alias("la"), F.col("label.b").alias("lb")), "labels")
 
 
 def _unresolved(crowd: DataFrame, labels: DataFrame) -> DataFrame:
@@ -246,6 +262,14 @@ def _unresolved(crowd: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(mixed.select("band"), "band", "left_semi")
 
 
+def _few_open_pairs(members: DataFrame) -> bool:
+    """Whether pairs of different components are no more than FEW per member, counted without listing them."""
+    parts = members.groupBy("band", "la", "lb").agg(F.count("*").cast("double").alias("n"))
+    buckets = parts.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    total = buckets.agg(F.sum(F.col("n") * F.col("n") - F.col("within")) / 2, F.sum("n")).first()
+    return (total[0] or 0) <= FEW * (total[1] or 0)
+
+
 def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
     drawn = F.struct(F.xxhash64(F.lit(turn), "a", "b").alias("turn"), "a", "b", "n", "la", "lb")
     leaders = members.groupBy("band").agg(F.min(drawn).alias("l"))

@@ -27,6 +27,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from martline.llm.common import column
 
 SEGMENT = 4 << 20
 _LENGTH, _CRC, _BODY, _INDEX = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qII"), struct.Struct("<QQ")
-_CACHE_UNITS = 400_000
+_CACHE_UNITS = 600_000
 MANIFEST = "part int, segment int, file string, offset long, bytes long, first long, records long, tokens long, width int"
 
 
@@ -65,41 +66,61 @@ def unframe(data: memoryview, at: int) -> tuple[memoryview, int]:
     return body, end + 4
 
 
+def _bare(unit: str) -> int:
+    """Where the signs at the end of a unit begin; the splits never join them to a letter or digit before."""
+    k = len(unit)
+    while k and not unit[k - 1].isalnum():
+        k -= 1
+    return k or len(unit)
+
+
 class UnitEncoder:
     """Ids of whole texts from the ids of their units.
 
     The tokenizer splits text before every white space that follows other text, and
-    merges inside the splits only. So a text's ids are those of its units, a unit
-    being white space with what follows it; units repeat, and are encoded once.
-    Texts with the name of a special token, or with white space in runs, are
+    between letters or digits and other signs, and merges inside the splits only. So a
+    text's ids are those of its units, a unit being white space with what follows it;
+    units repeat, with and without signs at their end, and are encoded once. Texts with the name of a special token, or with white space in runs, are
     encoded as they are.
     """
 
     def __init__(self, tokenizer, dtype: str):
-        self.tokenizer, self.dtype, self.known = tokenizer, dtype, {}
+        self.tokenizer, self.dtype = tokenizer, dtype
+        self.known: dict[str, bytes] = {}  # what the last texts held, and what those before them did
+        self.older: dict[str, bytes] = {}
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         plain = [self._units(t) for t in texts]
-        new = list({u for units in plain if units for u in units if u not in self.known})
-        if len(self.known) + len(new) > _CACHE_UNITS:
-            self.known = {}
-            new = list({u for units in plain if units for u in units})
-        for unit, ids in zip(new, self._whole(new)):
-            self.known[unit] = ids
+        if len(self.known) > _CACHE_UNITS:
+            self.known, self.older = {}, self.known
+        self._learn(set().union(*filter(None, plain)).difference(self.known))
         odd = iter(self._whole([t for t, units in zip(texts, plain) if units is None]))
         return [next(odd) if units is None else b"".join(map(self.known.__getitem__, units)) for units in plain]
 
+    def _learn(self, units: set[str]) -> None:
+        """Encode what is new of ``units``, without the signs at its end, and of those signs."""
+        known, older = self.known, self.older
+        cut = [(u, _bare(u)) for u in units if u not in older]
+        known.update((u, older[u]) for u in units if u in older)
+        parts = {u[:k] for u, k in cut} | {u[k:] for u, k in cut if k < len(u)}
+        known.update((p, older[p]) for p in parts if p in older)
+        new = [p for p in parts if p not in known]
+        known.update(zip(new, self._whole(new)))
+        known.update((u, known[u[:k]] + known[u[k:]]) for u, k in cut if k < len(u))
+
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = list(accumulate(map(len, ids), initial=0))
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype, ends[-1])
+        data, width = flat.tobytes(), flat.itemsize
+        return [data[a * width : b * width] for a, b in pairwise(ends)]
 
     def _units(self, text: str) -> list[str] | None:
         spaces = text.count(" ") + text.count("\n")
-        if len(text.split()) != spaces + 1 or any(s in text for s in self.special):
+        if len(text.split()) != spaces + 1 or "\0" in text or any(s in text for s in self.special):
             return None  # empty, white space of other kinds, in runs or at an end
-        marked = text.replace("\n", " \n")
-        first, *rest = marked.split(" ")
-        return [first, *[u if u[0] == "\n" else " " + u for u in rest]]
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
 @lru_cache(maxsize=2)

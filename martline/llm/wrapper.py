@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martline.llm.common import column, free_name, two_hashes, whole
+from martline.sources.staging import stage
 
 MIN_PAGES = 10
 
@@ -334,33 +335,44 @@ def _skeleton_key() -> list[Column]:
     return [a.alias("ka"), b.alias("kb")]
 
 
+_PAGE = -1  # the slot that stands for a page as a whole
+
+
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host, ka, kb`` (128 bits of a skeleton) and ``kept``, the slots that are content."""
+    """``host, ka, kb`` (128 bits of a skeleton) and ``kept``, the slots that are content.
+
+    Pages are parsed once, for one row per host, skeleton and slot; that table and
+    the result are written, all else starts from it.
+    """
     seen = pages.select(host_of(column(url)).alias("host"), _hashed(whole(column(page))).alias("p"))
     seen = seen.select("host", F.col("p.skeleton").alias("skeleton"), F.col("p.slots").alias("slots"))
-    seen = seen.select("host", *_skeleton_key(), "skeleton", "slots")
-    kinds = seen.groupBy("host", "ka", "kb").agg(F.count("*").alias("pages"), F.min("skeleton").alias("skeleton"))
-    each = seen.select("host", "ka", "kb", F.inline_outer("slots")).where("slot is not null")
+    whole_page = F.struct(F.lit(_PAGE).alias("slot"), F.lit(None).cast("long").alias("hash"))
+    each = seen.select("host", *_skeleton_key(), "skeleton", F.inline(F.concat(F.array(whole_page), "slots")))
     facts = each.groupBy("host", "ka", "kb", "slot").agg(
-        F.min("hash").alias("lo"), F.max("hash").alias("hi"), F.count("*").alias("pages")
-    )
+        F.min("hash").alias("lo"), F.max("hash").alias("hi"), F.count("*").alias("pages"),
+        F.min(F.when(F.col("slot") == _PAGE, F.col("skeleton"))).alias("skeleton"),
+    )
+    facts = stage(facts, "wrapper-facts")
+    kinds = facts.where(F.col("slot") == _PAGE).select("host", "ka", "kb", "pages", "skeleton")
+    facts = facts.where(F.col("slot") != _PAGE).drop("skeleton")
     hosts = kinds.groupBy("host").agg(
         F.max(F.struct("pages", "skeleton"))["skeleton"].alias("reference"), F.sum("pages").alias("host_pages"))
     met = kinds.join(hosts, "host").select("host", "ka", "kb", "skeleton", "host_pages", _aligned("skeleton", "reference").alias("pairs"))
-    # Slots without a partner keep to their own skeleton: their number there, below zero.
+    met = stage(met, "wrapper-skeletons")
+    # Slots without a partner keep to their own skeleton.
     partner = met.select("host", "ka", "kb", F.inline("pairs"))
     placed = facts.join(partner, ["host", "ka", "kb", "slot"], "left")
     own = F.when(F.col("partner").isNull(), F.struct(F.col("ka").alias("ka"), F.col("kb").alias("kb"), F.col("slot").alias("slot")))
     placed = placed.withColumn("shared", F.struct(F.col("partner").alias("partner"), own.alias("own")))
     held = placed.groupBy("host", "shared").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("pages").alias("pages"))
     taught = placed.select("host", "ka", "kb", "slot", "shared").join(held, ["host", "shared"])
-    taught = taught.join(hosts.select("host", "host_pages"), "host")
+    taught = taught.join(met.select("host", "ka", "kb", "host_pages"), ["host", "ka", "kb"])
     same = (F.col("lo") == F.col("hi")) & (F.col("pages") == F.col("host_pages")) & (F.col("host_pages") >= min_pages)
     flags = taught.groupBy("host", "ka", "kb").agg(
         F.collect_list(F.when(same, F.col("slot"))).alias("constant"), F.collect_list(F.when(F.col("lo") != F.col("hi"), F.col("slot"))).alias("varying")
     )
     learned = met.select("host", "ka", "kb", "skeleton").join(flags, ["host", "ka", "kb"], "left")
-    return learned.select("host", "ka", "kb", _kept("skeleton", "constant", "varying").alias("kept"))
+    return stage(learned.select("host", "ka", "kb", _kept("skeleton", "constant", "varying").alias("kept")), "wrappers")
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html", into: str = "text", min_pages: int = MIN_PAGES) -> DataFrame:

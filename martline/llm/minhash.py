@@ -14,8 +14,10 @@ of independent draws.
    in a few bands, which connect most of a large group, then in all of them, and
    again with other leaders while many pairs are open and links are found.
 3. Then all pairs of a bucket whose members are still in different components are
-   compared, unless they have been. So each pair that shares a band is either
-   compared or already connected: no link that banding finds is lost.
+   compared, unless they have been, or a bound on how much they differ, from
+   ``PARITY`` bits per set, proves that they are no link. So each pair that shares a
+   band is compared, already connected or surely none: no link that banding finds is
+   lost.
 
 A pair at the threshold of 0.8 shares no band with a chance of (1 - 0.8**ROWS)**BANDS,
 about 2e-6.
@@ -46,8 +48,10 @@ from martline.sources.staging import stage
 
 SHINGLE, PERCENT = 5, 80
 ROWS, BANDS = 7, 56
+#: Bits of the parity words; long sets fill them and are then not told apart by them.
+PARITY = 1024
 #: Bands of the first round, most rounds with leaders, and open pairs per member that end them.
-FIRST_BANDS, LEADER_ROUNDS, FEW = 4, 6, 8
+FIRST_BANDS, LEADER_ROUNDS, FEW = 4, 6, 256
 _U64 = np.uint64
 _MIX = (_U64(0xBF58476D1CE4E5B9), _U64(0x94D049BB133111EB))
 #: Odd multipliers, one per place in a shingle, repeated with another rotation for longer ones.
@@ -112,26 +116,37 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def parity(elements: np.ndarray) -> np.ndarray:
+    """PARITY bits, as 64-bit words: each element flips the bit its hash names.
+
+    Two sets' words differ in no more bits than the sets differ in elements.
+    """
+    named = (_mixed(elements ^ _MIX[0]) >> _U64(32)) % _U64(PARITY)
+    odd = np.bincount(named.astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
 def _signatures(size: int, rows: int, count: int):
     long = T.LongType()
-    kinds = {"n": long, "a": long, "b": long, "bands": T.ArrayType(long)}
+    kinds = {"n": long, "a": long, "b": long, "bands": T.ArrayType(long), "odd": T.ArrayType(long)}
 
     @F.arrow_udf(T.StructType([T.StructField(name, kind) for name, kind in kinds.items()]))
     def signed(texts: pa.Array) -> pa.Array:
-        n, a, b, keys = [], [], [], []
+        n, a, b, keys, odd = [], [], [], [], []
         for text in texts:
             found = shingles(text.as_py(), size)
             n.append(len(found))
             a.append(_signed(int(_mixed(found).sum(dtype=_U64))))
             b.append(_signed(int(_mixed(found ^ _U64(_PLACE)).sum(dtype=_U64))))
             keys.append(bands(sketch(found, rows * count), rows).view(np.int64) if len(found) else [])
+            odd.append(parity(found) if len(found) else [])
         return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["n", "a", "b", "bands"],
+            [*(pa.array(x, pa.int64()) for x in (n, a, b)), *(pa.array(x, pa.list_(pa.int64())) for x in (keys, odd))],
+            names=list(kinds),
         )
 
     return signed
@@ -168,7 +183,7 @@ def components(
     first = ["doc_id", "ta", "tb"]
     in_class = Window.partitionBy("a", "b", "n").orderBy(F.col("doc_id").asc_nulls_last(), "ta", "tb")
     ranked = nodes.where("n > 0").withColumn("place", F.row_number().over(in_class)).where("place = 1")
-    reps = stage(ranked.select(*first, "n", "a", "b", "bands"), "minhash-classes")
+    reps = stage(ranked.select(*first, "n", "a", "b", "bands", "odd"), "minhash-classes")
 
     members = reps.select(F.posexplode("bands").alias("place", "band"), "a", "b", "n")
     shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
@@ -183,7 +198,10 @@ def components(
         open_members = stage(_unresolved(here, labels), "minhash-open")
         if turn > 2:
             crossed = not found or turn > LEADER_ROUNDS or _few_open_pairs(open_members)
-        asked = _cross_pairs(open_members) if crossed else _leader_pairs(open_members, turn)
+        if crossed:
+            asked = _cross_pairs(open_members.join(reps.select("a", "b", "odd"), ["a", "b"]), percent)
+        else:
+            asked = _leader_pairs(open_members, turn)
         fresh = _close(asked, percent).distinct().join(tested, ["a", "b", "a2", "b2"], "left_anti")
         judged = _verify(stage(fresh, "minhash-pairs"), texts, size, percent)
         links = judged.where("linked").drop("linked")
@@ -277,12 +295,21 @@ def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
     return met.select("a", "b", "n", F.col("l.a").alias("a2"), F.col("l.b").alias("b2"), F.col("l.n").alias("n2"))
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket and two components; what leaders have left open, not all pairs of the bucket."""
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket and two components that can still be links; what leaders have left open.
+
+    Sets of sizes summing to s are links only if they differ in no more than
+    s * (100 - percent) / (100 + percent) elements. Their parity words differ in at
+    most as many bits, so pairs beyond that are surely none and are not listed.
+    """
     x, y = members.alias("x"), members.alias("y")
     apart = (F.col("x.la") != F.col("y.la")) | (F.col("x.lb") != F.col("y.lb"))
     ordered = F.struct(F.col("x.a"), F.col("x.b")) < F.struct(F.col("y.a"), F.col("y.b"))
-    met = x.join(y, (F.col("x.band") == F.col("y.band")) & apart & ordered)
+    differ = sum(
+        (F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(PARITY // 64)), start=F.lit(0)
+    )
+    near = (100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & apart & ordered & near)
     return met.select("x.a", "x.b", "x.n", F.col("y.a").alias("a2"), F.col("y.b").alias("b2"), F.col("y.n").alias("n2"))
 
 

@@ -115,6 +115,18 @@ def test_sketches_fill_and_agree_as_often_as_sets_do():
     assert abs(agree - 0.8) < 0.03
 
 
+def test_parity_words_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 40, 700, 5000):
+        pool = np.unique(rng.integers(0, 1 << 63, 2 * n).astype(np.uint64))
+        for share in (0.0, 0.1, 0.9):
+            a, b = pool[rng.random(len(pool)) < 0.6], pool[rng.random(len(pool)) < 0.6]
+            b = np.where(rng.random(len(pool)) < share, np.isin(pool, a), np.isin(pool, b)).astype(bool)
+            words = minhash.parity(a) ^ minhash.parity(pool[b])
+            bits = sum(int(w & (2**64 - 1)).bit_count() for w in words.astype(object))
+            assert bits <= len(np.setxor1d(a, pool[b]))
+
+
 # top-k
 
 

@@ -4,22 +4,24 @@ A page becomes a skeleton: the tree of its block elements, labelled by tag and
 class, in which repeated siblings share a node. The text of a page lies in the
 skeleton's nodes, its slots. Per host, the most frequent skeleton is the
 reference; every other skeleton of the host is aligned with it by simple tree
-matching. What a slot holds, counted over all pages of the host and all
-skeletons, tells template from content: the same text on every page, or not.
+matching. What a slot holds, counted over the host's pages that have the slot, in
+whatever skeleton, tells template from content: the same text on nearly all, or not.
+Pages without text teach nothing, and copies of a page teach as one.
 
 The content root is the article or main element of the skeleton; without one,
 the lowest node above all slots that vary. Kept is what lies under the root, except
 
 * menus, headers, footers, sidebars, notices, adverts, forms, reader comments,
   scripts and styles, told by element, role and class, and
-* slots that hold the same text on all pages of the host, if that are at least
-  ``MIN_PAGES`` and others vary. A smaller host teaches nothing about its template.
+* the text that a slot holds on ``SHARE`` or more of the pages that have the slot, if
+  these are at least ``MIN_PAGES`` different pages; another text in that slot stays.
+  An article or main in which nothing varies stays whole.
 
-Work is grouped by host and skeleton and by host and slot, never by host alone: a
-host with a third of all pages arrives as counts.
+Work is grouped by host, skeleton, slot and text and then by host and slot, never by
+host alone: a host with a third of all pages arrives as counts.
 
 Defined results: a null or empty page has no text; a null or odd url belongs to the
-host named by the empty string. Repeated rows are pages each.
+host named by the empty string. Repeated rows have their text each.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ from pyspark.sql import types as T
 from martline.llm.common import column, free_name, two_hashes, whole
 from martline.sources.staging import stage
 
-MIN_PAGES = 10
+MIN_PAGES = 3
+SHARE = 0.8
 
 #: Element names by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -252,8 +255,8 @@ def _all(root: Node) -> list[Node]:
     return out
 
 
-def kept_slots(skeleton: str, constant: set[int], varying: set[int]) -> list[int]:
-    """The slots that are content, given what the host taught about them."""
+def kept_slots(skeleton: str, varying: set[int]) -> tuple[list[int], bool]:
+    """The slots that may be content, given those that vary, and whether template texts go from them."""
     root = read(skeleton)
     outer, todo = [], [root]
     while todo:
@@ -262,12 +265,13 @@ def kept_slots(skeleton: str, constant: set[int], varying: set[int]) -> list[int
             outer.append(node)
         elif not is_chrome(node.label):
             todo.extend(node.children)
+    marked = bool(outer)
     if not outer:
         while not (root.at in varying) and len(below := [c for c in root.children if _holds(c, varying)]) == 1:
             root = below[0]
         outer = [root]
     inside = {n.at for o in outer for n in _all(o)}
-    return sorted(inside - constant if inside & varying else inside)
+    return sorted(inside), not marked or bool(inside & varying)
 
 
 def _holds(node: Node, slots: set[int]) -> bool:
@@ -280,7 +284,15 @@ def _listing(name: str, **fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("skeleton", T.StringType()), T.StructField(name, listed)])
 
 
-_PARSED = _listing("blocks", slot=T.IntegerType(), text=T.StringType())
+def _held(blocks: list[tuple[int, str]]) -> dict[int, int]:
+    """Per slot one hash of all it holds."""
+    held: dict[int, xxhash.xxh64] = {}
+    for slot, text in blocks:
+        held.setdefault(slot, xxhash.xxh64()).update(text.encode() + b"\n")
+    return {s: h.intdigest() - (1 << 63) for s, h in held.items()}
+
+
+_PARSED = _listing("blocks", slot=T.IntegerType(), hash=T.LongType(), text=T.StringType())
 
 
 @F.arrow_udf(_PARSED)
@@ -288,23 +300,22 @@ def _parsed(pages: pa.Array) -> pa.Array:
     out = []
     for page in pages:
         root, blocks = parse(page.as_py())
-        out.append({"skeleton": written(root), "blocks": [{"slot": s, "text": t} for s, t in blocks]})
-    return pa.array(out, pa.struct([("skeleton", pa.string()), ("blocks", pa.list_(pa.struct([("slot", pa.int32()), ("text", pa.string())])))]))
+        held = _held(blocks)
+        out.append({"skeleton": written(root), "blocks": [{"slot": s, "hash": held[s], "text": t} for s, t in blocks]})
+    block = pa.struct([("slot", pa.int32()), ("hash", pa.int64()), ("text", pa.string())])
+    return pa.array(out, pa.struct([("skeleton", pa.string()), ("blocks", pa.list_(block))]))
 
 
 _SLOTS = _listing("slots", slot=T.IntegerType(), hash=T.LongType())
+_HELD = _SLOTS["slots"].dataType
 
 
 @F.arrow_udf(_SLOTS)
 def _hashed(pages: pa.Array) -> pa.Array:
-    """Per slot one hash of all it holds."""
     out = []
     for page in pages:
         root, blocks = parse(page.as_py())
-        held: dict[int, xxhash.xxh64] = {}
-        for slot, text in blocks:
-            held.setdefault(slot, xxhash.xxh64()).update(text.encode() + b"\n")
-        out.append({"skeleton": written(root), "slots": [{"slot": s, "hash": h.intdigest() - (1 << 63)} for s, h in held.items()]})
+        out.append({"skeleton": written(root), "slots": [{"slot": s, "hash": h} for s, h in _held(blocks).items()]})
     return pa.array(out, pa.struct([("skeleton", pa.string()), ("slots", pa.list_(pa.struct([("slot", pa.int32()), ("hash", pa.int64())])))]))
 
 
@@ -320,10 +331,13 @@ def _aligned(skeletons: pa.Array, references: pa.Array) -> pa.Array:
     return pa.array(out, kind)
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _kept(skeletons: pa.Array, constants: pa.Array, varyings: pa.Array) -> pa.Array:
-    rows = zip(skeletons.to_pylist(), constants.to_pylist(), varyings.to_pylist())
-    return pa.array([kept_slots(s, set(c or ()), set(v or ())) for s, c, v in rows], pa.list_(pa.int32()))
+_KEPT = T.StructType([T.StructField("kept", T.ArrayType(T.IntegerType())), T.StructField("taught", T.BooleanType())])
+
+
+@F.arrow_udf(_KEPT)
+def _kept(skeletons: pa.Array, varyings: pa.Array) -> pa.Array:
+    found = (kept_slots(s, set(v or ())) for s, v in zip(skeletons.to_pylist(), varyings.to_pylist()))
+    return pa.array([{"kept": k, "taught": t} for k, t in found], pa.struct([("kept", pa.list_(pa.int32())), ("taught", pa.bool_())]))
 
 
 def host_of(url: Column) -> Column:
@@ -339,40 +353,52 @@ _PAGE = -1  # the slot that stands for a page as a whole
 
 
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host, ka, kb`` (128 bits of a skeleton) and ``kept``, the slots that are content.
+    """``host, ka, kb`` (128 bits of a skeleton), ``kept``, the slots that may be content, and ``template``, texts to drop in them.
 
-    Pages are parsed once, for one row per host, skeleton and slot; that table and
-    the result are written, all else starts from it.
+    Pages are parsed once, for one row per host, skeleton, slot and text; that table
+    and the result are written, all else starts from it.
     """
     seen = pages.select(host_of(column(url)).alias("host"), _hashed(whole(column(page))).alias("p"))
     seen = seen.select("host", F.col("p.skeleton").alias("skeleton"), F.col("p.slots").alias("slots"))
+    seen = seen.where(F.size("slots") > 0).distinct()
     whole_page = F.struct(F.lit(_PAGE).alias("slot"), F.lit(None).cast("long").alias("hash"))
     each = seen.select("host", *_skeleton_key(), "skeleton", F.inline(F.concat(F.array(whole_page), "slots")))
-    facts = each.groupBy("host", "ka", "kb", "slot").agg(
-        F.min("hash").alias("lo"), F.max("hash").alias("hi"), F.count("*").alias("pages"),
-        F.min(F.when(F.col("slot") == _PAGE, F.col("skeleton"))).alias("skeleton"),
-    )
+    facts = each.groupBy("host", "ka", "kb", "slot", "hash").agg(
+        F.count("*").alias("pages"), F.min(F.when(F.col("slot") == _PAGE, F.col("skeleton"))).alias("skeleton"))
     facts = stage(facts, "wrapper-facts")
     kinds = facts.where(F.col("slot") == _PAGE).select("host", "ka", "kb", "pages", "skeleton")
     facts = facts.where(F.col("slot") != _PAGE).drop("skeleton")
-    hosts = kinds.groupBy("host").agg(
-        F.max(F.struct("pages", "skeleton"))["skeleton"].alias("reference"), F.sum("pages").alias("host_pages"))
-    met = kinds.join(hosts, "host").select("host", "ka", "kb", "skeleton", "host_pages", _aligned("skeleton", "reference").alias("pairs"))
+    hosts = kinds.groupBy("host").agg(F.max(F.struct("pages", "skeleton"))["skeleton"].alias("reference"))
+    met = kinds.join(hosts, "host").select("host", "ka", "kb", "skeleton", _aligned("skeleton", "reference").alias("pairs"))
     met = stage(met, "wrapper-skeletons")
-    # Slots without a partner keep to their own skeleton.
+    # The most frequent text of each skeleton's slot; slots without a partner keep to their own skeleton.
     partner = met.select("host", "ka", "kb", F.inline("pairs"))
-    placed = facts.join(partner, ["host", "ka", "kb", "slot"], "left")
     own = F.when(F.col("partner").isNull(), F.struct(F.col("ka").alias("ka"), F.col("kb").alias("kb"), F.col("slot").alias("slot")))
-    placed = placed.withColumn("shared", F.struct(F.col("partner").alias("partner"), own.alias("own")))
-    held = placed.groupBy("host", "shared").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("pages").alias("pages"))
-    taught = placed.select("host", "ka", "kb", "slot", "shared").join(held, ["host", "shared"])
-    taught = taught.join(met.select("host", "ka", "kb", "host_pages"), ["host", "ka", "kb"])
-    same = (F.col("lo") == F.col("hi")) & (F.col("pages") == F.col("host_pages")) & (F.col("host_pages") >= min_pages)
+    placed = facts.groupBy("host", "ka", "kb", "slot").agg(F.sum("pages").alias("pages"), F.max(F.struct("pages", "hash")).alias("top"))
+    placed = placed.join(partner, ["host", "ka", "kb", "slot"], "left")
+    placed = placed.select("host", "ka", "kb", "slot", "pages", "top", F.struct(F.col("partner").alias("partner"), own.alias("own")).alias("shared"))
+    placed = stage(placed, "wrapper-slots")
+    # A text on a share s of a slot's pages is the most frequent one in skeletons with 2 s - 1 of them or more.
+    totals = placed.groupBy("host", "shared").agg(F.sum("pages").alias("total"))
+    voted = placed.groupBy("host", "shared", F.col("top.hash").alias("hash")).agg(F.sum("top.pages").alias("votes"))
+    voted = voted.groupBy("host", "shared").agg(F.max(F.struct("votes", "hash")).alias("best"))
+    likely = totals.join(voted, ["host", "shared"]).where(
+        (F.col("total") >= min_pages) & (F.col("best.votes") >= (2 * SHARE - 1) * F.col("total"))
+    ).select("host", "shared", "total", F.col("best.hash").alias("template"), F.col("best.votes").alias("votes"))
+    # Their pages in the other skeletons are looked up by text.
+    guessed = placed.join(likely, ["host", "shared"])
+    missed = guessed.where(F.col("top.hash") != F.col("template")).select("host", "shared", "ka", "kb", "slot", F.col("template").alias("hash"))
+    missed = missed.join(facts, ["host", "ka", "kb", "slot", "hash"]).groupBy("host", "shared").agg(F.sum("pages").alias("more"))
+    held = F.col("votes") + F.coalesce("more", F.lit(0))
+    sure = likely.join(missed, ["host", "shared"], "left").where((held >= min_pages) & (held >= SHARE * F.col("total")))
+    taught = placed.join(sure.select("host", "shared", "template"), ["host", "shared"], "left")
     flags = taught.groupBy("host", "ka", "kb").agg(
-        F.collect_list(F.when(same, F.col("slot"))).alias("constant"), F.collect_list(F.when(F.col("lo") != F.col("hi"), F.col("slot"))).alias("varying")
+        F.collect_list(F.when(F.col("template").isNotNull(), F.struct("slot", F.col("template").alias("hash")))).alias("template"),
+        F.collect_list(F.when(F.col("template").isNull() | (F.col("top.hash") != F.col("template")), F.col("slot"))).alias("varying"),
     )
     learned = met.select("host", "ka", "kb", "skeleton").join(flags, ["host", "ka", "kb"], "left")
-    return stage(learned.select("host", "ka", "kb", _kept("skeleton", "constant", "varying").alias("kept")), "wrappers")
+    learned = learned.withColumn("kept", _kept("skeleton", "varying"))
+    return stage(learned.select("host", "ka", "kb", "kept.kept", F.when(F.col("kept.taught"), F.col("template")).alias("template")), "wrappers")
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html", into: str = "text", min_pages: int = MIN_PAGES) -> DataFrame:
@@ -388,6 +414,8 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", into: str =
                            F.col(at["host"]), a.alias(at["ka"]), b.alias(at["kb"]), F.col(at["parsed"])["blocks"].alias(at["parsed"]))
     same = [F.col(at[c]) == F.col(names[c]) for c in ("host", "ka", "kb")]
     met = parsed.join(learned.withColumnsRenamed(names), same, "left")
-    content = F.filter(F.col(at["parsed"]), lambda x: F.array_contains(F.col(names["kept"]), x["slot"]))
+    template = F.coalesce(F.col(names["template"]), F.expr("array()").cast(_HELD))
+    content = F.filter(F.col(at["parsed"]), lambda x: F.array_contains(F.col(names["kept"]), x["slot"])
+                       & ~F.array_contains(template, F.struct(x["slot"].alias("slot"), x["hash"].alias("hash"))))
     text = F.coalesce(F.array_join(F.transform(content, lambda x: x["text"]), "\n"), F.lit(""))
     return met.select(*[column(c) for c in own], text.alias(into))

@@ -332,6 +332,40 @@ def test_wrappers_are_induced_without_an_article_element(spark):
     assert wrapper.extract(frame.limit(0)).count() == 0
 
 
+def test_template_is_told_by_the_share_of_pages(spark):
+    """Null, empty, odd and copied pages and small hosts: only what a page shares with its host goes."""
+    odd = "<html><body><div class='top'><div>Site name</div></div><div class='error'><p>Not here</div><p>Ask us</body></html>"
+    rows = [(i, "http://big.example/", PAGE.format(n=i)) for i in range(1000)]
+    rows += [(1000, "http://big.example/", None), (1001, "http://big.example/", ""), (1002, "http://big.example/", odd)]
+    rows += [(1003, "http://big.example/", PAGE.format(n=1003).replace("Site name", "Other name").replace("<div class=\"top\">", "<div class=\"top\"><b>"))]
+    rows += [(2000 + i, "http://nine.example/", PAGE.format(n=i)) for i in range(9)]
+    rows += [(3000 + i, "http://three.example/", PAGE.format(n=i)) for i in range(3)] + [(3003, "http://three.example/", None)]
+    # Five copies of a page of its own layout are one page.
+    rows += [(4000 + i, "http://big.example/", "<body><section><h1>Copy</h1><p>of one</section></body>") for i in range(5)]
+    found = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(found) == len(rows)
+    for i in [*range(1000), *range(2000, 2009), *range(3000, 3003)]:
+        n = i % 1000
+        assert found[i] == f"Head {n}\nFirst & {n} more bolder\nSecond para {n}"
+    assert found[1000] == found[1001] == found[3003] == ""
+    assert found[1002] == "Not here\nAsk us"
+    assert "Head 1003" in found[1003] and "Always the same" not in found[1003]
+    assert all(found[4000 + i] == "Copy\nof one" for i in range(5))
+
+
+def test_a_text_is_counted_in_all_skeletons_of_its_slot(spark):
+    """Here 4 of 5 pages hold the text, and in one skeleton another text ties with it."""
+    def page(n, line, tail):
+        return f"<body><div class=a>{line}</div><div class=b>Story {n}</div>{tail}</body>"
+
+    for other in ("Other", "Another", "Third"):
+        rows = [(n, "http://h.example/", page(n, "Line", "")) for n in range(3)]
+        rows += [(3, "http://h.example/", page(3, "Line", "<hr>")), (4, "http://h.example/", page(4, other, "<hr>"))]
+        found = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert [found[n] for n in range(4)] == [f"Story {n}" for n in range(4)]
+        assert found[4].endswith("Story 4")
+
+
 def test_tree_matching_pairs_what_two_pages_share():
     one = wrapper.written(wrapper.parse("<body><nav>n</nav><div class=a><p>x</p></div><div class=b>y</div></body>")[0])
     two = wrapper.written(wrapper.parse("<body><div class=new>z</div><nav>n</nav><div class=b>y</div></body>")[0])

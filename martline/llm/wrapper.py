@@ -6,13 +6,15 @@ skeleton's nodes, its slots. Per host, the most frequent skeleton is the
 reference; every other skeleton of the host is aligned with it by simple tree
 matching. What a slot holds, counted over the host's pages that have the slot, in
 whatever skeleton, tells template from content: the same text on nearly all, or not.
-Pages without text teach nothing, and copies of a page teach as one.
+Pages without text teach nothing, and pages with the same text in all slots teach as one.
 
 The content root is the article or main element of the skeleton; without one,
 the lowest node above all slots that vary. Kept is what lies under the root, except
 
-* menus, headers, footers, sidebars, notices, adverts, forms, reader comments,
-  scripts and styles, told by element, role and class, and
+* menus, headers, footers, sidebars, notices, adverts, reader comments, scripts and
+  styles, told by element,
+* the same and forms, told by role and whole class names, unless they hold the page's
+  only article or main or all that varies in it, and
 * the text that a slot holds on ``SHARE`` or more of the pages that have the slot, if
   these are at least ``MIN_PAGES`` different pages; another text in that slot stays.
   An article or main in which nothing varies stays whole.
@@ -29,6 +31,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -51,7 +54,7 @@ INLINE = frozenset(
     " span strike strong sub sup time tt u var wbr".split()
 )
 CHROME = frozenset(
-    "head script style noscript template nav footer aside form button select textarea input menu dialog iframe svg"
+    "head script style noscript template nav footer aside button select textarea input menu dialog iframe svg"
     " canvas object embed title".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -60,6 +63,9 @@ CHROME_WORDS = frozenset(
     " sidebar widget footer masthead cookie cookies consent notice popup modal overlay newsletter subscribe signup"
     " share sharing social related comment comments disqus pagination pager toolbar".split()
 )
+#: Compounds of a word above: these may stand before it or after it.
+BEFORE_CHROME = frozenset("site main page top bottom primary secondary global".split())
+AFTER_CHROME = frozenset("list area box bar block container wrapper section links link buttons button item items".split())
 ROOTS = frozenset(("article", "main"))
 #: An open element of the first kind ends where one of the second begins.
 ENDS = {
@@ -93,17 +99,37 @@ def _label(tag: str, attributes: str) -> str:
     return tag + (f".{classes}" if classes else "") + (f"@{found['role']}" if found.get("role") else "")
 
 
-@lru_cache(maxsize=4096)
+def _tag(label: str) -> str:
+    return re.split(r"[.@]", label, maxsplit=1)[0]
+
+
 def is_chrome(label: str) -> bool:
-    """Whether an element is no content wherever it stands."""
-    tag = re.split(r"[.@]", label, maxsplit=1)[0]
+    """Whether an element is no content wherever it stands, by its name."""
+    return _tag(label) in CHROME
+
+
+def _chrome_class(name: str) -> bool:
+    """A word for chrome as a whole class name, or a compound of such words: site-nav, comment_list, cookie-notice."""
+    parts = re.split(r"[-_]+", name.strip("-_"))
+    while len(parts) > 1 and parts[0] in BEFORE_CHROME:
+        del parts[0]
+    while len(parts) > 1 and parts[-1] in AFTER_CHROME:
+        del parts[-1]
+    return all(p in CHROME_WORDS for p in parts)
+
+
+@lru_cache(maxsize=4096)
+def maybe_chrome(label: str) -> bool:
+    """Whether role, class or being a form tell an element to be no content, if the page has other content."""
+    tag = _tag(label)
     classes, _, role = label[len(tag) :].partition("@")
-    words = set(re.split(r"[^a-z0-9]+", classes))
-    return tag in CHROME or role in ROLES or (tag not in ROOTS and tag != "body" and bool(words & CHROME_WORDS))
+    if tag in ("html", "body") or not tag:
+        return False
+    return tag == "form" or role in ROLES or (tag not in ROOTS and any(map(_chrome_class, classes.lstrip(".").split())))
 
 
 def parse(page: str | None) -> tuple[Node, list[tuple[int, str]]]:
-    """The skeleton and the page's blocks of text in order, each with its slot. Chrome has no blocks."""
+    """The skeleton and the page's blocks of text in order, each with its slot. Chrome by name has no blocks."""
     root = Node("", 0)
     blocks: list[tuple[int, str]] = []
     if not page:
@@ -258,22 +284,59 @@ def _all(root: Node) -> list[Node]:
 def kept_slots(skeleton: str, varying: set[int]) -> tuple[list[int], bool]:
     """The slots that may be content, given those that vary, and whether template texts go from them."""
     root = read(skeleton)
-    outer, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if node.label.split(".")[0].split("@")[0] in ROOTS:
-            outer.append(node)
-        elif not is_chrome(node.label):
-            todo.extend(node.children)
+    outer, dropped, freed = _content(root, varying)
+    varying = varying - dropped
+    if freed and varying - _slots(outer):
+        outer = []  # an article in what may be chrome is not the whole content
     marked = bool(outer)
     if not outer:
         while not (root.at in varying) and len(below := [c for c in root.children if _holds(c, varying)]) == 1:
             root = below[0]
         outer = [root]
-    inside = {n.at for o in outer for n in _all(o)}
+    inside = _slots(outer) - dropped
     return sorted(inside), not marked or bool(inside & varying)
 
 
+def _content(top: Node, varying: set[int]) -> tuple[list[Node], set[int], bool]:
+    """Below ``top``: the articles and mains, the slots in chrome, and whether an element that may be chrome is none.
+
+    That is one that holds the only article or main, or with others all that varies.
+    """
+    aside = _outermost(top, maybe_chrome)
+    roots = [n for n in _outermost(top, lambda x: _tag(x) in ROOTS or maybe_chrome(x)) if n not in aside]
+    if roots:
+        dropped = _slots(aside)
+        for r in roots:
+            within = _slots(_outermost(r, maybe_chrome))
+            dropped |= within if varying & _slots([r]) - within else set()
+        return roots, dropped, False
+    free = [a for a in aside if _tag(a.label) in ROOTS or _outermost(a, lambda x: _tag(x) in ROOTS)]
+    here = varying & _slots([top])
+    if not free and here <= _slots(aside):
+        free = [a for a in aside if _holds(a, here)]
+    dropped = _slots(a for a in aside if a not in free)
+    for a in free:
+        below = _content(a, varying)
+        roots, dropped = roots + below[0], dropped | below[1]
+    return roots, dropped, bool(free)
+
+
+def _outermost(top: Node, wanted) -> list[Node]:
+    """The outermost elements below ``top`` with such a label, outside chrome."""
+    out, todo = [], list(top.children)
+    while todo:
+        node = todo.pop()
+        if wanted(node.label):
+            out.append(node)
+        elif not is_chrome(node.label):
+            todo.extend(node.children)
+    return out
+
+
+def _slots(nodes: Iterable[Node]) -> set[int]:
+    return {x.at for n in nodes for x in _all(n)}
+
+
 def _holds(node: Node, slots: set[int]) -> bool:
     return any(n.at in slots for n in _all(node))
 

@@ -366,6 +366,27 @@ def test_a_text_is_counted_in_all_skeletons_of_its_slot(spark):
         assert found[4].endswith("Story 4")
 
 
+def test_chrome_is_told_by_whole_class_names(spark):
+    """Layout classes name what a page has or lacks; nothing but chrome goes, whatever holds the text."""
+    article = "<article><h1>Head {n}</h1><p>Text {n}</p><div class='share-buttons'>Share {n}</div></article>"
+    wrapped = {
+        "compound": "<div class='page no-sidebar has-sidebar comments-open social-science'>" + article + "</div>",
+        "html": "<html class='nav-open nav'><body class='widget'>" + article + "</body></html>",
+        "whole": "<div class='top'>Name</div><div class='widget'>" + article + "</div>",
+        "form": "<form><div class='modal'>" + article + "</div></form>",
+        "role": "<div role='dialog'>" + article + "</div>",
+        "other": "<div class='related'><article>Teaser</article></div>" + article + "<div class='site-nav comment'>No {n}</div>",
+        "plain": "<div class='top'>Name</div><div class='overlay'><h1>Head {n}</h1><p>Text {n}</p></div>",
+    }
+    rows = [(i, f"http://{k}.example/", page.format(n=i)) for k, page in wrapped.items() for i in range(3)]
+    rows += [(9, "http://teaser.example/", "<div class='related'><article>Teaser</article></div><div>Story</div>")]
+    for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text == ("Teaser\nStory" if r.page_id == 9 else f"Head {r.page_id}\nText {r.page_id}"), (r.url, r.text)
+    chrome = ["ad", "site-footer", "comment-list", "cookie_notice", "main-nav-bar"]
+    assert all(wrapper.maybe_chrome(f"div.{c}") for c in chrome)
+    assert not any(wrapper.maybe_chrome(f"div.{c}") for c in ("no-sidebar", "comments-open", "nav-open", "has-ads", "main", "list-item"))
+
+
 def test_tree_matching_pairs_what_two_pages_share():
     one = wrapper.written(wrapper.parse("<body><nav>n</nav><div class=a><p>x</p></div><div class=b>y</div></body>")[0])
     two = wrapper.written(wrapper.parse("<body><div class=new>z</div><nav>n</nav><div class=b>y</div></body>")[0])

@@ -2,8 +2,11 @@
 
 ``encode`` turns text into token ids, packed as little-endian unsigned 32-bit
 integers; ``decode`` turns them back into the very bytes of the text. Long texts
-are cut where the splitting pattern cuts anyway, so that neither the pattern nor
-the list of ids ever sees more than about ``LONG`` characters at a time.
+are cut where the splitting pattern cuts anyway, at white space above all. Under
+``PATTERN`` a run of white space of more than ``LONG`` characters is one match, less its
+last character before other text; it is encoded by the ranks alone, as the pattern's
+engine fails on it. Only a longer stretch without white space, or a long run under another
+pattern, is seen whole.
 
 Defined results: a null or empty text has no tokens; special tokens are not
 known, their names are ordinary text. Columns of the input pass through; one
@@ -27,9 +30,13 @@ from pyspark.sql import types as T
 from martline.llm.common import column
 
 LONG = 1 << 16
-#: Before a space that stands between text and a letter: no match of a pattern that
-#: binds a space only to what follows it can span that place.
-_SAFE = regex.compile(r"(?<=\S)(?= \p{L})")
+#: The pattern whose white-space runs are known to be one match.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Before a space that stands between text and a letter, and between a letter and a line
+#: end: no match of a pattern that binds a space only to what follows it can span these.
+_SAFE = regex.compile(r"(?<=\S)(?= \p{L})|(?<=[A-Za-z])(?=[\r\n])")
+#: Under ``PATTERN`` no match goes from text into white space.
+_SAFE_HERE = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})|(?<=[A-Za-z\u4e00-\u9fa5])(?=[,.;:!?、。，；：！？])")
 
 
 @lru_cache(maxsize=4)
@@ -40,20 +47,37 @@ def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
-def pieces(text: str, long: int = LONG) -> Iterator[str]:
-    """``text`` in pieces of about ``long`` characters, cut at safe places only."""
-    start = 0
-    while len(text) - start > long:
-        cut = _SAFE.search(text, start + long)
+def _cut(text: str, start: int, end: int, long: int, safe: regex.Pattern) -> Iterator[str]:
+    while end - start > long:
+        cut = safe.search(text, start + long, end)
         if cut is None:
             break
         yield text[start : cut.start()]
         start = cut.start()
-    yield text[start:]
+    if start < end:
+        yield text[start:end]
+
+
+def _parts(text: str, long: int, known_runs: bool) -> Iterator[tuple[str, bool]]:
+    """``text`` in pieces, each with whether it is one match of white space."""
+    start = 0
+    if known_runs and len(text) > long:
+        for run in regex.finditer(rf"(?<!\p{{White_Space}})\p{{White_Space}}{{{max(long, 1) + 1},}}+", text):
+            yield from ((p, False) for p in _cut(text, start, run.start(), long, _SAFE_HERE))
+            start = run.end() - (run.end() < len(text))
+            yield text[run.start() : start], True
+    yield from ((p, False) for p in _cut(text, start, len(text), long, _SAFE_HERE if known_runs else _SAFE))
+
+
+def pieces(text: str, long: int = LONG) -> Iterator[str]:
+    """``text`` in pieces of about ``long`` characters, cut at safe places of ``PATTERN`` only."""
+    return (p for p, _ in _parts(text, long, True))
 
 
 def encode_text(text: str | None, known: tiktoken.Encoding) -> bytes:
-    return b"".join(np.array(known.encode_ordinary(p), "<u4").tobytes() for p in pieces(text or ""))
+    parts = _parts(text or "", LONG, known._pat_str == PATTERN)
+    ids = (known._encode_single_piece(p.encode()) if run else known.encode_ordinary(p) for p, run in parts)
+    return b"".join(np.array(i, "<u4").tobytes() for i in ids)
 
 
 def decode_ids(ids: bytes | None, known: tiktoken.Encoding, step: int = LONG) -> bytes:

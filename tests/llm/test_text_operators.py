@@ -115,6 +115,30 @@ def test_pieces_are_cut_at_safe_places_only():
     assert list(byte_bpe.pieces("x" * 100, 10)) == ["x" * 100]
 
 
+def test_long_white_space_is_one_match():
+    """Ids as the pattern gives them, where the library itself can be asked; beyond that by round trip."""
+    known = byte_bpe.encoding(RANKS, PATTERN)
+    assert PATTERN == byte_bpe.PATTERN
+    n = byte_bpe.LONG
+    for run in (" " * (n + 1), "\n" * (n + 2), " \n\t\u3000\x85" * n, "\n" * n + "  ", " " * n + "\n"):
+        for before in ("", "word", "it's!", "\x1c"):
+            for after in ("", "word", "'s", "12", "!", "\x1c", "word " * n):
+                text = before + run + after
+                assert np.frombuffer(byte_bpe.encode_text(text, known), "<u4").tolist() == known.encode_ordinary(text)
+    for run in (" " * 2_000_000, "\n" * 2_000_000, " \n" * 1_000_000):
+        for before, after in (("word", "word"), ("", "")):
+            text = before + run + after + run
+            ids = byte_bpe.encode_text(text, known)
+            assert byte_bpe.decode_ids(ids, known) == text.encode()
+            if before:
+                match = known._encode_single_piece(run[:-1].encode())
+                tail = known.encode_ordinary(run[-1] + "word")
+                expected = [*known.encode_ordinary("word"), *match, *tail, *known._encode_single_piece(run.encode())]
+                assert np.frombuffer(ids, "<u4").tolist() == expected
+    lines = "word\n" * 100_000
+    assert max(map(len, byte_bpe.pieces(lines))) <= n + 10
+
+
 def test_records_equal_the_library(spark, docs, real):
     library = Tokenizer.from_file(VOCABULARY)
     for frame in (docs, real):

@@ -5,13 +5,14 @@ Each derives the columns asked for from what its operator returns.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import byte_bpe, line_dedup, minhash, mixing, quality, records, ring, secrets, topk, wrapper
+from martline.llm import byte_bpe, lexical, line_dedup, merkle, minhash, mixing, quality, records, ring, secrets, simhash, topk, wrapper
 from martline.llm.common import whole
 from martline.sources.staging import new_path
 
@@ -120,3 +121,31 @@ def op10_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "home_shard",
     )
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        "doc_id", "source", merkle.digest([*columns, F.col("text")]).alias("leaf"),
+        F.when(tampered, merkle.digest([*columns, lowered])).alias("claim"),
+    )
+    climbed = merkle.climb(merkle.build(leaves, "source", "doc_id", "leaf", "claim"))
+    return climbed.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -47,8 +47,8 @@ SHINGLE, SEED, BITS, WIDTH = 4, 42, 4, 64
 #: Most fingerprints of a block on average; the least for which a trie is cut at all, up to 2**FEW_LEVELS nodes.
 BLOCK, LEAST, FEW_LEVELS = 1 << 20, 1 << 12, 5
 PARTNERS = 8
-#: Pairs of ranges with no more pairs of fingerprints are compared directly; most node pairs held at a time.
-DIRECT, FRONTIER = 256, 1 << 13
+#: Ranges with no more pairs of fingerprints are compared directly, the smaller ones many at a time; most node pairs held at a time.
+DIRECT, FEW, FRONTIER = 1 << 13, 64, 1 << 13
 #: Shingles of a long text that are hashed at a time.
 PART = 1 << 16
 _U64 = np.uint64
@@ -99,6 +99,21 @@ def _product(lo_a, hi_a, lo_b, hi_b) -> tuple[np.ndarray, np.ndarray]:
     return lo_a[of] + at // m[of], lo_b[of] + at % m[of]
 
 
+def _compared(a: np.ndarray, b: np.ndarray, bits: int, lo_a, hi_a, lo_b, hi_b) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the fingerprints within ``bits`` bits of each other, of each pair of ranges."""
+    few = (hi_a - lo_a) * (hi_b - lo_b) <= FEW
+    x, y = _product(lo_a[few], hi_a[few], lo_b[few], hi_b[few])
+    met = np.bitwise_count(a[x] ^ b[y]) <= bits
+    xs, ys = [x[met]], [y[met]]
+    for i, i_end, j, j_end in zip(*(v[~few].tolist() for v in (lo_a, hi_a, lo_b, hi_b))):
+        table = np.bitwise_count(a[i:i_end, None] ^ b[None, j:j_end]) <= bits
+        if table.any():
+            x, y = table.nonzero()
+            xs.append(x + i)
+            ys.append(y + j)
+    return np.concatenate(xs), np.concatenate(ys)
+
+
 def near(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions in two sorted arrays of distinct fingerprints that differ in at most ``bits`` bits, part by part.
 
@@ -120,12 +135,11 @@ def near(a: np.ndarray, b: np.ndarray, bits: int, same: bool) -> Iterator[tuple[
         if level < 0:
             small[:] = True
         if small.any():
-            x, y = _product(lo_a[small], hi_a[small], lo_b[small], hi_b[small])
-            met = np.bitwise_count(a[x] ^ b[y]) <= bits
+            x, y = _compared(a, b, bits, lo_a[small], hi_a[small], lo_b[small], hi_b[small])
             if same:
-                met &= x < y
-            if met.any():
-                yield x[met], y[met]
+                x, y = x[x < y], y[x < y]
+            if len(x):
+                yield x, y
         lo_a, hi_a, lo_b, hi_b, spent = (v[~small] for v in (lo_a, hi_a, lo_b, hi_b, spent))
         if not len(lo_a):
             continue

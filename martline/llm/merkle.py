@@ -33,6 +33,8 @@ from martline.llm.common import column
 from martline.sources.staging import stage
 
 FAN = 16
+#: Bytes of a digest.
+DIGEST = 32
 SPREAD = 128
 #: Tree of the roots; trees of rows are named "n" (null) or "s" and their value, which sorts as asked.
 _TOP = ""
@@ -98,6 +100,10 @@ def _digest_of(kids: str) -> Column:
     return F.sha2(F.array_join(F.transform(kids, lambda k: k["digest"]), ""), 256)
 
 
+def _bytes_of(kids: str) -> Column:
+    return F.unhex(F.array_join(F.transform(kids, lambda k: k["digest"]), ""))
+
+
 def _nodes(parents: DataFrame) -> DataFrame:
     own = F.struct("tree", F.col("level").alias("height"), "idx").alias("id")
     return parents.select("tree", "level", "idx", "n", own, _digest_of("kids").alias("digest"), "weight")
@@ -108,14 +114,16 @@ def _copies(weight: Column) -> Column:
 
 
 def _links(parents: DataFrame) -> DataFrame:
-    """A row per child and copy: its parent, its place there and the digests of all children."""
+    """A row per child and copy: its digest, its parent, and the digests of the children before and after it, as bytes."""
     each = parents.select(
-        F.explode("kids").alias("kid"), F.transform("kids", lambda k: k["digest"]).alias("digests"),
+        F.explode("kids").alias("kid"), _bytes_of("kids").alias("all"),
         F.struct("tree", F.col("level").alias("height"), "idx").alias("up"), _copies(F.col("weight")).alias("up_copies"),
     )
+    place = F.col("kid.place").cast("int")
     return each.select(
         F.col("kid.id").alias("id"), F.explode(F.sequence(F.lit(0), _copies(F.col("kid.weight")) - 1)).alias("salt"),
-        F.col("kid.place").cast("int").alias("place"), "digests", "up", "up_copies",
+        F.unhex("kid.digest").alias("own"), F.substring("all", F.lit(1), place * DIGEST).alias("ahead"),
+        F.substring("all", place * DIGEST + DIGEST + 1, F.octet_length("all")).alias("behind"), "up", "up_copies",
     )
 
 
@@ -181,14 +189,18 @@ def _run_with_claim(lane: Column) -> Column:
     return F.when(F.col("id.height") == 0, lane["claim"]).otherwise(F.sha2(F.array_join(others, ""), 256))
 
 
+def _text(digests: Column | str) -> Column:
+    return F.lower(F.hex(digests))
+
+
 _CLIMB = f"""
 with recursive climb(run, id, salt, folded, siblings, subroot) as (
-    select id, id, 0, folded, '', cast(null as string) from {{runs}}
+    select id, id, 0, folded, cast('' as binary), cast(null as binary) from {{runs}}
     union all
     select c.run, l.up, cast(pmod(xxhash64(c.run), l.up_copies) as int),
-           transform(c.folded, f -> sha2(array_join(transform(l.digests, (d, i) -> if(i = l.place, f, d)), ''), 256)),
-           concat(c.siblings, array_join(filter(l.digests, (d, i) -> i <> l.place), '')),
-           if(l.up.tree = '{_TOP}' and c.id.tree <> '{_TOP}', l.digests[l.place], c.subroot)
+           transform(c.folded, f -> unhex(sha2(lower(hex(concat(l.ahead, f, l.behind))), 256))),
+           concat(c.siblings, l.ahead, l.behind),
+           if(l.up.tree = '{_TOP}' and c.id.tree <> '{_TOP}', l.own, c.subroot)
     from climb c join {{links}} l on c.id.tree = l.id.tree and c.id.height = l.id.height and c.id.idx = l.id.idx and c.salt = l.salt
 )
 select run, folded, siblings, subroot from climb where id.tree = {{tree}} and id.height = {{height}} and id.idx = {{idx}}
@@ -201,7 +213,7 @@ def climb(manifest: Manifest) -> DataFrame:
     The climb counts its rows against a limit of the session, which is lifted while it runs.
     """
     runs, spark = manifest.runs, manifest.runs.sparkSession
-    start = runs.select("id", F.transform("lanes", _run_with_claim).alias("folded"))
+    start = runs.select("id", F.transform("lanes", lambda x: F.unhex(_run_with_claim(x))).alias("folded"))
     before = spark.conf.get(_ROW_LIMIT, None)
     spark.conf.set(_ROW_LIMIT, "-1")
     try:
@@ -218,6 +230,6 @@ def climb(manifest: Manifest) -> DataFrame:
     others = F.array_join(F.transform(F.filter("lanes", lambda x, i: i != F.col("at")), lambda x: x["digest"]), "")
     root = F.lit(manifest.root).cast("string")
     return lanes.select(
-        F.col("lane.key").alias("key"), F.col("lane.digest").alias("leaf"), F.coalesce("subroot", root).alias("subroot"),
-        root.alias("root"), F.concat(others, F.col("siblings")).alias("proof"), F.col("folded")[F.col("at")].alias("folded_root"),
+        F.col("lane.key").alias("key"), F.col("lane.digest").alias("leaf"), F.coalesce(_text("subroot"), root).alias("subroot"),
+        root.alias("root"), F.concat(others, _text("siblings")).alias("proof"), _text(F.col("folded")[F.col("at")]).alias("folded_root"),
     )

@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martline.sources import parts
+from martline.sources.fs import delete as _delete
+from martline.sources.fs import exists, names_in
+from martline.sources.fs import read_text as _read_text
+from martline.sources.fs import write_text as _write_text
 from martline.sources.staging import stage
 
 CORRUPT = "_corrupt_record"
@@ -20,46 +25,6 @@ _SCHEMA = "_SCHEMA"
 _MANIFEST = "_MANIFEST"
 
 
-# Small files beside the data, through the file system of the path itself.
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file: written aside, then renamed over the old one in one step."""
-    p, fs = _fs(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
-    out = fs.create(aside, True)
-    out.write(bytearray(text, "utf-8"))
-    out.close()
-    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(aside), fs.makeQualified(p), options)
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _fs(spark, path)
-    fs.delete(p, True)
-
-
 _CSV = {
     "header": "true", "quote": '"', "escape": '"', "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -142,11 +107,9 @@ def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> Dat
     pointer = f"{path}/{_POINTER}"
     previous = _read_text(spark, pointer).split("\n")[0] if exists(spark, pointer) else None
     _write_text(spark, pointer, f"{version}\n{df.schema.json()}")
-    root, fs = _fs(spark, path)
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
+    for name in names_in(spark, path):
         if name.startswith("version-") and name not in (version, previous):
-            fs.delete(status.getPath(), True)
+            _delete(spark, f"{path}/{name}")
     return load_table(spark, path)
 
 
@@ -175,6 +138,8 @@ def ensure_table(
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A growing table under its recorded schema, without reading file footers."""
+    if parts.is_table(spark, path):
+        return parts.read_parts(spark, path).select(*parts.schema_of(spark, path).fieldNames())
     if exists(spark, f"{path}/{_MANIFEST}"):
         return _read_months(spark, path, _read_manifest(spark, path))
     return spark.read.schema(_struct(_read_text(spark, f"{path}/{_SCHEMA}"))).parquet(path)
@@ -182,7 +147,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` if there is none yet."""
-    if exists(spark, f"{path}/{_SCHEMA}") or exists(spark, f"{path}/{_MANIFEST}"):
+    if parts.is_table(spark, path) or exists(spark, f"{path}/{_SCHEMA}") or exists(spark, f"{path}/{_MANIFEST}"):
         return read_table(spark, path)
     return spark.createDataFrame([], schema)
 
@@ -250,11 +215,9 @@ def _commit_months(spark: SparkSession, path: str, rows: DataFrame, kept: dict,
     manifest = {"schema": json.loads(rows.schema.json()), "months": {**kept, **months}}
     _write_text(spark, f"{path}/{_MANIFEST}", json.dumps(manifest))
     used = {e["folder"] for m in (manifest, previous) for e in m["months"].values()}
-    root, fs = _fs(spark, path)
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
+    for name in names_in(spark, path):
         if name.startswith("data-") and name not in used:
-            fs.delete(status.getPath(), True)
+            _delete(spark, f"{path}/{name}")
 
 
 def upsert_increment(

@@ -365,6 +365,18 @@ SQL["ingest_rejects"] = CLEAN(_MIXED + " select mixed as value from mixed, range
 SQL["ingest_summary"] = CLEAN(
     _MIXED + " select 2 * count(*) as messages, 2 * count(*) filter (where not ok) as rejected from mixed"
 )
+SQL["figures_of_batches"] = CLEAN("""
+select store_id, store_name, ship_city, count(*) as events,
+  floor((sum(quantity * unit_price - discount_amount)) * 1e6 + 0.5) / 1e6 as revenue,
+  floor((avg(quantity * unit_price - discount_amount)) * 1e6 + 0.5) / 1e6 as aov,
+  strftime(max(created_at), '%Y-%m-%d %H:%M:%S.000000') as last_event
+from raw_stream where store_id not in ('STORE-102', 'STORE-103') group by all""")
+SQL["newest_events"] = CLEAN("""
+select event_id, store_name, pos_terminal_id, order_id, product_id, quantity,
+  floor((quantity * unit_price - discount_amount) * 1e6 + 0.5) / 1e6 as net_amount, channel, payment_method,
+  strftime(date_trunc('second', created_at), '%Y-%m-%d %H:%M:%S.000000') as created_at
+from raw_stream where store_id not in ('STORE-102', 'STORE-103')
+order by date_trunc('second', raw_stream.created_at) desc, event_id limit 8""")
 SQL["dedupe_within"] = CLEAN(_MIXED + " select event_id, store_id, order_date from mixed where ok")
 SQL["read_or_empty"] = CLEAN(_MIXED + """
 select 'events' as table_name, count(*) as row_count from mixed where ok union all select 'missing', 0""")

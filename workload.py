@@ -757,6 +757,18 @@ def ingest_summary(spark, d):
     return streams.ingest_summary(spark, _ingested(spark, d)).select("messages", "rejected")
 
 
+@query
+def figures_of_batches(spark, d):
+    """Figures per store, merged from what the batches of the stream query left."""
+    return live.breakdown_of(live.read_figures(spark, _ingested(spark, d)))
+
+
+@query
+def newest_events(spark, d):
+    """The ticker over the table that the stream query filled."""
+    return live.newest_events(spark, _ingested(spark, d))
+
+
 @query
 def dedupe_within(spark, d):
     """The same messages twice, deduplicated within an hour of state and drained into files."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +56,14 @@ def staged_hot_keys(df: DataFrame, keys: Sequence[str], pieces: int | None = Non
     return {k: hot.where(F.col("_of") == k).select(F.col("_key").cast(df.schema[k].dataType).alias(k), "_salts") for k in keys}
 
 
+def hot_keys_for(df: DataFrame, dimensions: Mapping[str, DataFrame]) -> dict[str, DataFrame | None]:
+    """``staged_hot_keys`` for the keys whose dimension is too large to be broadcast; None, and no scan, for the others."""
+    limit = broadcast_limit(df)
+    large = [key for key, dimension in dimensions.items() if estimated_bytes(dimension) > limit]
+    counted = staged_hot_keys(df, large) if large else {}
+    return {key: counted.get(key) for key in dimensions}
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from martline import schemas
 from martline.operators import clean, quality
 from martline.operators.details import order_details
-from martline.operators.history import scd2_merge, scd2_overlaps
-from martline.operators.joins import missing_days, staged_hot_keys
+from martline.operators.history import scd2_overlaps
+from martline.operators.joins import hot_keys_for, missing_days
 from martline.operators.metrics import Thresholds, customer_metrics, product_metrics
 from martline.plans import dates, marts
-from martline.sources.files import MONTH, exists, load_table, read_table, save_table, upsert_increment
+from martline.sources.files import MONTH, read_table, save_table, upsert_increment
+from martline.sources.snapshots import snapshot
 from martline.sources.staging import stage, temporary_stages
 
 
@@ -145,13 +146,6 @@ def history_checks(history: DataFrame) -> list[quality.Check]:
     ]
 
 
-def snapshot(current: DataFrame, key: str, tracked: Sequence[str], path: str, run_ts: datetime) -> DataFrame:
-    """Merge ``current`` into the history table at ``path``."""
-    spark = current.sparkSession
-    history = load_table(spark, path) if exists(spark, f"{path}/_CURRENT") else None
-    return save_table(scd2_merge(history, current, key, tracked, run_ts), path)
-
-
 def together(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
     """Run independent steps side by side, so that small ones fill idle executors."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -188,7 +182,7 @@ def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     )
     report |= quality.enforce(staging_checks(customers, products, sales, s))
 
-    hot = staged_hot_keys(sales, ["customer_id", "product_id"])
+    hot = hot_keys_for(sales, {"customer_id": customers, "product_id": products})
     details = order_details(
         sales, products, customers, hot_products=hot["product_id"], hot_customers=hot["customer_id"]
     )

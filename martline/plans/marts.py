@@ -82,10 +82,11 @@ def fact_sales(details: DataFrame, dates: DataFrame) -> DataFrame:
     return fact.withColumn("loaded_at", F.current_timestamp())
 
 
-def hot_sks(hot: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def hot_sks(hot: Mapping[str, DataFrame | None]) -> dict[str, DataFrame | None]:
     """Hot customer and product ids as the surrogate keys that the wide table joins by."""
+    found = {k: hot[f"{k}_id"] for k in ("customer", "product")}
     return {
-        f"hot_{k}s": hot[f"{k}_id"].select(hash_key(f"{k}_id").alias(f"{k}_sk"), "_salts") for k in ("customer", "product")
+        f"hot_{k}s": None if ids is None else ids.select(hash_key(f"{k}_id").alias(f"{k}_sk"), "_salts") for k, ids in found.items()
     }
 
 

@@ -199,7 +199,62 @@ def _month_name(column: Column) -> Column:
     return F.coalesce(column, F.lit(_NO_MONTH))
 
 
-def _commit_months(spark: SparkSession, path: str, rows: DataFrame, kept: dict, watermark: str, previous: dict) -> None:
+#: Keys per 64-bit word of a month's filter, and bits that a key sets in its word.
+_PER_WORD, _BITS = 4, 5
+
+
+def _word_and_mask(key: Column) -> tuple[Column, Column]:
+    """A hash that picks the word (by its last bits) and the bits of a key in it."""
+    drawn = F.xxhash64(F.lit(17), key)
+    places = [F.shiftrightunsigned(drawn, 6 * i).bitwiseAND(63).cast("int") for i in range(_BITS)]
+    ones = [F.call_function("shiftleft", F.lit(1).cast("bigint"), place) for place in places]
+    return F.xxhash64(key), reduce(Column.bitwiseOR, ones)
+
+
+def _write_filters(written: DataFrame, key: str, folder: str) -> dict[str, int]:
+    """One Bloom filter of the keys of each month, as rows of a word each; the number of words by month.
+
+    A word takes about ``_PER_WORD`` keys, so a filter has 2 to 4 bytes per key, and
+    one in some hundred foreign keys passes.
+    """
+    months = written.groupBy(_month_name(F.col(MONTH)).alias("month")).agg(F.count("*").alias("n"))
+    words = F.pow(2, F.ceil(F.log2(F.greatest(F.col("n") / _PER_WORD, F.lit(1.0))))).cast("bigint")
+    sizes = {r["month"]: r["words"] for r in months.select("month", words.alias("words")).collect()}  # one row per month
+    by_month = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]) if sizes else F.lit(None).cast("map<string,bigint>")
+    hashed, mask = _word_and_mask(F.col(key))
+    keyed = written.select(_month_name(F.col(MONTH)).alias("month"), hashed.alias("h"), mask.alias("mask"))
+    words_of = keyed.select("month", F.col("h").bitwiseAND(by_month[F.col("month")] - 1).alias("word"), "mask")
+    words_of.groupBy("month", "word").agg(F.bit_or("mask").alias("bits")).write.parquet(f"{folder}/_filters")
+    return sizes
+
+
+def months_that_may_hold(spark: SparkSession, path: str, manifest: dict, keys: DataFrame, key: str) -> set[str]:
+    """Months whose filter lets a key of ``keys`` pass; months without a filter always do. Reads filters only.
+
+    A key is looked up once per filter size; there are few, as sizes are powers of two.
+    """
+    months = manifest["months"]
+    open_months = {m for m, e in months.items() if not e.get("words")}
+    with_filter = {m: e for m, e in months.items() if e.get("words")}
+    if not with_filter:
+        return open_months
+    kind = "month string, word bigint, bits bigint"
+    scans = []
+    for folder in sorted({e["folder"] for e in with_filter.values()}):
+        mine = {m: e["words"] for m, e in with_filter.items() if e["folder"] == folder}
+        words = F.create_map(*[F.lit(x) for pair in mine.items() for x in pair])
+        rows = spark.read.schema(kind).parquet(f"{path}/{folder}/_filters").where(F.col("month").isin(list(mine)))
+        scans.append(rows.withColumn("words", words[F.col("month")]))
+    filters = reduce(DataFrame.unionByName, scans)
+    hashed, mask = _word_and_mask(F.col(key))
+    sizes = F.explode(F.array(*[F.lit(w).cast("bigint") for w in sorted({e["words"] for e in with_filter.values()})]))
+    asked = keys.select(hashed.alias("h"), mask.alias("mask")).select("h", "mask", sizes.alias("words"))
+    asked = asked.select("words", F.col("h").bitwiseAND(F.col("words") - 1).alias("word"), "mask")
+    passed = filters.join(asked, ["words", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    return open_months | {r["month"] for r in passed.select("month").distinct().collect()}  # one row per month
+
+
+def _commit_months(spark: SparkSession, path: str, rows: DataFrame, key: str, kept: dict, watermark: str, previous: dict) -> None:
     """Write ``rows`` to a new folder and swap the manifest to them and the months ``kept``.
 
     The swap is one rename. Until then the table is as it was; a folder that a
@@ -210,8 +265,9 @@ def _commit_months(spark: SparkSession, path: str, rows: DataFrame, kept: dict,
     _writer(rows, MONTH).parquet(f"{path}/{folder}")
     written = spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
     newest = written.groupBy(_month_name(F.col(MONTH)).alias("month")).agg(F.max(watermark).cast("string").alias("newest"))
+    words = _write_filters(written, key, f"{path}/{folder}")
     # One row per month.
-    months = {r["month"]: {"folder": folder, "newest": r["newest"]} for r in newest.collect()}
+    months = {r["month"]: {"folder": folder, "newest": r["newest"], "words": words[r["month"]]} for r in newest.collect()}
     manifest = {"schema": json.loads(rows.schema.json()), "months": {**kept, **months}}
     _write_text(spark, f"{path}/{_MANIFEST}", json.dumps(manifest))
     used = {e["folder"] for m in (manifest, previous) for e in m["months"].values()}
@@ -232,8 +288,8 @@ def upsert_increment(
     """Bring the table at ``path``, kept by month of ``watermark``, up to date.
 
     Only months that receive rows or hold a row being replaced are rewritten. A
-    key can sit in any month, so finding those reads the key column of the whole
-    table; nothing else of the other months is read. Rows, schema and the newest
+    key can sit in any month: Bloom filters beside the data tell which months may hold
+    one of the increment, and only of these the key column is read. Rows, schema and the newest
     day, from which the next increment starts, change in one step: a failed run
     changes nothing and can be run again. ``full_refresh`` replaces all rows.
     """
@@ -242,12 +298,13 @@ def upsert_increment(
     known = exists(spark, f"{path}/{_MANIFEST}")
     manifest = _read_manifest(spark, path) if known else {"schema": None, "months": {}}
     if full_refresh or not known:
-        _commit_months(spark, path, rows, {}, watermark, manifest)
+        _commit_months(spark, path, rows, key, {}, watermark, manifest)
         return
     newest = max((e["newest"] for e in manifest["months"].values() if e["newest"]), default="1900-01-01")
     due = F.col(watermark) >= F.date_sub(F.lit(newest).cast("date"), lookback_days)
     increment = stage(rows.where(due), "increment")
-    target = _read_months(spark, path, manifest)
+    candidates = months_that_may_hold(spark, path, manifest, increment, key)
+    target = _read_months(spark, path, manifest, candidates)
     replaced = target.select(key, MONTH).join(increment.select(key), key, "left_semi")
     found = increment.select(MONTH).union(replaced.select(MONTH)).select(_month_name(F.col(MONTH)).alias("month"))
     # One row per month.
@@ -256,4 +313,4 @@ def upsert_increment(
         return
     merged = merge_rows(_read_months(spark, path, manifest, touched), increment, key)
     kept = {m: e for m, e in manifest["months"].items() if m not in touched}
-    _commit_months(spark, path, merged, kept, watermark, manifest)
+    _commit_months(spark, path, merged, key, kept, watermark, manifest)

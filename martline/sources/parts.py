@@ -51,6 +51,15 @@ def schema_of(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType.fromJson(_load(spark, path)["schema"])
 
 
+def widen(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Add the columns of ``schema`` that the table lacks; rows written before have null there."""
+    table = _load(spark, path)
+    known = T.StructType.fromJson(table["schema"])
+    lacking = [f for f in schema.fields if f.name not in known.fieldNames()]
+    if lacking:
+        _save(spark, path, table | {"schema": json.loads(T.StructType([*known.fields, *lacking]).json())})
+
+
 def write_part(rows: DataFrame, path: str, name: str) -> None:
     """Write or replace the batch ``name`` (without slashes or commas)."""
     rows.write.mode("overwrite").parquet(f"{path}/part={_batch(name)}")

@@ -1,12 +1,14 @@
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from martline.operators.history import current_rows, scd2_merge, scd2_overlaps
 from martline.schemas import POS_EVENT, RAW_SALES
-from martline.sources import files
+from martline.sources import files, parts
+from martline.sources.snapshots import snapshot
 from martline.sources.staging import stage, temporary_stages
 
 D = date(2024, 3, 31)
@@ -215,3 +217,93 @@ def test_overlaps_are_found_only_by_the_strict_check(spark):
     two_open = out.withColumn("valid_to", F.lit(None).cast("timestamp"))
     assert scd2_overlaps(two_open, "id").count() == 0
     assert scd2_overlaps(two_open, "id", strict=True).count() == 1
+
+
+def test_an_increment_opens_only_months_that_may_hold_its_keys(spark, tmp_path, monkeypatch):
+    path = tmp_path / "fact"
+    first = [(f"k{m}-{i}", date(2023 + m // 12, m % 12 + 1, 1 + i % 28), 1.0) for m in range(24) for i in range(60)]
+    _load(spark, path, first)
+    read, real = [], files._read_months
+
+    def watched(spark, path, manifest, months=None):
+        read.append(set(manifest["months"]) if months is None else set(months))
+        return real(spark, path, manifest, months)
+
+    monkeypatch.setattr(files, "_read_months", watched)
+    _load(spark, path, [("k3-5", date(2025, 1, 2), 2.0), ("k17-0", date(2025, 1, 3), 2.0), ("new", date(2025, 1, 2), 3.0)])
+    opened = set.union(*read)
+    assert {"2023-04", "2024-06"} <= opened and len(opened) <= 5
+    monkeypatch.undo()
+    changed = {"k3-5": (date(2025, 1, 2), 2.0), "k17-0": (date(2025, 1, 3), 2.0)}
+    expected = [(k, *changed.get(k, (d, p))) for k, d, p in first] + [("new", date(2025, 1, 2), 3.0)]
+    assert _fact(spark, path) == sorted(expected, key=repr)
+
+
+def test_filters_pass_every_key_and_few_others(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows_ = spark.range(40_000).selectExpr("concat('k', id) as order_line_sk", "date_add(date'2024-01-01', int(id % 60)) as order_date")
+    files.upsert_increment(rows_, path)
+    manifest = files._read_manifest(spark, path)
+
+    def passing(keys):
+        return files.months_that_may_hold(spark, path, manifest, keys.selectExpr("concat('k', id) as key"), "key")
+
+    assert passing(spark.range(7, 8)) == {"2024-01"} and passing(spark.range(40, 41)) == {"2024-02"}
+    hashed, mask = files._word_and_mask(F.concat(F.lit("k"), "id"))
+    words = spark.read.parquet(f"{path}/{manifest['months']['2024-01']['folder']}/_filters").where("month = '2024-01'")
+    n = manifest["months"]["2024-01"]["words"]
+    asked = spark.range(1_000_000, 1_050_000).select(hashed.bitwiseAND(n - 1).alias("word"), mask.alias("mask"))
+    assert asked.join(words, "word").where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).count() < 1000
+
+
+# stored history
+
+RESIDENTS = "id string, city string, note string"
+
+
+def _residents(spark, n=300, **moved):
+    data = [(f"p{i}", moved.get(f"p{i}", f"city{i % 7}"), "x") for i in range(n)]
+    return spark.createDataFrame(data, RESIDENTS)
+
+
+def _stored_rows(path):
+    return {p.name: sum(pq.read_table(f).num_rows for f in p.glob("*.parquet")) for p in path.glob("part=*")}
+
+
+def test_a_snapshot_run_writes_its_changes_only(spark, tmp_path):
+    path = tmp_path / "history"
+    runs = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    states = [_residents(spark), _residents(spark, p7="Rome", p8="Oslo"), _residents(spark, 299, p7="Rome", p8="Bonn").withColumn("note", F.lit("y"))]
+    merged = None
+    for run, state in zip(runs, states):
+        stored = snapshot(state, "id", ["city"], str(path), run, invalidate_deletes=True)
+        merged = stage(scd2_merge(merged, state, "id", ["city"], run, invalidate_deletes=True))
+        assert rows(stored, *merged.columns) == rows(merged)
+    assert sorted(_stored_rows(path).values()) == [3, 4, 300]
+    assert rows(snapshot(states[2], "id", ["city"], str(path), runs[2], invalidate_deletes=True), *merged.columns) == rows(merged)
+    assert sorted(_stored_rows(path).values()) == [3, 4, 300]
+
+
+def test_snapshots_merge_their_parts_and_take_new_columns(spark, tmp_path):
+    path, merged = str(tmp_path / "history"), None
+    for n in range(20):
+        state = _residents(spark, 10, p1=f"c{n}", p2=None)
+        if n > 15:
+            state = state.withColumn("added", F.lit(n)).drop("note")
+        run = datetime(2024, 1, 1 + n)
+        stored = snapshot(state, "id", ["city"], path, run)
+        if n in (0, 15, 16, 17):
+            assert len(rows(stored.where("valid_to IS NULL"))) == 10
+    versions = stored.where("id = 'p1'").orderBy("valid_from").collect()
+    assert [v.city for v in versions] == [f"c{n}" for n in range(20)]
+    assert [v.valid_to for v in versions] == [datetime(2024, 1, 2 + n) for n in range(19)] + [None]
+    assert [v.added for v in versions] == [None] * 16 + [16, 17, 18, 19] and versions[-1].note is None
+    assert stored.where("id = 'p2'").count() == 1
+    assert len(parts.part_names(spark, path)) < parts.FAN
+
+
+def test_a_snapshot_refuses_repeated_keys(spark, tmp_path):
+    twice = _residents(spark, 2).union(_residents(spark, 1))
+    with pytest.raises(ValueError, match="id is not unique: p0"):
+        snapshot(twice, "id", ["city"], str(tmp_path / "history"), datetime(2024, 1, 1))
+    assert not files.exists(spark, str(tmp_path / "history"))

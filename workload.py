@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from martline import schemas
 from martline.operators import clean, history, quality, sampling, temporal
 from martline.operators.details import order_details
-from martline.operators.joins import left_join, missing_days, orphan_rows, orphans, staged_hot_keys
+from martline.operators.joins import hot_keys_for, left_join, missing_days, orphan_rows, orphans, staged_hot_keys
 from martline.operators.metrics import (
     Thresholds,
     customer_metrics,
@@ -32,7 +32,7 @@ from martline.operators.metrics import (
 from martline.operators.ranking import global_rank
 from martline.plans import build as building
 from martline.plans import cards, dates, marts
-from martline.sources import files, retail
+from martline.sources import files, retail, snapshots
 from martline.sources.staging import new_path, stage
 from martline.streaming import ingest as streams
 from martline.streaming import live
@@ -114,11 +114,12 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 def _details(spark: SparkSession, d: str, as_of: date, stream: bool) -> DataFrame:
     batch = _dirty(spark, d)
     events = retail.raw_sales_stream(spark, d) if stream else None
-    hot = staged_hot_keys(clean.union_sales(batch, events), ["customer_id", "product_id"])
+    products, customers = _products(spark, d), _customers(spark, d)
+    hot = hot_keys_for(clean.union_sales(batch, events), {"customer_id": customers, "product_id": products})
     return order_details(
         clean.stg_sales(batch, events, as_of=as_of),
-        _products(spark, d),
-        _customers(spark, d),
+        products,
+        customers,
         hot_products=hot["product_id"],
         hot_customers=hot["customer_id"],
     )
@@ -551,7 +552,7 @@ def upsert_increment(spark, d):
 _RUNS = [datetime(2024, 1, day) for day in (1, 2, 3)]
 
 
-def _customer_history(spark: SparkSession, d: str) -> DataFrame:
+def _customer_states(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     """Three runs: customers of two segments move, low balances leave, some sign up late."""
     now = _customers(spark, d).select(*schemas.CUSTOMER_HISTORY)
     late = F.col("signup_date") >= date(1999, 1, 1)
@@ -561,8 +562,12 @@ def _customer_history(spark: SparkSession, d: str) -> DataFrame:
         "gender": F.lit("X"),
     })
     kept = moved.where(F.col("income_bracket") != "LOW")
+    return now.where(~late), moved, kept.withColumn("city", F.col("state"))
+
+
+def _customer_history(spark: SparkSession, d: str) -> DataFrame:
     out = None
-    for run, rows in zip(_RUNS, (now.where(~late), moved, kept.withColumn("city", F.col("state")))):
+    for run, rows in zip(_RUNS, _customer_states(spark, d)):
         merged = history.scd2_merge(out, rows, "customer_id", schemas.CUSTOMER_TRACKED, run)
         out = stage(merged, "customer-history")
     return out
@@ -575,6 +580,15 @@ def scd2_customers(spark, d):
     )
 
 
+@named("snapshot")
+def snapshot_customers(spark, d):
+    """The three runs of ``scd2_merge`` over a stored history, read back from its parts."""
+    path = new_path(spark, "snapshot")
+    for run, rows in zip(_RUNS, _customer_states(spark, d)):
+        snapshots.snapshot(rows, "customer_id", schemas.CUSTOMER_TRACKED, path, run)
+    return snapshots.read_history(spark, path).select("customer_id", "city", "gender", "income_bracket", *history.META)
+
+
 @query
 def scd2_products(spark, d):
     """Two runs: large parts get dearer, brands change unnoticed, deletes are closed."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
@@ -55,6 +56,74 @@ def _line_totals(units: str) -> list[Column]:
     ]
 
 
+# --- totals that can be merged over months -----------------------------------------
+
+_SUMS = {"net_revenue": "decimal(38,2)", "gross_revenue": "decimal(38,2)", "total_cost": "decimal(38,2)", "net_profit": "decimal(38,2)"}
+
+
+def metric_state(lines: DataFrame, keys: Sequence[str], sets: Sequence[str], month: str = "sale_month") -> DataFrame:
+    """Totals per month and key, and the distinct values of ``sets`` per month and key.
+
+    A row without ``kind`` holds sums, counts and dates. Other rows are a key with one
+    value of the column that ``kind`` names: sets as rows merge exactly, spread over
+    the cluster, and stay small for keys with few values, which bitmaps would not.
+    """
+    totals = lines.groupBy(month, *keys).agg(
+        F.count("*").alias("lines"), F.sum("quantity").alias("units"),
+        *[F.sum(c).cast(kind).alias(c) for c, kind in _SUMS.items()], F.count("net_revenue").alias("priced"),
+        F.sum(F.col("profit_margin_pct").cast("decimal(30,12)")).cast("decimal(38,12)").alias("margin"),
+        F.count("profit_margin_pct").alias("with_margin"),
+        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
+    )
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in sets]))
+    values = lines.select(month, *keys, pairs.alias("p")).select(month, *keys, "p.*").where("value IS NOT NULL").distinct()
+    return totals.unionByName(values, allowMissingColumns=True)
+
+
+def _merged(state: DataFrame, keys: Sequence[str], units: str, mean: str, distinct: Mapping[str, str], dates: tuple[str, str]) -> DataFrame:
+    """Totals of all months: sums added up, values counted once however many months have them."""
+    totals = state.where("kind IS NULL").drop("kind", "value")
+    values = state.where("kind IS NOT NULL").select(*keys, "kind", "value").distinct()
+    both = totals.unionByName(values, allowMissingColumns=True)
+    counts = {c: F.count_if(F.col("kind").eqNullSafe(c)) for c in distinct}
+    return both.groupBy(*keys).agg(
+        counts["order_id"].alias("total_orders"), F.sum("lines").alias("total_line_items"), F.sum("units").alias(units),
+        *[F.sum(c).cast("decimal(38,2)").alias(name) for c, name in zip(_SUMS, ("total_revenue", "total_gross_revenue", "total_cost", "total_profit"))],
+        (F.sum("margin").cast("double") / F.sum("with_margin")).alias("avg_profit_margin_pct"),
+        (F.sum("net_revenue").cast("double") / F.sum("priced")).alias(mean),
+        F.min("first_date").alias(dates[0]), F.max("last_date").alias(dates[1]),
+        *[counts[c].alias(name) for c, name in distinct.items() if c != "order_id"],
+        F.count_if(F.col("lines").isNotNull() & F.col("sale_month").isNotNull()).alias("active_months"),
+    )
+
+
+CUSTOMER_KEYS, PRODUCT_KEYS = ["customer_id", "customer_sk"], ["product_id", "product_sk"]
+
+
+def customer_state(lines: DataFrame) -> DataFrame:
+    return metric_state(lines, CUSTOMER_KEYS, ["order_id", "product_id"])
+
+
+def product_state(lines: DataFrame) -> DataFrame:
+    return metric_state(lines, PRODUCT_KEYS, ["order_id", "customer_id"])
+
+
+def merged_customer_metrics(state: DataFrame, *, as_of: date, thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """``customer_metrics`` from the states of all months."""
+    found = {"order_id": "total_orders", "product_id": "distinct_products_purchased"}
+    dates = ("first_order_date", "last_order_date")
+    totals = _merged(state, CUSTOMER_KEYS, "total_units_purchased", "avg_order_value", found, dates)
+    return segment_customers(totals, as_of=as_of, thresholds=thresholds)
+
+
+def merged_product_metrics(state: DataFrame) -> DataFrame:
+    """``product_metrics`` from the states of all months."""
+    found = {"order_id": "total_orders", "customer_id": "unique_customers"}
+    dates = ("first_sale_date", "last_sale_date")
+    totals = _merged(state, PRODUCT_KEYS, "total_units_sold", "avg_revenue_per_order", found, dates)
+    return rank_products(totals.drop("active_months"))
+
+
 def customer_metrics(
     details: DataFrame, *, as_of: date, thresholds: Thresholds = Thresholds()
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martline.operators.joins import orphans
@@ -131,24 +131,62 @@ class Check:
     counts: DataFrame
 
 
-def rules(
-    table: str,
-    df: DataFrame,
-    *,
-    not_null: Sequence[str] = (),
-    accepted: Mapping[str, Sequence] | None = None,
-    errors: Mapping[str, Column] | None = None,
-    warnings: Mapping[str, Column] | None = None,
-) -> Check:
-    """All row rules of one table, counted in one pass. ``errors`` and ``warnings``
-    are true for rows that break the rule."""
-    conditions = {f"{c}.not_null": F.col(c).isNull() for c in not_null}
-    for column, values in (accepted or {}).items():
-        conditions[f"{column}.accepted"] = ~F.col(column).isin(list(values))
-    conditions |= {**(errors or {}), **(warnings or {})}
-    counts = count_where(df, {f"{table}.{name}": rule for name, rule in conditions.items()})
-    soft = [f"{table}.{name}" for name in warnings or {}]
-    return Check(counts.withColumn("severity", F.when(F.col("check").isin(soft), WARN).otherwise(ERROR)))
+class Watch:
+    """The row rules of one table, counted by a scan or by the write that stores the table.
+
+    ``errors`` and ``warnings`` are true for rows that break the rule.
+    """
+
+    def __init__(
+        self, table: str, *, not_null: Sequence[str] = (), accepted: Mapping[str, Sequence] | None = None,
+        errors: Mapping[str, Column] | None = None, warnings: Mapping[str, Column] | None = None,
+    ):
+        hard = {f"{c}.not_null": F.col(c).isNull() for c in not_null}
+        for column, values in (accepted or {}).items():
+            hard[f"{column}.accepted"] = ~F.col(column).isin(list(values))
+        self.table = table
+        self.conditions = {f"{table}.{name}": rule for name, rule in (hard | {**(errors or {}), **(warnings or {})}).items()}
+        self.soft = {f"{table}.{name}" for name in warnings or {}}
+        self._seen: Observation | None = None
+
+    def counters(self) -> list[Column]:
+        """One count per rule, named ``r0``, ``r1`` and so on."""
+        broken = [F.sum(rule.cast("bigint")) for rule in self.conditions.values()]
+        return [F.coalesce(n, F.lit(0)).alias(f"r{i}") for i, n in enumerate(broken)]
+
+    def named(self, row: Mapping[str, int]) -> dict[str, int]:
+        """Violations by rule from a row of ``counters``."""
+        return {name: row[f"r{i}"] for i, name in enumerate(self.conditions)}
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        """``rows``, which are counted when they are next written. Attach last, behind any shuffle, so that no row counts twice."""
+        self._seen = Observation()
+        return rows.observe(self._seen, *self.counters())
+
+    def seen(self) -> dict[str, int]:
+        """Violations by rule, as the write has counted them."""
+        return self.named(self._seen.get)
+
+    def check(self, spark: SparkSession, counts: Mapping[str, int]) -> Check:
+        """The check that ``counts`` is the answer of."""
+        found = [(name, WARN if name in self.soft else ERROR, n) for name, n in counts.items()]
+        return Check(spark.createDataFrame(found, "check string, severity string, violations bigint"))
+
+    def scan(self, rows: DataFrame) -> Check:
+        """All rules counted in one pass over ``rows``."""
+        counts = count_where(rows, self.conditions)
+        return Check(counts.withColumn("severity", F.when(F.col("check").isin(list(self.soft)), WARN).otherwise(ERROR)))
+
+    def refuse(self, counts: Mapping[str, int]) -> None:
+        """Raise ``GateError`` if rules of error severity are broken."""
+        failed = {name: n for name, n in counts.items() if n and name not in self.soft}
+        if failed:
+            raise GateError(failed)
+
+
+def rules(table: str, df: DataFrame, **conditions) -> Check:
+    """All row rules of one table, counted in one pass; see ``Watch``."""
+    return Watch(table, **conditions).scan(df)
 
 
 def foreign_key(

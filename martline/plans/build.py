@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass, field
@@ -18,7 +18,7 @@ from martline.operators.history import scd2_overlaps
 from martline.operators.joins import hot_keys_for, missing_days
 from martline.operators.metrics import Thresholds, customer_metrics, product_metrics
 from martline.plans import dates, marts
-from martline.sources.files import MONTH, read_table, save_table, upsert_increment
+from martline.sources.files import MONTH, commit_version, read_table, rule_counts, upsert_increment, write_version
 from martline.sources.snapshots import snapshot
 from martline.sources.staging import stage, temporary_stages
 
@@ -64,16 +64,49 @@ def _related(table: str, df: DataFrame, *links: tuple[str, DataFrame, str]) -> l
     ]
 
 
-def staging_checks(
-    customers: DataFrame, products: DataFrame, sales: DataFrame, s: Settings
+def staging_rules(s: Settings) -> dict[str, quality.Watch]:
+    """Row rules of the staging tables."""
+    watches = [
+        quality.Watch("stg_customers", not_null=["customer_sk", "customer_id", "email", "cohort"], accepted={"cohort": s.cohorts}),
+        quality.Watch("stg_products", not_null=["product_sk", "product_id", "product_name", "list_price"]),
+        quality.Watch("stg_sales", not_null=["order_line_sk", "order_id", "quantity", "unit_price"]),
+    ]
+    return {w.table: w for w in watches}
+
+
+def mart_rules(s: Settings) -> dict[str, quality.Watch]:
+    """Row rules of the marts."""
+    in_range = F.col("profit_margin_pct").between(-100, 100)
+    watches = [
+        quality.Watch("dim_customer", not_null=["customer_sk", "customer_id", "email", "cohort"],
+                      accepted={"income_bracket": s.income_brackets}),
+        quality.Watch("dim_product", not_null=["product_sk", "product_id", "product_name", "list_price"]),
+        quality.Watch("dim_date", not_null=["date_sk", "date_actual", "year"]),
+        quality.Watch("fact_sales",
+                      not_null=["order_line_sk", "customer_sk", "product_sk", "order_date_sk", "order_id",
+                                "quantity", "unit_price", "net_revenue", "channel", "profit_margin_pct"],
+                      accepted={"quantity": s.quantities, "channel": s.channels, "is_bad_data_record": [0, 1]},
+                      warnings={"margin_range": ~in_range}),
+    ]
+    return {w.table: w for w in watches}
+
+
+def _row_rules(
+    watches: Mapping[str, quality.Watch], frames: Mapping[str, DataFrame], counted: Mapping[str, Mapping[str, int]]
 ) -> list[quality.Check]:
-    q = quality
+    """Row rules as the writes have counted them, by a scan where no write has."""
     return [
-        q.rules("stg_customers", customers, not_null=["customer_sk", "customer_id", "email", "cohort"],
-                accepted={"cohort": s.cohorts}),
-        q.rules("stg_products", products,
-                not_null=["product_sk", "product_id", "product_name", "list_price"]),
-        q.rules("stg_sales", sales, not_null=["order_line_sk", "order_id", "quantity", "unit_price"]),
+        w.check(frames[t].sparkSession, counted[t]) if t in counted else w.scan(frames[t]) for t, w in watches.items()
+    ]
+
+
+def staging_checks(
+    customers: DataFrame, products: DataFrame, sales: DataFrame, s: Settings,
+    counted: Mapping[str, Mapping[str, int]] | None = None,
+) -> list[quality.Check]:
+    frames = {"stg_customers": customers, "stg_products": products, "stg_sales": sales}
+    return [
+        *_row_rules(staging_rules(s), frames, counted or {}),
         *_unique(("stg_customers", customers, "customer_sk"), ("stg_customers", customers, "customer_id"),
                  ("stg_products", products, "product_sk"), ("stg_products", products, "product_id"),
                  ("stg_sales", sales, "order_line_sk")),
@@ -83,21 +116,13 @@ def staging_checks(
 
 
 def mart_checks(
-    customers: DataFrame, products: DataFrame, days: DataFrame, fact: DataFrame, s: Settings
-) -> list[quality.Check]:
+    customers: DataFrame, products: DataFrame, days: DataFrame, fact: DataFrame, s: Settings,
+    counted: Mapping[str, Mapping[str, int]] | None = None,
+) -> list[quality.Check]:
     q = quality
-    in_range = F.col("profit_margin_pct").between(-100, 100)
+    frames = {"dim_customer": customers, "dim_product": products, "dim_date": days, "fact_sales": fact}
     return [
-        q.rules("dim_customer", customers, not_null=["customer_sk", "customer_id", "email", "cohort"],
-                accepted={"income_bracket": s.income_brackets}),
-        q.rules("dim_product", products,
-                not_null=["product_sk", "product_id", "product_name", "list_price"]),
-        q.rules("dim_date", days, not_null=["date_sk", "date_actual", "year"]),
-        q.rules("fact_sales", fact,
-                not_null=["order_line_sk", "customer_sk", "product_sk", "order_date_sk", "order_id",
-                          "quantity", "unit_price", "net_revenue", "channel", "profit_margin_pct"],
-                accepted={"quantity": s.quantities, "channel": s.channels, "is_bad_data_record": [0, 1]},
-                warnings={"margin_range": ~in_range}),
+        *_row_rules(mart_rules(s), frames, counted or {}),
         *_unique(("dim_customer", customers, "customer_sk"), ("dim_customer", customers, "customer_id"),
                  ("dim_product", products, "product_sk"), ("dim_product", products, "product_id"),
                  ("dim_date", days, "date_sk"), ("dim_date", days, "date_actual"),
@@ -156,7 +181,9 @@ def build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     """Run every layer and return its tables, each stored under ``s.root``.
 
     The staging gate stops the build before any mart is touched; the mart gate
-    runs after the snapshots, since one check reads them. Order details are
+    runs after the snapshots, since one check reads them. Row rules are counted by the
+    writes, and readers see staging tables, dimensions and the wide table only once
+    their gate has passed; the fact is committed when its own rules hold. Order details are
     staged because three marts start from them.
     """
     with temporary_stages(spark):
@@ -167,20 +194,35 @@ def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     report: dict[str, int] = {}
     tables: dict[str, DataFrame] = {}
 
+    watches = staging_rules(s) | mart_rules(s)
+    written: list[tuple[DataFrame, str, str]] = []
+
     def keep(name: str, make: Callable[[], DataFrame], month: bool = False):
+        """Write a table and count its row rules; ``commit`` makes it the table that readers see."""
+
         def step() -> DataFrame:
-            tables[name] = save_table(make(), s.path(name), MONTH if month else None)
-            return tables[name]
+            rows, version = write_version(make(), s.path(name), MONTH if month else None, watches.get(name))
+            written.append((rows, s.path(name), version))
+            tables[name] = rows
+            return rows
 
         return step
 
+    def seen(*names: str) -> dict[str, dict[str, int]]:
+        return {name: watches[name].seen() for name in names}
+
+    def commit() -> None:
+        while written:
+            commit_version(*written.pop())
+
     customers, products, sales, _ = together(
         keep("stg_customers", lambda: clean.stg_customers(raw.customers)),
         keep("stg_products", lambda: clean.stg_products(raw.products)),
         keep("stg_sales", lambda: clean.stg_sales(raw.sales, raw.stream, as_of=s.as_of)),
         keep("stg_sales_rejected", lambda: clean.rejected_sales(raw.sales, as_of=s.as_of)),
     )
-    report |= quality.enforce(staging_checks(customers, products, sales, s))
+    report |= quality.enforce(staging_checks(customers, products, sales, s, seen(*staging_rules(s))))
+    commit()
 
     hot = hot_keys_for(sales, {"customer_id": customers, "product_id": products})
     details = order_details(
@@ -198,8 +240,9 @@ def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     )
 
     rows = marts.fact_sales(details, days)
-    upsert_increment(rows, s.path("fact_sales"), full_refresh=s.full_refresh)
+    upsert_increment(rows, s.path("fact_sales"), full_refresh=s.full_refresh, watch=watches["fact_sales"])
     fact = tables["fact_sales"] = read_table(spark, s.path("fact_sales"))
+    counted = {"fact_sales": rule_counts(spark, s.path("fact_sales"))} | seen("dim_customer", "dim_product", "dim_date")
 
     def wide() -> DataFrame:
         obt = marts.obt_sales(fact, customer_dim, product_dim, days, **marts.hot_sks(hot))
@@ -222,11 +265,12 @@ def _build(spark: SparkSession, raw: Raw, s: Settings) -> dict[str, DataFrame]:
     )
 
     report |= quality.enforce(
-        mart_checks(customer_dim, product_dim, days, fact, s)
+        mart_checks(customer_dim, product_dim, days, fact, s, counted)
         + source_checks(raw, s.as_of)
         + history_checks(history)
     )
     report |= quality.enforce(anomaly_checks(sales, s.as_of))
+    commit()
     tables["gate_report"] = spark.createDataFrame(
         sorted(report.items()), "check string, violations bigint"
     )

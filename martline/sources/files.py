@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from datetime import date
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from martline.sources.fs import read_text as _read_text
 from martline.sources.fs import write_text as _write_text
 from martline.sources.staging import stage
 
+States = Mapping[str, Callable[[DataFrame], DataFrame]]
 CORRUPT = "_corrupt_record"
 _POINTER = "_CURRENT"
 _SCHEMA = "_SCHEMA"
@@ -80,37 +82,57 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
-def _writer(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
+class RowWatch(Protocol):
+    """What counts rows while they are written, as ``operators.quality.Watch`` does."""
+
+    def attach(self, rows: DataFrame) -> DataFrame: ...
+    def counters(self) -> list[Column]: ...
+    def named(self, row: Mapping[str, int]) -> dict[str, int]: ...
+    def refuse(self, counts: Mapping[str, int]) -> None: ...
+
+
+def _writer(df: DataFrame, partition_by: str | None, watch: RowWatch | None = None) -> DataFrameWriter:
     """Writer that gathers the rows of each partition value before writing.
 
     Without that every task would write a file per value. Rebalancing merges small
     values into one task and splits a value that is too much for one.
     """
-    if partition_by is None:
-        return df.write
-    return df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
+    gathered = df if partition_by is None else df.hint("rebalance", F.col(partition_by))
+    watched = watch.attach(gathered) if watch else gathered
+    return watched.write.partitionBy(partition_by) if partition_by else watched.write
 
 
 # --- tables replaced as a whole -------------------------------------------------
 
 
-def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace the table at ``path`` and return the written rows.
+def write_version(df: DataFrame, path: str, partition_by: str | None = None, watch: RowWatch | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` beside the table at ``path``; its rows and the version to give to ``commit_version``."""
+    version = f"version-{uuid.uuid4().hex}"
+    _writer(df, partition_by, watch).parquet(f"{path}/{version}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{version}"), version
 
-    The rows go to a new folder first, then the pointer file moves to it, so a
-    reader sees the old or the new table and a failed write changes nothing. The
-    previous version stays for readers that are still on it; older ones go.
+
+def commit_version(rows: DataFrame, path: str, version: str) -> DataFrame:
+    """Make a written version the table.
+
+    The pointer file moves to it in one step, so a reader sees the old or the new
+    table. The previous version stays for readers that are still on it; older ones go.
     """
-    spark = df.sparkSession
-    version = f"version-{uuid.uuid4().hex}"
-    _writer(df, partition_by).parquet(f"{path}/{version}")
+    spark = rows.sparkSession
     pointer = f"{path}/{_POINTER}"
     previous = _read_text(spark, pointer).split("\n")[0] if exists(spark, pointer) else None
-    _write_text(spark, pointer, f"{version}\n{df.schema.json()}")
+    _write_text(spark, pointer, f"{version}\n{rows.schema.json()}")
     for name in names_in(spark, path):
         if name.startswith("version-") and name not in (version, previous):
             _delete(spark, f"{path}/{name}")
-    return load_table(spark, path)
+    return rows
+
+
+def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Replace the table at ``path`` and return the written rows. A failed write changes nothing."""
+    _, version = write_version(df, path, partition_by)
+    commit_version(df, path, version)
+    return load_table(df.sparkSession, path)
 
 
 def load_table(spark: SparkSession, path: str) -> DataFrame:
@@ -254,7 +276,44 @@ def months_that_may_hold(spark: SparkSession, path: str, manifest: dict, keys: D
     return open_months | {r["month"] for r in passed.select("month").distinct().collect()}  # one row per month
 
 
-def _commit_months(spark: SparkSession, path: str, rows: DataFrame, key: str, kept: dict, watermark: str, previous: dict) -> None:
+def read_state(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Rows of the state ``name`` of all months (see ``upsert_increment``), without reading the table's rows.
+
+    Empty, without columns, if no month has it.
+    """
+    manifest = _read_manifest(spark, path)
+    scans = []
+    for folder in sorted({e["folder"] for e in manifest["months"].values() if name in e.get("states", {})}):
+        of_folder = [m for m, e in manifest["months"].items() if e["folder"] == folder]
+        schema = T.StructType.fromJson(manifest["months"][of_folder[0]]["states"][name])
+        rows = spark.read.schema(schema).parquet(f"{path}/{folder}/_state_{name}")
+        scans.append(rows.where(_month_name(F.col(MONTH)).isin(of_folder)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans) if scans else spark.createDataFrame([], T.StructType())
+
+
+def rule_counts(spark: SparkSession, path: str) -> dict[str, int]:
+    """Violations by rule over all months, as counted when they were written; the rows are not read."""
+    counts: dict[str, int] = {}
+    for entry in _read_manifest(spark, path)["months"].values():
+        for name, n in entry.get("rules", {}).items():
+            counts[name] = counts.get(name, 0) + n
+    return counts
+
+
+def _write_states(written: DataFrame, states: States, folder: str) -> dict:
+    """Write the states of the months in ``folder``; their schemas by name."""
+    schemas = {}
+    for name, make in states.items():
+        state = make(written)
+        state.write.parquet(f"{folder}/_state_{name}")
+        schemas[name] = json.loads(state.schema.json())
+    return schemas
+
+
+def _commit_months(
+    spark: SparkSession, path: str, rows: DataFrame, key: str, kept: dict, watermark: str, previous: dict, states: States,
+    watch: RowWatch | None,
+) -> None:
     """Write ``rows`` to a new folder and swap the manifest to them and the months ``kept``.
 
     The swap is one rename. Until then the table is as it was; a folder that a
@@ -264,10 +323,19 @@ def _commit_months(spark: SparkSession, path: str, rows: DataFrame, key: str, ke
     folder = f"data-{uuid.uuid4().hex}"
     _writer(rows, MONTH).parquet(f"{path}/{folder}")
     written = spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
-    newest = written.groupBy(_month_name(F.col(MONTH)).alias("month")).agg(F.max(watermark).cast("string").alias("newest"))
+    counters = watch.counters() if watch else []
+    newest = written.groupBy(_month_name(F.col(MONTH)).alias("month")).agg(F.max(watermark).cast("string").alias("newest"), *counters)
+    found = newest.collect()  # one row per month
+    rules = {r["month"]: watch.named(r.asDict()) if watch else {} for r in found}
+    for counts in rules.values():
+        if watch:
+            watch.refuse(counts)
     words = _write_filters(written, key, f"{path}/{folder}")
-    # One row per month.
-    months = {r["month"]: {"folder": folder, "newest": r["newest"], "words": words[r["month"]]} for r in newest.collect()}
+    made = _write_states(written, states, f"{path}/{folder}")
+    months = {
+        r["month"]: {"folder": folder, "newest": r["newest"], "words": words[r["month"]], "states": made, "rules": rules[r["month"]]}
+        for r in found
+    }
     manifest = {"schema": json.loads(rows.schema.json()), "months": {**kept, **months}}
     _write_text(spark, f"{path}/{_MANIFEST}", json.dumps(manifest))
     used = {e["folder"] for m in (manifest, previous) for e in m["months"].values()}
@@ -284,6 +352,8 @@ def upsert_increment(
     *,
     lookback_days: int = 0,
     full_refresh: bool = False,
+    states: States | None = None,
+    watch: RowWatch | None = None,
 ) -> None:
     """Bring the table at ``path``, kept by month of ``watermark``, up to date.
 
@@ -292,13 +362,21 @@ def upsert_increment(
     one of the increment, and only of these the key column is read. Rows, schema and the newest
     day, from which the next increment starts, change in one step: a failed run
     changes nothing and can be run again. ``full_refresh`` replaces all rows.
+
+    ``states`` are small frames made of the rows of the months that are written, with
+    the column ``sale_month``: aggregates that can be merged over months. They are stored
+    and replaced with their months; ``read_state`` gives those of the whole table. Give
+    the same ones to every increment.
+
+    ``watch`` holds row rules: they are counted per month when it is written, an error
+    stops the increment before it takes effect, and ``rule_counts`` adds the months up.
     """
     spark = rows.sparkSession
     rows = rows.withColumn(MONTH, F.date_format(F.col(watermark), "yyyy-MM"))
     known = exists(spark, f"{path}/{_MANIFEST}")
     manifest = _read_manifest(spark, path) if known else {"schema": None, "months": {}}
     if full_refresh or not known:
-        _commit_months(spark, path, rows, key, {}, watermark, manifest)
+        _commit_months(spark, path, rows, key, {}, watermark, manifest, states or {}, watch)
         return
     newest = max((e["newest"] for e in manifest["months"].values() if e["newest"]), default="1900-01-01")
     due = F.col(watermark) >= F.date_sub(F.lit(newest).cast("date"), lookback_days)
@@ -313,4 +391,4 @@ def upsert_increment(
         return
     merged = merge_rows(_read_months(spark, path, manifest, touched), increment, key)
     kept = {m: e for m, e in manifest["months"].items() if m not in touched}
-    _commit_months(spark, path, merged, key, kept, watermark, manifest)
+    _commit_months(spark, path, merged, key, kept, watermark, manifest, states or {}, watch)

@@ -573,6 +573,8 @@ _META = ", ".join((
     "strftime(history.valid_from, '%Y-%m-%d %H:%M:%S.000000') as updated_at",
 ))
 
+SQL["customer_metrics_merged"] = SQL["customer_metrics"]
+SQL["product_metrics_merged"] = SQL["product_metrics"]
 SQL["snapshot"] = SQL["scd2_merge"] = CLEAN(
     _CUSTOMER_HISTORY
     + f"select customer_id, city, gender, income_bracket, {_META.format(key='customer_id')} from history"

@@ -3,7 +3,9 @@ from datetime import date, datetime
 
 import pytest
 from conftest import TODAY, rows
+from pyspark.sql import functions as F
 
+from martline.operators import quality
 from martline.operators.quality import GateError
 from martline.plans.build import Raw, Settings, build
 from martline.sources import files
@@ -60,3 +62,45 @@ def test_failed_staging_gate_stops_before_the_marts(spark, tmp_path, raw, raw_sa
     }
     assert files.exists(spark, str(tmp_path / "w" / "stg_sales"))
     assert not files.exists(spark, str(tmp_path / "w" / "dim_customer"))
+
+
+def test_a_failed_gate_moves_no_pointer(spark, tmp_path, raw, raw_customers):
+    tables = build(spark, raw, _settings(tmp_path))
+    before = rows(files.load_table(spark, str(tmp_path / "w" / "stg_customers")), "customer_id", "email")
+    broken = replace(raw, customers=raw_customers({"email": None}, {"customer_id": "C2"}))
+    with pytest.raises(GateError):
+        build(spark, broken, _settings(tmp_path, run_ts=datetime(2024, 7, 1, 2)))
+    assert rows(files.load_table(spark, str(tmp_path / "w" / "stg_customers")), "customer_id", "email") == before
+    assert rows(tables["dim_customer"], "customer_id") == rows(files.load_table(spark, str(tmp_path / "w" / "dim_customer")), "customer_id")
+
+
+def test_fact_rules_are_counted_by_the_write(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    kind = "order_line_sk string, order_date date, quantity int, price int"
+
+    def lines(*values):
+        return spark.createDataFrame([(k, date(2024, m, 3), q, p) for k, m, q, p in values], kind)
+
+    watch = quality.Watch("fact", not_null=["quantity"], accepted={"quantity": [1, 2]}, warnings={"cheap": F.col("price") < 5})
+    files.upsert_increment(lines(("a", 1, 1, 1), ("b", 1, 2, 9), ("c", 2, 1, 3)), path, watch=watch)
+    assert files.rule_counts(spark, path) == {"fact.quantity.not_null": 0, "fact.quantity.accepted": 0, "fact.cheap": 2}
+    files.upsert_increment(lines(("c", 2, 2, 7), ("d", 3, 1, 2)), path, watch=watch)
+    assert files.rule_counts(spark, path) == rows_of(watch.scan(files.read_table(spark, path)))
+    with pytest.raises(GateError) as stop:
+        files.upsert_increment(lines(("e", 3, None, 7), ("f", 3, 8, 7)), path, watch=watch)
+    assert stop.value.failed == {"fact.quantity.not_null": 1, "fact.quantity.accepted": 1}
+    assert rows(files.read_table(spark, path), "order_line_sk") == [("a",), ("b",), ("c",), ("d",)]
+
+
+def rows_of(check):
+    return {r["check"]: r["violations"] for r in check.counts.collect()}
+
+
+def test_the_gate_reads_what_writes_have_counted(spark, tmp_path, raw, monkeypatch):
+    def no_scan(self, rows):
+        raise AssertionError(f"{self.table} is scanned")
+
+    monkeypatch.setattr(quality.Watch, "scan", no_scan)
+    monkeypatch.setattr(quality, "rules", lambda table, df, **c: quality.Check(quality.count_where(df, quality.Watch(table, **c).conditions).selectExpr("check", "'error' severity", "violations")))
+    tables = build(spark, raw, _settings(tmp_path))
+    assert tables["gate_report"].where("check = 'fact_sales.quantity.accepted'").first()["violations"] == 0

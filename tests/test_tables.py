@@ -1,10 +1,13 @@
+import random
 from datetime import date, datetime
+from decimal import Decimal
 
 import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martline.operators import metrics
 from martline.operators.history import current_rows, scd2_merge, scd2_overlaps
 from martline.schemas import POS_EVENT, RAW_SALES
 from martline.sources import files, parts
@@ -307,3 +310,41 @@ def test_a_snapshot_refuses_repeated_keys(spark, tmp_path):
     with pytest.raises(ValueError, match="id is not unique: p0"):
         snapshot(twice, "id", ["city"], str(tmp_path / "history"), datetime(2024, 1, 1))
     assert not files.exists(spark, str(tmp_path / "history"))
+
+
+# states of months
+
+
+def _lines(spark, n, seed=0, months=6):
+    """Lines of orders, some of which have lines in two months; keys and amounts may be null."""
+    kind = ("order_line_sk string, order_id string, order_date date, customer_id string, customer_sk string, product_id string, "
+            "product_sk string, quantity int, net_revenue decimal(12,2), gross_revenue decimal(12,2), total_cost decimal(12,2), "
+            "net_profit decimal(12,2), profit_margin_pct double")
+    rng, data = random.Random(seed), []
+    for i in range(n):
+        c, p = rng.choice([None, "c1", "c2", "c3"]), rng.choice(["p1", "p2", "p3", "p4"])
+        price = Decimal(rng.randrange(10_000)) / 100
+        day = date(2024, 1 + rng.randrange(months), 1 + rng.randrange(28))
+        amounts = [rng.choice([None, price, price + 1]) for _ in range(4)]
+        data.append((f"l{i}", f"o{rng.randrange(n // 3)}", day, c, c and f"s{c}", p, f"s{p}", rng.randrange(9), *amounts, rng.random() * 100))
+    return spark.createDataFrame(data, kind)
+
+
+def test_merged_metrics_equal_the_full_run(spark, tmp_path):
+    path, states = str(tmp_path / "fact"), {"customer": metrics.customer_state, "product": metrics.product_state}
+    lines = _lines(spark, 400)
+    files.upsert_increment(lines.where("order_date < '2024-05-20'"), path, states=states)
+    before = files._read_manifest(spark, path)["months"]
+    files.upsert_increment(lines.where("order_date >= '2024-05-10'"), path, states=states)
+    after = files._read_manifest(spark, path)["months"]
+    assert sorted(m for m in before if before[m]["folder"] == after[m]["folder"]) == ["2024-01", "2024-02", "2024-03", "2024-04"]
+
+    fact = files.read_table(spark, path)
+    assert fact.count() == 400
+    states = {name: files.read_state(spark, path, name) for name in states}
+    assert all("_state_" in f for s in states.values() for f in s.inputFiles())
+    by_customer = metrics.customer_metrics(fact, as_of=D)
+    assert rows(metrics.merged_customer_metrics(states["customer"], as_of=D), *by_customer.columns) == rows(by_customer)
+    by_product = metrics.product_metrics(fact)
+    assert rows(metrics.merged_product_metrics(states["product"]), *by_product.columns) == rows(by_product)
+    assert {f.name: f.dataType for f in metrics.merged_product_metrics(states["product"]).schema} == {f.name: f.dataType for f in by_product.schema}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martline import schemas
-from martline.operators import clean, history, quality, sampling, temporal
+from martline.operators import clean, history, metrics, quality, sampling, temporal
 from martline.operators.details import order_details
 from martline.operators.joins import hot_keys_for, left_join, missing_days, orphan_rows, orphans, staged_hot_keys
 from martline.operators.metrics import (
@@ -549,6 +549,31 @@ def upsert_increment(spark, d):
     return stored.select("order_line_sk", "order_date", "quantity", "unit_price", "load_no", "sale_month")
 
 
+def _fact_with_states(spark: SparkSession, d: str) -> str:
+    """A fact loaded to the end of 2000 and then brought up to date, with the states of its months."""
+
+    def make() -> str:
+        path, states = new_path(spark, "fact-states"), {"customer": metrics.customer_state, "product": metrics.product_state}
+        details = stage(_details(spark, d, BATCH_DAY, False), "details-of-states").drop("loaded_at")
+        early = F.col("order_date") <= date(2000, 12, 31)
+        files.upsert_increment(details.where(early | F.col("order_date").isNull()), path, states=states)
+        files.upsert_increment(details, path, states=states)
+        return path
+
+    return _once(spark, d, "fact-states", make)
+
+
+@query
+def customer_metrics_merged(spark, d):
+    state = files.read_state(spark, _fact_with_states(spark, d), "customer")
+    return metrics.merged_customer_metrics(state, as_of=BATCH_DAY, thresholds=THRESHOLDS)
+
+
+@query
+def product_metrics_merged(spark, d):
+    return metrics.merged_product_metrics(files.read_state(spark, _fact_with_states(spark, d), "product"))
+
+
 _RUNS = [datetime(2024, 1, day) for day in (1, 2, 3)]
 
 

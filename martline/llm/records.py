@@ -27,10 +27,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ from martline.llm.common import column
 
 SEGMENT = 4 << 20
 _LENGTH, _CRC, _BODY, _INDEX = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qII"), struct.Struct("<QQ")
-_CACHE_UNITS = 600_000
+#: Most units kept, units encoded as one text, and bytes of texts encoded at a time (or one text).
+_CACHE_UNITS, _JOINED, _AT_ONCE = 1_500_000, 1000, 16 << 20
 MANIFEST = "part int, segment int, file string, offset long, bytes long, first long, records long, tokens long, width int"
 
 
@@ -74,53 +76,104 @@ def _bare(unit: str) -> int:
     return k or len(unit)
 
 
+def _together(arrays: list[np.ndarray], dtype) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.empty(0, dtype), *arrays]), np.fromiter(map(len, arrays), np.int64, len(arrays))
+
+
 class UnitEncoder:
     """Ids of whole texts from the ids of their units.
 
     The tokenizer splits text before every white space that follows other text, and
     between letters or digits and other signs, and merges inside the splits only. So a
     text's ids are those of its units, a unit being white space with what follows it;
-    units repeat, with and without signs at their end, and are encoded once. Texts with the name of a special token, or with white space in runs, are
-    encoded as they are.
+    units repeat, with and without signs at their end, and are encoded once. Texts with
+    the name of a special token, or with white space in runs, are encoded as they are.
+
+    Units are told apart by Arrow's dictionaries; the ids of all known ones lie in one
+    array, from which a batch of texts is gathered.
     """
 
     def __init__(self, tokenizer, dtype: str):
-        self.tokenizer, self.dtype = tokenizer, dtype
-        self.known: dict[str, bytes] = {}  # what the last texts held, and what those before them did
-        self.older: dict[str, bytes] = {}
+        self.tokenizer, self.dtype = tokenizer, np.dtype(dtype)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        # Bytes of each token: the vocabulary writes one character per byte.
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        plain = [self._units(t) for t in texts]
         if len(self.known) > _CACHE_UNITS:
-            self.known, self.older = {}, self.known
-        self._learn(set().union(*filter(None, plain)).difference(self.known))
-        odd = iter(self._whole([t for t, units in zip(texts, plain) if units is None]))
-        return [next(odd) if units is None else b"".join(map(self.known.__getitem__, units)) for units in plain]
-
-    def _learn(self, units: set[str]) -> None:
+            self._forget()
+        plain = [self._plain(t) for t in texts]
+        odd = iter(self._encoded([t for t, p in zip(texts, plain) if not p]))
+        marked = pa.array([t.replace(" ", "\0 ").replace("\n", "\0\n") for t, p in zip(texts, plain) if p], pa.large_string())
+        lists = pc.split_pattern(marked, "\0")
+        coded = lists.values.dictionary_encode()
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(units)
+        number = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))[np.asarray(coded.indices)]
+        size = self.sizes[number]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[number] - ends + size, size)
+        data, width = self.ids[at].tobytes(), self.dtype.itemsize
+        cuts = np.concatenate([[0], ends])[np.asarray(lists.offsets)] * width
+        regular = (data[a:b] for a, b in pairwise(cuts.tolist()))
+        return [next(regular) if p else next(odd).tobytes() for p in plain]
+
+    def _learn(self, units: list[str]) -> None:
         """Encode what is new of ``units``, without the signs at its end, and of those signs."""
-        known, older = self.known, self.older
-        cut = [(u, _bare(u)) for u in units if u not in older]
-        known.update((u, older[u]) for u in units if u in older)
-        parts = {u[:k] for u, k in cut} | {u[k:] for u, k in cut if k < len(u)}
-        known.update((p, older[p]) for p in parts if p in older)
-        new = [p for p in parts if p not in known]
-        known.update(zip(new, self._whole(new)))
-        known.update((u, known[u[:k]] + known[u[k:]]) for u, k in cut if k < len(u))
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ends = list(accumulate(map(len, ids), initial=0))
-        flat = np.fromiter(chain.from_iterable(ids), self.dtype, ends[-1])
-        data, width = flat.tobytes(), flat.itemsize
-        return [data[a * width : b * width] for a, b in pairwise(ends)]
-
-    def _units(self, text: str) -> list[str] | None:
+        fresh = [u for u in units if u not in self.known]
+        signed = [(u, k) for u in fresh if u and not u[-1].isalnum() and (k := _bare(u)) < len(u)]
+        new = set(fresh).difference([u for u, _ in signed])
+        new.update([p for u, k in signed for p in (u[:k], u[k:]) if p not in self.known])
+        apart = [p for p in new if p[:1] not in (" ", "\n")]
+        joined = [p for p in new if p[:1] in (" ", "\n")]
+        self._append(apart, *_together(self._encoded(apart), self.dtype))
+        self._append(joined, *self._encoded_joined(joined))
+        body, tail = (np.array([self.known[p] for p in some], np.int64) for some in ([u[:k] for u, k in signed], [u[k:] for u, k in signed]))
+        both = np.stack([body, tail], 1).ravel()
+        size = self.sizes[both]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[both] - ends + size, size)
+        self._append([u for u, _ in signed], self.ids[at], size.reshape(-1, 2).sum(axis=1))
+
+    def _append(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        if not units:
+            return
+        first = len(self.starts)
+        self.known.update(zip(units, range(first, first + len(units))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded_joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that begin with white space and how many each has: many in one text, token lengths tell where a unit ends."""
+        groups = [units[at : at + _JOINED] for at in range(0, len(units), _JOINED)]
+        every, sizes = [], []
+        for group, ids in zip(groups, self._encoded(["".join(g) for g in groups])):
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, group)), np.int64, len(group)))
+            reached = np.cumsum(self.bytes_of[ids])
+            cuts = np.searchsorted(reached, ends)
+            if len(reached) and cuts[-1] == len(ids) - 1 and (reached[cuts] == ends).all():
+                size = np.diff(cuts, prepend=-1)
+            else:  # a vocabulary that writes bytes in another way
+                ids, size = _together(self._encoded(group), self.dtype)
+            every.append(ids)
+            sizes.append(size)
+        return _together(every, self.dtype)[0], _together(sizes, np.int64)[0]
+
+    def _plain(self, text: str) -> bool:
+        """Not empty, and white space is single blanks or line ends between other signs."""
         spaces = text.count(" ") + text.count("\n")
-        if len(text.split()) != spaces + 1 or "\0" in text or any(s in text for s in self.special):
-            return None  # empty, white space of other kinds, in runs or at an end
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        return len(text.split()) == spaces + 1 and "\0" not in text and not any(s in text for s in self.special)
 
 
 @lru_cache(maxsize=2)
@@ -155,6 +208,16 @@ def _manifest_schema() -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (field.split() for field in MANIFEST.split(", "))])
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows whose texts have up to _AT_ONCE bytes together, or one row."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64))
+    start = before = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, before + _AT_ONCE, "right")))
+        yield batch.slice(start, stop - start)
+        start, before = stop, int(ends[stop - 1])
+
+
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str, part: int, vocabulary: str, end_id: int) -> Iterator[dict]:
     encoder, width = _encoder(vocabulary)
     store, root = pa.fs.FileSystem.from_uri(folder)
@@ -171,8 +234,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, part: int, vocab
 
     try:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                some = batch.slice(start, 256)
+            for some in _slices(batch):
                 ids = some.column(0).to_pylist()
                 for key, tokens in zip(ids, encoder.encode_all([t or "" for t in some.column(1).to_pylist()])):
                     if data is None:

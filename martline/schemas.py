@@ -55,7 +55,7 @@ POS_EVENT = T.StructType(
     ]
 )
 
-# Columns only the point-of-sale stream has.
+# Columns only the point-of-sale stream has.
 POS_ONLY = ["store_id", "store_name", "pos_terminal_id", "payment_method"]
 
 # Accepted domains.

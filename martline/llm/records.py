@@ -41,7 +41,7 @@ from martline.llm.common import column
 SEGMENT = 4 << 20
 _LENGTH, _CRC, _BODY, _INDEX = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qII"), struct.Struct("<QQ")
 #: Most units kept, units encoded as one text, and bytes of texts encoded at a time (or one text).
-_CACHE_UNITS, _JOINED, _AT_ONCE = 1_500_000, 1000, 16 << 20
+_CACHE_UNITS, _JOINED, _AT_ONCE = 800_000, 1000, 8 << 20
 MANIFEST = "part int, segment int, file string, offset long, bytes long, first long, records long, tokens long, width int"
 
 

@@ -4,7 +4,7 @@ Every version of a text is addressed by its SHA-256. The ledger holds one row
 per scanned blob and run: which rules, in which version, have seen it, and what
 they found. A run scans only pairs of blob and rule version that the ledger does
 not hold, each blob once however many paths carry it, and joins all findings
-back to every path.
+back to every path; blobs that very many paths carry are split for that join.
 
 Findings are spans in code points, end exclusive. A rule's pattern runs over the
 text from left to right without overlaps; a match shorter than the rule asks for
@@ -22,7 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martline.llm.common import column, free_name, whole
+from martline.llm.common import column, whole
+from martline.operators.joins import hot_keys, left_join
+from martline.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -58,6 +60,7 @@ MORE = (
 RULES = BASE + MORE
 
 _FINDINGS = "array<struct<start:int,place:int,stop:int,kind:string,rule:string>>"
+_BLOB = -1  # the place of the row that stands for a blob as a whole
 LEDGER = f"blob binary, rules array<string>, findings {_FINDINGS}"
 
 
@@ -73,11 +76,14 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(folder)
 
 
-def spans(text: Column, rule: Rule, place: int) -> Column:
-    """All findings of one rule, in order.
+_PIECES = "array<struct<place:int,skip:int,long:int,counts:boolean>>"
+
+
+def pieces(text: Column, rule: Rule, place: int) -> Column:
+    """All matches of one rule, in order: characters skipped before it, its own, and whether it is long enough.
 
     Splitting with limit -1 drops nothing, so piece, match, piece, match follow
-    each other in the text and their lengths give the places.
+    each other in the text and their lengths add up to the places.
     """
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     measured = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
@@ -85,22 +91,11 @@ def spans(text: Column, rule: Rule, place: int) -> Column:
     parts = F.zip_with(
         F.zip_with(between, found, lambda b, m: F.struct(F.length(b).alias("skip"), F.length(m).alias("long"))),
         measured,
-        lambda p, g: F.struct(p["skip"].alias("skip"), p["long"].alias("long"), F.length(g).alias("measured")),
-    )
-    none = F.array().cast(_FINDINGS)
-    walked = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["skip"] + p["long"]).alias("at"),
-            F.when(p["measured"] >= rule.least, F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + p["skip"]).alias("start"), F.lit(place).alias("place"),
-                (acc["at"] + p["skip"] + p["long"]).alias("stop"), F.lit(rule.kind).alias("kind"), F.lit(rule.name).alias("rule"),
-            )))).otherwise(acc["out"]).alias("out"),
+        lambda p, g: F.struct(
+            F.lit(place).alias("place"), p["skip"].alias("skip"), p["long"].alias("long"), (F.length(g) >= rule.least).alias("counts")
         ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(rule.pattern), walked).otherwise(none)
+    )
+    return F.when(text.rlike(rule.pattern), parts).otherwise(F.array().cast(_PIECES))
 
 
 def scan(docs: DataFrame, ledger: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -116,11 +111,24 @@ def scan(docs: DataFrame, ledger: DataFrame, text: str = "text", rules: Sequence
     todo = blobs.join(seen, "blob", "left").withColumn(
         "rules", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
     )
-    none = F.array().cast(_FINDINGS)
-    found = F.flatten(F.array(*[
-        F.when(F.array_contains("rules", r.name), spans(F.col("text"), r, i)).otherwise(none) for i, r in enumerate(rules)
+    # Rows of a blob lie in one task already; lengths are added up along them, so the work is linear in the matches.
+    none, blob = F.array().cast(_PIECES), F.struct(F.lit(_BLOB).alias("place"), F.lit(0).alias("skip"), F.lit(0).alias("long"), F.lit(False).alias("counts"))
+    found = F.flatten(F.array(F.array(blob), *[
+        F.when(F.array_contains("rules", r.name), pieces(F.col("text"), r, i)).otherwise(none) for i, r in enumerate(rules)
     ]))
-    return todo.where(F.size("rules") > 0).select("blob", "rules", F.sort_array(found).alias("findings"))
+    listed = todo.where(F.size("rules") > 0).select("blob", "rules", F.posexplode(found).alias("nth", "p")).select("blob", "rules", "nth", "p.*")
+    so_far = Window.partitionBy("blob", "place").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = listed.withColumn("stop", F.sum(F.col("skip") + F.col("long")).over(so_far).cast("int"))
+    kinds, rule_names = F.array(*[F.lit(r.kind) for r in rules]), names
+    finding = F.struct(
+        (F.col("stop") - F.col("long")).alias("start"), "place", "stop", kinds[F.col("place")].alias("kind"), rule_names[F.col("place")].alias("rule")
+    )
+    return at.groupBy("blob").agg(F.first("rules").alias("rules"), F.sort_array(F.collect_list(F.when(F.col("counts"), finding))).alias("findings"))
+
+
+def _once(findings: Column) -> Column:
+    """The different ones of sorted findings, told by their neighbour."""
+    return F.transform(F.array(findings), lambda all_: F.filter(all_, lambda f, i: (i == 0) | (f != all_[i - 1])))[0]
 
 
 def find_secrets(
@@ -137,14 +145,15 @@ def find_secrets(
     kept = F.filter("findings", lambda f: F.array_contains(wanted, f["rule"]))
     # A pair that two runs scanned at the same time is there twice; equal findings count once.
     known = read_ledger(spark, folder).where(F.size("findings") > 0).groupBy("blob").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list(kept)))).alias("found"))
-    names = {c: free_name(docs, f"ledger_{c}") for c in known.columns}
-    at = free_name(docs, "blob_of_row")
+        _once(F.sort_array(F.flatten(F.collect_list(kept)))).alias("found"))
     own = [c for c in docs.columns if c.lower() != into.lower()]
-    met = docs.withColumn(at, address(column(text))).join(
-        known.withColumnsRenamed(names), F.col(at) == F.col(names["blob"]), "left"
+    rows = docs.select(
+        address(column(text)).alias("blob"), F.struct(*[column(c) for c in own]).alias("row"),
+        F.xxhash64(*[column(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]).alias("spread"),
     )
-    return met.select(*[column(c) for c in own], F.coalesce(F.col(names["found"]), F.array().cast(_FINDINGS)).alias(into))
+    hot = stage(hot_keys(rows, "blob"), "secret-hot-blobs")
+    met = left_join(rows, known, "blob", "spread", hot=hot)
+    return met.select("row.*", F.coalesce("found", F.array().cast(_FINDINGS)).alias(into))
 
 
 def listed(findings: Column) -> Column:

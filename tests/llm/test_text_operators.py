@@ -236,6 +236,22 @@ def test_secret_spans_equal_plain_matching(spark, real, docs):
     assert kinds == {"assign", "access", "hex", "pem", "forge"}
 
 
+def test_findings_of_one_text_and_copies_of_one_blob(spark):
+    """40,000 findings in one text, a blob with half of all rows, rows that repeat, columns named like the join's own."""
+    long = " ".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(40_000))
+    rows = [(0, long, "a", 7)] + [(i, "token=abcdefghijklmnop" if i % 2 else f"text {i}", "b", 7) for i in range(1, 2001)] + [(None, None, None, None)] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string, blob string, _salt int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # findings too large to be broadcast
+    try:
+        found = secrets.find_secrets(frame, new_path(spark, "ledger-test")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted((r.doc_id is None, r.doc_id, r.blob, r._salt) for r in found) == sorted((r[0] is None, r[0], r[2], r[3]) for r in rows)
+    for r in found:
+        assert [(f.kind, f.start, f.stop) for f in r.secrets] == base_spans(r.text)
+
+
 def test_secret_query_digests(spark, real):
     for r in QUERIES["op8_secret_scan"](spark, str(TESTDATA)).join(real, "doc_id").collect():
         spans = base_spans(r.text)

@@ -4,26 +4,30 @@ A page becomes a skeleton: the tree of its block elements, labelled by tag and
 class, in which repeated siblings share a node. The text of a page lies in the
 skeleton's nodes, its slots. Per host, the most frequent skeleton is the
 reference; every other skeleton of the host is aligned with it by simple tree
-matching. What a slot holds, counted over the host's pages that have the slot, in
-whatever skeleton, tells template from content: the same text on nearly all, or not.
-Pages without text teach nothing, and pages with the same text in all slots teach as one.
+matching. Each block of text in a slot, counted over the host's pages that have the
+slot, in whatever skeleton, tells template from content: the same block on nearly all,
+or not. Pages without text teach nothing, and pages with the same text in all slots
+teach as one.
 
 The content root is the article or main element of the skeleton; without one,
 the lowest node above all slots that vary. Kept is what lies under the root, except
 
 * menus, headers, footers, sidebars, notices, adverts, reader comments, scripts and
   styles, told by element,
-* the same and forms, told by role and whole class names, unless they hold the page's
-  only article or main or all that varies in it, and
-* the text that a slot holds on ``SHARE`` or more of the pages that have the slot, if
-  these are at least ``MIN_PAGES`` different pages; another text in that slot stays.
+* the same and forms, told by role, id and whole class names, unless they hold the
+  page's only article or main or all that varies in it, and
+* a block that a slot holds on ``SHARE`` or more of the pages that have the slot, if
+  it is on at least ``MIN_PAGES`` different pages; other blocks of that slot stay.
   An article or main in which nothing varies stays whole.
 
-Work is grouped by host, skeleton, slot and text and then by host and slot, never by
-host alone: a host with a third of all pages arrives as counts.
+Work is grouped by host, skeleton, slot and block and then by host, slot and block,
+never by host alone: a host with a third of all pages arrives as counts. Skeletons
+with more than a thousandth of all pages, of which there are fewer than a thousand,
+are split by block where blocks meet the alignment.
 
 Defined results: a null or empty page has no text; a null or odd url belongs to the
-host named by the empty string. Repeated rows have their text each.
+host named by the empty string. Repeated rows have their text each. A tag that is
+never closed is text. Parsing is linear in the page.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -43,7 +48,7 @@ from pyspark.sql import types as T
 from martline.llm.common import column, free_name, two_hashes, whole
 from martline.sources.staging import stage
 
-MIN_PAGES = 3
+MIN_PAGES = 2
 SHARE = 0.8
 
 #: Element names by their part in HTML.
@@ -78,8 +83,59 @@ ENDS = {
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "head": frozenset(["body"]),
 }
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A tag without a further "<" in it; others are read by hand, see Tags.
+_PLAIN = re.compile(r"""<(/?)([a-zA-Z][^\s/><]*+)((?:"[^"<]*+"|'[^'<]*+'|[^'"<>])*+)>""")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_STOP = re.compile("""["'>]""")
+_ATTRIBUTE = re.compile(r"""\b(?<![\w-])(class|role|id)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
+
+
+class Tags:
+    """The tags of a page, in order, in time linear in its length.
+
+    Whether a tag is closed depends only on where its attributes are left, so
+    places from which no end was found are never walked from again.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.dead, self.alone = page, page.rfind(">"), set(), {}
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether it closes, name and attributes of the next tag; a comment or declaration has no name."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), False, "", ""
+            if start > self.last:
+                at = start + 1
+                continue
+            if page.startswith(("<!", "<?"), start):
+                return start, page.index(">", start) + 1, False, "", ""
+            if tag := _PLAIN.match(page, start):
+                return start, tag.end(), bool(tag[1]), tag[2].lower(), tag[3]
+            if (tag := _NAME.match(page, start)) and (end := self._end(tag.end())):
+                return start, end, bool(tag[1]), tag[2].lower(), page[tag.end() : end - 1]
+            at = start + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        """The place behind the first ">" outside quotes, 0 if there is none."""
+        walked = []
+        while stop := _STOP.search(self.page, at):
+            place, sign = stop.start(), stop[0]
+            if sign == ">":
+                return place + 1
+            if place in self.dead or place >= self.alone.get(sign, len(self.page)):
+                break
+            walked.append(place)
+            close = self.page.find(sign, place + 1)
+            if close < 0:
+                self.alone[sign] = place
+                break
+            at = close + 1
+        self.dead.update(walked)
+        return 0
 
 
 class Node:
@@ -95,7 +151,8 @@ def _label(tag: str, attributes: str) -> str:
     if "=" not in attributes:
         return tag
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
-    classes = " ".join(sorted(set(found.get("class", "").split())))
+    ids = [x for x in found.get("id", "").split() if _chrome_class(x)]  # others differ from page to page
+    classes = " ".join(sorted({*found.get("class", "").split(), *ids}))
     return tag + (f".{classes}" if classes else "") + (f"@{found['role']}" if found.get("role") else "")
 
 
@@ -115,7 +172,7 @@ def _chrome_class(name: str) -> bool:
         del parts[0]
     while len(parts) > 1 and parts[-1] in AFTER_CHROME:
         del parts[-1]
-    return all(p in CHROME_WORDS for p in parts)
+    return bool(name.strip("-_")) and all(p in CHROME_WORDS for p in parts)
 
 
 @lru_cache(maxsize=4096)
@@ -125,7 +182,7 @@ def maybe_chrome(label: str) -> bool:
     classes, _, role = label[len(tag) :].partition("@")
     if tag in ("html", "body") or not tag:
         return False
-    return tag == "form" or role in ROLES or (tag not in ROOTS and any(map(_chrome_class, classes.lstrip(".").split())))
+    return tag == "form" or role in ROLES or (tag != "main" and any(map(_chrome_class, classes.lstrip(".").split())))
 
 
 def parse(page: str | None) -> tuple[Node, list[tuple[int, str]]]:
@@ -135,7 +192,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[int, str]]]:
     if not page:
         return root, blocks
     count, here, text = 1, root, []
-    stack: list[tuple[str, Node, bool]] = [("", root, False)]  # element, its block, inside chrome
+    stack: list[tuple[str, Node, bool, int]] = [("", root, False, 0)]  # element, its block, inside chrome, place of that block
+    open_: Counter[str] = Counter()
 
     def flush() -> None:
         if text:
@@ -150,38 +208,39 @@ def parse(page: str | None) -> tuple[Node, list[tuple[int, str]]]:
         while len(stack) > down_to:
             if stack[-1][0] not in INLINE:
                 flush()
-            stack.pop()
+            open_[stack.pop()[0]] -= 1
             here = stack[-1][1]
 
-    at = 0
-    while tag := _TAG.search(page, at):
-        if tag.start() > at:
-            text.append(page[at : tag.start()])
-        at = tag.end()
-        name = (tag[2] or "").lower()
+    at, tags = 0, Tags(page)
+    while tag := tags.after(at):
+        start, end, closes, name, attributes = tag
+        if start > at:
+            text.append(page[at:start])
+        at = end
         if not name:
             continue
-        if tag[1]:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if place:
+        if closes:
+            if open_[name]:
+                place = len(stack) - 1
+                while stack[place][0] != name:
+                    place -= 1
                 shut(place)
             continue
         if name in INLINE:
             if name == "br":
                 text.append(" ")
-            elif name not in VOID and not tag[3].endswith("/"):
-                stack.append((name, here, stack[-1][2]))
+            elif name not in VOID and not attributes.endswith("/"):
+                stack.append((name, here, *stack[-1][2:]))
+                open_[name] += 1
             continue
-        while True:  # elements that end here, with the inline ones left open in them
-            top = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] not in INLINE), 0)
-            if not top or name not in ENDS.get(stack[top][0], ()):
-                break
+        # Elements that end here, with the inline ones left open in them.
+        while (top := stack[-1][3]) and name in ENDS.get(stack[top][0], ()):
             shut(top)
         flush()
-        label = _label(name, tag[3])
+        label = _label(name, attributes)
         child = _slot(here, label, count)
         count += child.at == count
-        chrome = stack[-1][2] or is_chrome(label) or (name == "header" and not any(s[0] in ROOTS for s in stack))
+        chrome = stack[-1][2] or is_chrome(label) or (name == "header" and not any(open_[r] for r in ROOTS))
         if name in VOID:
             continue
         if name in RAW:
@@ -189,7 +248,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[int, str]]]:
             if not chrome and name == "xmp":
                 text.append(page[at : end.start() if end else len(page)])
             at = end.start() if end else len(page)
-        stack.append((name, child, chrome))
+        stack.append((name, child, chrome, len(stack)))
+        open_[name] += 1
         here = child
         child.cursor = 0
     if at < len(page):
@@ -347,12 +407,8 @@ def _listing(name: str, **fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("skeleton", T.StringType()), T.StructField(name, listed)])
 
 
-def _held(blocks: list[tuple[int, str]]) -> dict[int, int]:
-    """Per slot one hash of all it holds."""
-    held: dict[int, xxhash.xxh64] = {}
-    for slot, text in blocks:
-        held.setdefault(slot, xxhash.xxh64()).update(text.encode() + b"\n")
-    return {s: h.intdigest() - (1 << 63) for s, h in held.items()}
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
 
 
 _PARSED = _listing("blocks", slot=T.IntegerType(), hash=T.LongType(), text=T.StringType())
@@ -363,8 +419,7 @@ def _parsed(pages: pa.Array) -> pa.Array:
     out = []
     for page in pages:
         root, blocks = parse(page.as_py())
-        held = _held(blocks)
-        out.append({"skeleton": written(root), "blocks": [{"slot": s, "hash": held[s], "text": t} for s, t in blocks]})
+        out.append({"skeleton": written(root), "blocks": [{"slot": s, "hash": _hash(t), "text": t} for s, t in blocks]})
     block = pa.struct([("slot", pa.int32()), ("hash", pa.int64()), ("text", pa.string())])
     return pa.array(out, pa.struct([("skeleton", pa.string()), ("blocks", pa.list_(block))]))
 
@@ -375,10 +430,13 @@ _HELD = _SLOTS["slots"].dataType
 
 @F.arrow_udf(_SLOTS)
 def _hashed(pages: pa.Array) -> pa.Array:
+    """Per page its slots, each once without a hash, and the different blocks in them."""
     out = []
     for page in pages:
         root, blocks = parse(page.as_py())
-        out.append({"skeleton": written(root), "slots": [{"slot": s, "hash": h} for s, h in _held(blocks).items()]})
+        held = dict.fromkeys((s, _hash(t)) for s, t in blocks)
+        slots = dict.fromkeys(s for s, _ in held)
+        out.append({"skeleton": written(root), "slots": [{"slot": s, "hash": h} for s, h in (*((s, None) for s in slots), *held)]})
     return pa.array(out, pa.struct([("skeleton", pa.string()), ("slots", pa.list_(pa.struct([("slot", pa.int32()), ("hash", pa.int64())])))]))
 
 
@@ -413,12 +471,13 @@ def _skeleton_key() -> list[Column]:
 
 
 _PAGE = -1  # the slot that stands for a page as a whole
+_PARTS = 64  # of a skeleton with more than a thousandth of all pages
 
 
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """``host, ka, kb`` (128 bits of a skeleton), ``kept``, the slots that may be content, and ``template``, texts to drop in them.
 
-    Pages are parsed once, for one row per host, skeleton, slot and text; that table
+    Pages are parsed once, for one row per host, skeleton, slot and block; that table
     and the result are written, all else starts from it.
     """
     seen = pages.select(host_of(column(url)).alias("host"), _hashed(whole(column(page))).alias("p"))
@@ -434,30 +493,30 @@ def wrappers(pages: DataFrame, url: str = "url", page: str = "html", min_pages:
     hosts = kinds.groupBy("host").agg(F.max(F.struct("pages", "skeleton"))["skeleton"].alias("reference"))
     met = kinds.join(hosts, "host").select("host", "ka", "kb", "skeleton", _aligned("skeleton", "reference").alias("pairs"))
     met = stage(met, "wrapper-skeletons")
-    # The most frequent text of each skeleton's slot; slots without a partner keep to their own skeleton.
-    partner = met.select("host", "ka", "kb", F.inline("pairs"))
+    # Blocks meet the alignment; slots without a partner keep to their own skeleton.
+    every = kinds.agg(F.sum("pages").alias("n")).scalar()
+    common = kinds.where(F.col("pages") * 1000 > every).select("host", "ka", "kb", F.lit(_PARTS).alias("parts"))
+    common, keys = F.broadcast(common), ["host", "ka", "kb"]  # fewer than 1,000 rows
+    partner = met.select(*keys, F.inline("pairs")).join(common, keys, "left")
+    partner = partner.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    salt = F.pmod(F.coalesce("hash", F.lit(0)), F.coalesce("parts", F.lit(1))).cast("int")
+    placed = facts.join(common, keys, "left").withColumn("salt", salt).drop("parts")
     own = F.when(F.col("partner").isNull(), F.struct(F.col("ka").alias("ka"), F.col("kb").alias("kb"), F.col("slot").alias("slot")))
-    placed = facts.groupBy("host", "ka", "kb", "slot").agg(F.sum("pages").alias("pages"), F.max(F.struct("pages", "hash")).alias("top"))
-    placed = placed.join(partner, ["host", "ka", "kb", "slot"], "left")
-    placed = placed.select("host", "ka", "kb", "slot", "pages", "top", F.struct(F.col("partner").alias("partner"), own.alias("own")).alias("shared"))
+    placed = placed.join(partner, [*keys, "slot", "salt"], "left").select(
+        *keys, "slot", "hash", "pages", F.struct(F.col("partner").alias("partner"), own.alias("own")).alias("shared"))
     placed = stage(placed, "wrapper-slots")
-    # A text on a share s of a slot's pages is the most frequent one in skeletons with 2 s - 1 of them or more.
-    totals = placed.groupBy("host", "shared").agg(F.sum("pages").alias("total"))
-    voted = placed.groupBy("host", "shared", F.col("top.hash").alias("hash")).agg(F.sum("top.pages").alias("votes"))
-    voted = voted.groupBy("host", "shared").agg(F.max(F.struct("votes", "hash")).alias("best"))
-    likely = totals.join(voted, ["host", "shared"]).where(
-        (F.col("total") >= min_pages) & (F.col("best.votes") >= (2 * SHARE - 1) * F.col("total"))
-    ).select("host", "shared", "total", F.col("best.hash").alias("template"), F.col("best.votes").alias("votes"))
-    # Their pages in the other skeletons are looked up by text.
-    guessed = placed.join(likely, ["host", "shared"])
-    missed = guessed.where(F.col("top.hash") != F.col("template")).select("host", "shared", "ka", "kb", "slot", F.col("template").alias("hash"))
-    missed = missed.join(facts, ["host", "ka", "kb", "slot", "hash"]).groupBy("host", "shared").agg(F.sum("pages").alias("more"))
-    held = F.col("votes") + F.coalesce("more", F.lit(0))
-    sure = likely.join(missed, ["host", "shared"], "left").where((held >= min_pages) & (held >= SHARE * F.col("total")))
-    taught = placed.join(sure.select("host", "shared", "template"), ["host", "shared"], "left")
-    flags = taught.groupBy("host", "ka", "kb").agg(
-        F.collect_list(F.when(F.col("template").isNotNull(), F.struct("slot", F.col("template").alias("hash")))).alias("template"),
-        F.collect_list(F.when(F.col("template").isNull() | (F.col("top.hash") != F.col("template")), F.col("slot"))).alias("varying"),
+    totals = placed.where("hash IS NULL").groupBy("host", "shared").agg(F.sum("pages").alias("total"))
+    voted = placed.where("hash IS NOT NULL").groupBy("host", "shared", "hash").agg(F.sum("pages").alias("votes")).where(F.col("votes") >= min_pages)
+    template = voted.join(totals, ["host", "shared"]).where(F.col("votes") >= SHARE * F.col("total"))
+    template = template.select("host", "shared", "hash", F.lit(True).alias("template"))
+    taught = placed.where("hash IS NOT NULL").join(template, ["host", "shared", "hash"], "left")
+    # A slot has at most 1 / SHARE times as many templates as a page of it has blocks.
+    slots = taught.groupBy(*keys, "slot").agg(
+        F.collect_list(F.when(F.col("template"), F.col("hash"))).alias("hashes"), F.max(F.col("template").isNull()).alias("varies")
+    )
+    flags = slots.groupBy(*keys).agg(
+        F.flatten(F.collect_list(F.transform("hashes", lambda h: F.struct(F.col("slot").alias("slot"), h.alias("hash"))))).alias("template"),
+        F.collect_list(F.when(F.col("varies"), F.col("slot"))).alias("varying"),
     )
     learned = met.select("host", "ka", "kb", "skeleton").join(flags, ["host", "ka", "kb"], "left")
     learned = learned.withColumn("kept", _kept("skeleton", "varying"))

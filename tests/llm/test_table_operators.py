@@ -1,7 +1,9 @@
 """Operators over whole tables against brute force, edge cases included."""
 
+import collections
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -387,6 +389,73 @@ def test_chrome_is_told_by_whole_class_names(spark):
     assert not any(wrapper.maybe_chrome(f"div.{c}") for c in ("no-sidebar", "comments-open", "nav-open", "has-ads", "main", "list-item"))
 
 
+def plain_induction(pages, min_pages=2, share=0.8):
+    """All pages of one host aligned in plain Python, block by block."""
+    parsed = [wrapper.parse(p) for p in pages]
+    read = [(wrapper.written(root), blocks) for root, blocks in parsed]
+    different = {(s, tuple(dict.fromkeys(b))) for s, b in read if b}
+    counts = collections.Counter(s for s, _ in different)
+    best = max(((n, s) for s, n in counts.items()), default=(0, ""))[1]
+    place = {s: {n.at: wrapper.align(s, best).get(n.at, (s, n.at)) for n in wrapper._all(wrapper.read(s))} for s in counts}
+    slots, held = collections.Counter(), collections.Counter()
+    for s, blocks in different:
+        slots.update({place[s][slot] for slot, _ in blocks})
+        held.update({(place[s][slot], text) for slot, text in blocks})
+    template = {x for x, n in held.items() if n >= min_pages and n >= share * slots[x[0]]}
+    varying = collections.defaultdict(set)
+    for s, blocks in different:
+        varying[s] |= {slot for slot, text in blocks if (place[s][slot], text) not in template}
+    out = []
+    for s, blocks in read:
+        kept, taught = wrapper.kept_slots(s, varying[s])
+        out.append("\n".join(t for slot, t in blocks if slot in kept and not (taught and (place[s][slot], t) in template)))
+    return out
+
+
+def test_induction_equals_aligning_all_pages_of_a_host(spark):
+    """Random pages without article or main: optional blocks, templates beside varying paragraphs, copies, nulls."""
+    rng = random.Random(5)
+    rows = []
+    for host in range(40):
+        lines = [f"Line {i} of the site" for i in range(4)]
+        for n in range(rng.choice([1, 2, 3, 5, 12, 40])):
+            story = "".join(f"<p>{rng.choice(lines) if rng.random() < 0.3 else f'Text {rng.randrange(60)}'}</p>" for _ in range(rng.randrange(4)))
+            head, foot = rng.choice(["", "<div class=top><p>Name</p></div>"]), rng.choice(["", f"<p>{lines[0]}</p>", "<hr><div class=end>Bye</div>"])
+            page = f"<body>{head}<div class=story><h1>Head {rng.randrange(30)}</h1>{story}{foot}</div><div id=sidebar>Side {n}</div></body>"
+            rows.append((len(rows), f"http://h{host}.example/{n}", rng.choice([page] * 19 + [None])))
+    found = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for host in range(40):
+        mine = [r for r in rows if r[1].startswith(f"http://h{host}.example/")]
+        assert [found[r[0]] for r in mine] == plain_induction([r[2] for r in mine]), host
+
+
+def test_template_is_told_block_by_block(spark):
+    """A template paragraph beside varying ones goes, in an article too; so do two-page hosts' and what ids name."""
+    lines = "<p>Story {n}</p><p>Second {n}</p><p>Follow us on the net</p>"
+    layouts = {
+        "plain": f"<body><div>{lines}</div></body>",
+        "article": f"<body><article>{lines}</article></body>",
+        "ids": "<body><div id='sidebar'>Side {n}</div><div id='post-{n}'>" + lines + "</div><div id=comments><p>Reader {n}</p></div></body>",
+        "comment": f"<main><article>{lines}</article><article class='comment'><p>Reader {{n}}</p></article></main>",
+    }
+    rows = [(i, f"http://{k}{many}.example/", page.format(n=i)) for k, page in layouts.items() for many in (2, 20) for i in range(many)]
+    rows += [(0, "http://one.example/", layouts["plain"].format(n=0))]
+    for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text == f"Story {r.page_id}\nSecond {r.page_id}" + ("\nFollow us on the net" if "one" in r.url else ""), r.url
+
+
+@pytest.mark.parametrize("part", ["<p ", "<p \"", "<p '\"", "<!x", "<", "<!--", "<p a=\"<p ''\"", "<div>", "<b><p>", "</b>"])
+def test_pages_of_a_million_characters_parse_in_linear_time(part):
+    begun = time.monotonic()
+    wrapper.parse("<b>" + part * (1_000_000 // len(part)) + "'")
+    assert time.monotonic() - begun < 10
+
+
+def test_tags_are_read_as_written():
+    assert wrapper.parse('<p title="a < b">x</p><p a=1 <b>y</p><p "never closed>z')[1][:2] == [(1, "x"), (1, "y")]
+    assert wrapper.parse("a<!-- b > c -->d<!doctype x>e < f <1>")[1] == [(0, "ade < f <1>")]
+
+
 def test_tree_matching_pairs_what_two_pages_share():
     one = wrapper.written(wrapper.parse("<body><nav>n</nav><div class=a><p>x</p></div><div class=b>y</div></body>")[0])
     two = wrapper.written(wrapper.parse("<body><div class=new>z</div><nav>n</nav><div class=b>y</div></body>")[0])

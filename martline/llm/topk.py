@@ -19,9 +19,10 @@ Pruning uses floating point with a margin for rounding; scores are exact integer
 
 Defined results: components are turned into integers floor(scale * x); vectors that
 are null, or hold a null or a component that is not finite, take no part, neither do
-rows without an id; shorter vectors count as filled up with zeros. Integers beyond
-2**26 are refused, as sums of their products could leave 64 bits. Rows that repeat
-id and vector count once; a query never meets its own id.
+rows without an id; shorter vectors count as filled up with zeros. Integers are kept
+as doubles, which hold every floor of a double exactly; beyond 2**300 they count as
+2**300. A score beyond 2**63 - 1 in size counts as that, with its sign, so such scores
+tie. Rows that repeat id and vector count once; a query never meets its own id.
 """
 
 from __future__ import annotations
@@ -38,18 +39,21 @@ from martline.sources.staging import stage
 
 #: Rows of a candidate block and of a query part: what one task holds. Larger ones move less.
 BLOCK_ROWS, QUERY_ROWS = 1 << 14, 1 << 13
-_CHUNK, _ASKED, _LEADING, _LIMIT = 2048, 512, 16, 1 << 26
-#: Length classes: 64 to a doubling. Integers up to 2**26 leave a few thousand of them at most.
+_CHUNK, _ASKED, _LEADING = 2048, 512, 16
+_LARGEST, _MOST = 2.0**300, (1 << 63) - 1
+#: Length classes: 64 to a doubling. Integers up to 2**300 leave 20,000 of them at most.
 _CLASSES = 64
 
 
 def integers(vector: Column, scale: int) -> Column:
-    """floor(scale * x) per component; null for a vector that takes no part."""
+    """floor(scale * x) per component, as a double; null for a vector that takes no part."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-    beyond = F.exists(whole, lambda x: F.abs(x) > _LIMIT)
-    checked = F.when(beyond, F.raise_error(F.lit("a scaled component lies beyond 2**26"))).otherwise(whole)
-    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), checked)
+
+    def one(x: Column) -> Column:  # from 2**53 on every double is an integer
+        large = F.greatest(F.least(x, F.lit(_LARGEST)), F.lit(-_LARGEST))
+        return F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(large)
+
+    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(vector, lambda x: one(x.cast("double") * scale)))
 
 
 def top_k(
@@ -62,7 +66,7 @@ def top_k(
 
     few = Window.partitionBy("v").orderBy("id")
     listed = rows.select("id", "v").withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= k + 1)
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))
     classes = listed.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("length", length)
     classes = stage(classes, "topk-classes")
     asked = stage(_parts(rows.where("asks").select("v").distinct().withColumn("length", length), query_rows), "topk-queries")
@@ -111,7 +115,7 @@ def _blocks(classes: DataFrame, block_rows: int) -> DataFrame:
         "kind", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / block_rows).alias("base"),
         F.ceil(F.col("n") / block_rows).alias("splits"),
     )
-    # A few thousand rows at most, whatever the input: see _CLASSES.
+    # 20,000 rows at most, whatever the input: see _CLASSES.
     at = at.join(F.broadcast(kinds), "kind").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("splits"))).drop("kind", "splits")
     tops = at.groupBy("base", "salt").agg(F.max("length").alias("top"))
     number = F.row_number().over(Window.orderBy(F.col("top").desc(), "base", "salt")) - 1
@@ -119,13 +123,13 @@ def _blocks(classes: DataFrame, block_rows: int) -> DataFrame:
 
 
 def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
-    """Rows of 64-bit integers, filled up with zeros to ``width``."""
+    """Rows of integers as doubles, filled up with zeros to ``width``."""
     vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     sizes = np.diff(vectors.offsets.to_numpy())
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
     if (sizes == width).all():
         return flat.reshape(-1, width)
-    out = np.zeros((len(sizes), width), np.int64)
+    out = np.zeros((len(sizes), width))
     out[np.arange(width)[None, :] < sizes[:, None]] = flat
     return out
 
@@ -139,7 +143,7 @@ def _rotation(classes: DataFrame, width: int) -> np.ndarray:
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            some = _matrix(batch.column(0), width).astype(np.float64)
+            some = _matrix(batch.column(0), width)
             total += some.T @ some
         yield pa.RecordBatch.from_arrays([pa.array(range(width * width), pa.int32()), pa.array(total.ravel())], names=["at", "x"])
 
@@ -231,12 +235,30 @@ def best_classes(
 
 
 def _products(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray, in_floats: bool) -> np.ndarray:
-    """Exact integer inner products of the listed pairs."""
+    """Exact integer inner products of the listed pairs, at most ``_MOST`` in size."""
     low, high = v.min(), v.max() + 1
     if in_floats and len(q) * 4 > len(queries) * (high - low):  # most of the block is wanted; every sum fits a double
-        return (queries.astype(np.float64) @ vectors[low:high].T.astype(np.float64)).astype(np.int64)[q, v - low]
+        return (queries @ vectors[low:high].T).astype(np.int64)[q, v - low]
     out = np.empty(len(q), np.int64)
     for i in range(0, len(q), 1 << 16):
         part = slice(i, i + (1 << 16))
-        out[part] = np.einsum("ij,ij->i", queries[q[part]], vectors[v[part]])
+        out[part] = _exact(queries[q[part]], vectors[v[part]], in_floats)
+    return out
+
+
+def _exact(a: np.ndarray, b: np.ndarray, in_floats: bool) -> np.ndarray:
+    """Row by row. A sum is at most the product of the lengths: in 64 bits where that is, else certain to be beyond, or added up in long integers."""
+    if in_floats:
+        return np.einsum("ij,ij->i", a, b).astype(np.int64)
+    sizes = np.sqrt((a**2).sum(axis=1)) * np.sqrt((b**2).sum(axis=1))
+    fits = sizes < 2.0**62
+    out = np.zeros(len(a), np.int64)
+    small = fits & (sizes > 0)
+    out[small] = np.einsum("ij,ij->i", a[small].astype(np.int64), b[small].astype(np.int64))
+    about = np.einsum("ij,ij->i", a, b)
+    beyond = ~fits & (np.abs(about) > 2.0**63 + sizes * 1e-9)
+    out[beyond] = np.where(about[beyond] > 0, _MOST, -_MOST)
+    for i in np.flatnonzero(~fits & ~beyond):
+        score = sum(int(x) * int(y) for x, y in zip(a[i], b[i]))
+        out[i] = max(-_MOST, min(_MOST, score))
     return out

@@ -1,6 +1,7 @@
 """Operators over whole tables against brute force, edge cases included."""
 
 import collections
+import math
 import random
 import re
 import time
@@ -159,8 +160,23 @@ def test_top_k_of_few_and_no_rows(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1, 65536 * 11)]
     assert topk.top_k(frame.limit(0), F.lit(True)).count() == 0
-    with pytest.raises(Exception, match="2\\*\\*26"):
-        topk.top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<float>"), F.lit(True)).count()
+
+
+def test_large_components_are_scored_exactly(spark):
+    """Components of 1e30 and 300,000 beside small ones, zeros and negatives; scores beyond 64 bits tie at the bound."""
+    rng = random.Random(8)
+    pool = [0.0, 0.0, 1.0, -1.5, 3.25, 300_000.0, -300_000.0, 1e9, -1e9, 2.0**55 + 256, 1e30, -1e30]
+    rows = [(i, [rng.choice(pool[: rng.choice([5, 7, 9, 12])]) for _ in range(6)]) for i in range(400)] + [(400, [1e308] * 6)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(frame, F.col("vec_id") % 10 == 0, block_rows=64, query_rows=16).collect()
+    whole = {i: [int(max(-(2.0**300), min(2.0**300, math.floor(x * 256) if abs(x) < 1e300 else x))) for x in v] for i, v in rows}
+    expected = set()
+    for q in range(0, 401, 10):
+        scores = ((i, sum(a * b for a, b in zip(whole[q], v))) for i, v in whole.items() if i != q)
+        best = sorted((-max(-(2**63) + 1, min(2**63 - 1, s)), i) for i, s in scores)[:5]
+        expected |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert {tuple(r) for r in found} == expected and len(found) == len(expected)
+
 
 
 # mixing

@@ -33,27 +33,28 @@ _CSV = {
 }
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType, *, rejects: bool = False) -> DataFrame:
+def load_csv(spark: SparkSession, path: str, schema: T.StructType, *, rejects: bool = False, multi_line: bool = True) -> DataFrame:
     """CSV with header, every column as text.
 
     Quotes inside quoted fields are doubled; quoted fields may hold commas and line
     breaks. An empty field is null, a quoted empty one is empty text. Because of the
-    line breaks a file is read by one task: write large tables as many files. Rows
-    with too many or too few fields are kept, padded or cut to the schema;
+    line breaks a file is read by one task; ``multi_line=False``, for files without
+    line breaks in fields, lets tasks share a file. Rows with too many or too few fields are kept, padded or cut to the schema;
     ``rejects=True`` adds their original text in ``_corrupt_record``.
     """
     if rejects:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     # A mark that no text holds stands for null, so that quoted empty text is not taken for one.
     reader = spark.read.schema(schema).options(**_CSV).option("nullValue", "\x01").option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
 def load_bronze(
-    spark: SparkSession, inputs: Mapping[str, tuple[str, T.StructType]], root: str
+    spark: SparkSession, inputs: Mapping[str, tuple[str, T.StructType]], root: str, *, multi_line: bool = True
 ) -> dict[str, DataFrame]:
-    """Replace one stored table under ``root`` per CSV input (path, schema), as text."""
-    return {name: save_table(load_csv(spark, path, schema), f"{root}/{name}") for name, (path, schema) in inputs.items()}
+    """Replace one stored table under ``root`` per CSV input (path, schema), as text; ``multi_line`` as in ``load_csv``."""
+    loaded = {name: load_csv(spark, path, schema, multi_line=multi_line) for name, (path, schema) in inputs.items()}
+    return {name: save_table(df, f"{root}/{name}") for name, df in loaded.items()}
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -148,6 +148,24 @@ def test_csv_keeps_text_as_it_is(spark, tmp_path):
     assert rows(loaded) == [("1", 'He said "hi", ok', "x"), ("2", "two\nlines", "y")]
 
 
+def test_a_csv_file_without_line_breaks_in_fields_is_shared_by_tasks(spark, tmp_path):
+    path, schema = tmp_path / "wide.csv", "id string, text string, last string"
+    texts = ['plain', 'He said ""hi"", ok', " blank ", "é🙂", ""]
+    path.write_text("id,text,last\n" + "".join(f'{i},"{texts[i % 5]}",\n' for i in range(60_000)))
+    schema = spark.createDataFrame([], schema).schema
+    one = files.load_csv(spark, str(path), schema)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(path.stat().st_size // 6))
+    try:
+        many = files.load_csv(spark, str(path), schema, multi_line=False)
+        tasks = many.select(F.spark_partition_id().alias("task"), "id").groupBy("task").count().collect()
+        assert len(tasks) > 4
+        assert many.exceptAll(one).count() == one.exceptAll(many).count() == 0 and many.count() == 60_000
+        stored = files.load_bronze(spark, {"wide": (str(path), schema)}, str(tmp_path / "bronze"), multi_line=False)
+        assert stored["wide"].exceptAll(one).count() == 0 and stored["wide"].count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_growing_table_is_created_once_and_missing_reads_empty(spark, tmp_path):
     path = str(tmp_path / "events")
     assert files.read_or_empty(spark, path, POS_EVENT).count() == 0

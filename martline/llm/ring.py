@@ -9,7 +9,8 @@ with more slack fewer keys leave their own arc and less moves when shards change
 
 Only counts decide: rows per cell are counted first, the arcs (shards times
 ``virtual_nodes``) are settled in one row, and a row finds its shard and its slot
-by its rank in its cell. No text moves.
+by its rank in its cell. No text moves. Cells that one id makes large are ranked by
+counts added up in two steps, so no task sorts all rows of an id.
 
 Defined results: a null id is keyed by the text's hash; rows that agree in id and
 text are interchangeable and settle one after the other.
@@ -19,13 +20,18 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martline.llm.common import column, free_name
+from martline.llm.common import column
+from martline.sources.staging import stage
 
 CELLS = 1 << 16
 VIRTUAL_NODES = 64
+#: A cell with this many times the rows of an average one is numbered by counts instead of one sort.
+HOT = 8
+#: Leading bits of a hash that cut the rows of one place into stretches.
+STRETCH_BITS = 12
 
 
 def arcs(shards: int, virtual_nodes: int = VIRTUAL_NODES) -> list[tuple[int, list[int]]]:
@@ -69,17 +75,24 @@ def assign(
     """
     spark = docs.sparkSession
     place = F.md5(F.coalesce(column(key).cast("string"), F.concat(F.lit("text:"), F.md5(column(text))), F.lit("none")))
-    placed = docs.withColumn(at := free_name(docs, "place"), place)
-    cell = F.conv(F.substring(column(at), 1, 4), 16, 10).cast("int")
-    counts = placed.groupBy(cell.alias("cell")).agg(F.count("*").alias("rows"))
+    ties = [column(c) for c in keep]
+    keyed = docs.select(
+        F.struct(*[column(c) for c in dict.fromkeys((key, *keep))]).alias("row"), place.alias("place"),
+        F.xxhash64(F.lit(0), *ties).alias("tie"), F.spark_partition_id().alias("part"),
+    )
+    # Narrow rows, written once: counts and ranks see the same parts even if a task runs again.
+    rows = stage(keyed.withColumn("cell", F.conv(F.substring("place", 1, 4), 16, 10).cast("int")), "ring-rows")
+    counts = rows.groupBy("cell").agg(F.count("*").alias("rows"))
     settled = _settle(counts, ring_table(spark, shards, virtual_nodes), shards, slack)
 
-    ranked = placed.select(
-        F.struct(*[column(c) for c in dict.fromkeys((key, *keep))]).alias("row"), cell.alias("cell"), column(at).alias("place"),
-        F.row_number().over(_in_cell(cell, column(at), [column(c) for c in keep])).alias("rank"),
-    )
-    met = ranked.join(settled, "cell")
-    nth = F.col("before") + F.col("rank") - 1
+    often = HOT * F.greatest(counts.agg(F.sum("rows")).scalar() / F.lit(CELLS), F.lit(1.0))
+    hot = F.broadcast(counts.where(F.col("rows") > often).select("cell"))  # fewer than CELLS / HOT rows
+    in_row = [F.col("row")[c] for c in keep]
+    in_cell = Window.partitionBy("cell").orderBy("place", *in_row)
+    plain = rows.join(hot, "cell", "left_anti").select("row", "cell", (F.row_number().over(in_cell) - 1).cast("long").alias("rank"))
+    ranked = plain.unionByName(_split_ranks(rows.join(hot, "cell", "left_semi"), in_row))
+    met = ranked.join(F.broadcast(settled), "cell")  # at most CELLS rows, with arcs plus shards parts in all arcs
+    nth = F.col("before") + F.col("rank")
     part = F.element_at(F.filter("parts", lambda p: (p["first"] <= nth) & (nth < p["first"] + p["rows"])), 1)
     return met.select(
         "row.*", F.col("home").alias("home_shard"), part["shard"].alias("shard"),
@@ -87,10 +100,25 @@ def assign(
     )
 
 
-def _in_cell(cell: Column, place: Column, ties: list[Column]):
-    from pyspark.sql import Window
+def _split_ranks(rows: DataFrame, ties: list[Column]) -> DataFrame:
+    """Ranks from 0 in each cell for cells that one task should not sort.
 
-    return Window.partitionBy(cell).orderBy(place, *ties)
+    The order is place, hash of the kept columns, input task. Counts per place and
+    stretch of hashes are added up per cell, counts per hash and task per stretch,
+    and only rows of one hash and one task are numbered together.
+    """
+    unit = ["cell", "place", "stretch", "tie", "part"]
+    cut = rows.withColumn("stretch", F.shiftrightunsigned("tie", 64 - STRETCH_BITS).cast("int"))
+    units = stage(cut.groupBy(*unit).agg(F.count("*").alias("n")), "ring-units")
+    stretches = units.groupBy("cell", "place", "stretch").agg(F.sum("n").alias("n"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    in_cell = earlier.partitionBy("cell").orderBy("place", "stretch")
+    before = stretches.select("cell", "place", "stretch", F.coalesce(F.sum("n").over(in_cell), F.lit(0)).alias("skip"))
+    in_stretch = earlier.partitionBy("cell", "place", "stretch").orderBy("tie", "part")
+    within = units.select(*unit, F.coalesce(F.sum("n").over(in_stretch), F.lit(0)).alias("ahead"))
+    starts = within.join(before, ["cell", "place", "stretch"]).select(*unit, (F.col("skip") + F.col("ahead")).alias("start"))
+    nth = F.row_number().over(Window.partitionBy(*unit).orderBy(*ties, "part")) - 1
+    return cut.withColumn("nth", nth).join(starts, unit).select("row", "cell", (F.col("start") + F.col("nth")).alias("rank"))
 
 
 def _settle(counts: DataFrame, ring: DataFrame, shards: int, slack: float) -> DataFrame:
@@ -100,8 +128,6 @@ def _settle(counts: DataFrame, ring: DataFrame, shards: int, slack: float) -> Da
     A part says that ``rows`` rows of the arc, from its row ``first`` on, fill
     ``shard`` from ``slot`` on.
     """
-    from pyspark.sql import Window
-
     cells = ring.join(counts, "cell")
     order = Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("rows").over(order), F.lit(0)))

@@ -290,6 +290,15 @@ def test_sharding_equals_insertion_in_ring_order(spark, many):
     assert sorted((repr(r.doc_id), r.shard, r.slot, r.home_shard) for r in found) == sorted(insert_clockwise(rows, 16))
 
 
+def test_an_id_with_a_third_of_all_rows_is_numbered_by_counts(spark):
+    rows = [(i, f"text {i % 7}") for i in range(2000)] + [(7, f"text {i % 400}") for i in range(800)] + [(7, None), (7, "copy")] * 100
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [ring.assign(frame.repartition(n), 16, keep=("text",)).collect() for n in (6, 3)]
+    assert sorted((repr(r.doc_id), r.shard, r.slot, r.home_shard) for r in found[0]) == sorted(insert_clockwise(rows, 16))
+    assert Counter((r.doc_id, r.text) for r in found[0]) == Counter(rows)
+    assert sorted(found[0], key=repr) == sorted(found[1], key=repr)  # however the rows are dealt over tasks
+
+
 def test_loads_are_bounded_and_slots_have_no_gaps(spark):
     found = QUERIES["op10_ring_shards"](spark, str(TESTDATA)).collect()
     slots = defaultdict(list)

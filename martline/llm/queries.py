@@ -88,7 +88,11 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.find_secrets(docs, new_path(spark, "secret-ledger"))
+    folder = new_path(spark, "secret-ledger")
+    # An earlier delivery, the lower half of all addresses, met the rules without the newest one.
+    # The run over all rows scans the other half in full and this one for the new rule.
+    secrets.record(docs.where(secrets.address(F.col("text")) < F.unhex(F.lit("80"))), folder, rules=secrets.RULES[:-1])
+    found = secrets.find_secrets(docs, folder)
     base = F.filter("secrets", lambda f: f["place"] < len(secrets.BASE))
 
     def count(kind: str) -> Column:

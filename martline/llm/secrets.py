@@ -131,6 +131,11 @@ def _once(findings: Column) -> Column:
     return F.transform(F.array(findings), lambda all_: F.filter(all_, lambda f, i: (i == 0) | (f != all_[i - 1])))[0]
 
 
+def record(docs: DataFrame, folder: str, text: str = "text", rules: Sequence[Rule] = RULES) -> None:
+    """Scan what the ledger in ``folder`` does not hold and append it."""
+    scan(docs, read_ledger(docs.sparkSession, folder), text, rules).write.mode("append").parquet(folder)
+
+
 def find_secrets(
     docs: DataFrame, folder: str, text: str = "text", rules: Sequence[Rule] = RULES, into: str = "secrets"
 ) -> DataFrame:
@@ -140,7 +145,7 @@ def find_secrets(
     what is missing.
     """
     spark = docs.sparkSession
-    scan(docs, read_ledger(spark, folder), text, rules).write.mode("append").parquet(folder)
+    record(docs, folder, text, rules)
     wanted = F.array(*[F.lit(r.name) for r in rules])
     kept = F.filter("findings", lambda f: F.array_contains(wanted, f["rule"]))
     # A pair that two runs scanned at the same time is there twice; equal findings count once.

@@ -13,18 +13,21 @@ of independent draws.
    their bucket's leader, drawn by hash, if they are not in its component yet: first
    in a few bands, which connect most of a large group, then in all of them, and
    again with other leaders while many pairs are open and links are found.
-3. Then all pairs of a bucket whose members are still in different components are
-   compared, unless they have been, or a bound on how much they differ, from
-   ``PARITY`` bits per set, proves that they are no link. So each pair that shares a
+3. Then members of a bucket that are still in different components are compared,
+   unless they have been, or are surely no link. In buckets with up to ``LIST`` open
+   pairs per member a bound from ``PARITY`` bits per set tells that. In larger ones
+   only pairs are listed that share one of their rarest shingles: sets that are links
+   must, if each shows as many as it may miss, plus one. So each pair that shares a
    band is compared, already connected or surely none: no link that banding finds is
-   lost.
+   lost. Where the rarest shingles are so common that they would list more pairs than
+   the buckets hold, the parity bits decide there too.
 
 A pair at the threshold of 0.8 shares no band with a chance of (1 - 0.8**ROWS)**BANDS,
 about 2e-6.
 
 Hot groups: copies are one class; a group of near copies costs its leader
 comparisons, not its pairs; leaders are found by aggregation and members meet them
-in joins that the engine splits.
+in joins that the engine splits; large classes, components and shingles are salted.
 
 Defined results: words are runs of anything but the six ASCII white-space
 characters, A-Z lower-cased. A text without words has the empty set and is linked
@@ -44,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martline.llm.common import WORD, column, free_name, two_hashes, whole
+from martline.operators.joins import hot_keys, left_join
 from martline.sources.staging import stage
 
 SHINGLE, PERCENT = 5, 80
@@ -52,6 +56,8 @@ ROWS, BANDS = 7, 56
 PARITY = 1024
 #: Bands of the first round, most rounds with leaders, and open pairs per member that end them.
 FIRST_BANDS, LEADER_ROUNDS, FEW = 4, 6, 256
+#: Open pairs per member up to which a bucket's pairs are listed without looking at shingles.
+LIST = 16
 _U64 = np.uint64
 _MIX = (_U64(0xBF58476D1CE4E5B9), _U64(0x94D049BB133111EB))
 #: Odd multipliers, one per place in a shingle, repeated with another rotation for longer ones.
@@ -165,6 +171,14 @@ def _linked(size: int, percent: int):
     return linked
 
 
+def _elements(size: int):
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def elements(texts: pa.Array) -> pa.Array:
+        return pa.array([shingles(text.as_py(), size).view(np.int64) for text in texts], pa.list_(pa.int64()))
+
+    return elements
+
+
 def _text_key(text: Column) -> list[Column]:
     a, b = two_hashes(whole(text))
     return [a.alias("ta"), b.alias("tb")]
@@ -199,7 +213,7 @@ def components(
         if turn > 2:
             crossed = not found or turn > LEADER_ROUNDS or _few_open_pairs(open_members)
         if crossed:
-            asked = _cross_pairs(open_members.join(reps.select("a", "b", "odd"), ["a", "b"]), percent)
+            asked = _last_pairs(open_members, reps.select("a", "b", "odd"), texts, size, percent)
         else:
             asked = _leader_pairs(open_members, turn)
         fresh = _close(asked, percent).distinct().join(tested, ["a", "b", "a2", "b2"], "left_anti")
@@ -295,6 +309,56 @@ def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
     return met.select("a", "b", "n", F.col("l.a").alias("a2"), F.col("l.b").alias("b2"), F.col("l.n").alias("n2"))
 
 
+def _last_pairs(members: DataFrame, odd: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs that leaders have left open: by parity words in small buckets, by rare shingles in large ones."""
+    parts = members.groupBy("band", "la", "lb").agg(F.count("*").cast("double").alias("n"))
+    buckets = parts.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    pairs = (F.col("n") * F.col("n") - F.col("within")) / 2
+    large = stage(buckets.where(pairs > LIST * F.col("n")).select("band", pairs.alias("pairs")), "minhash-large")
+    total = large.agg(F.sum("pairs")).first()[0]
+    if total is None:
+        return _cross_pairs(members.join(odd, ["a", "b"]), percent)
+    rare = _rarest(members.join(large, "band", "left_semi").select("a", "b", "n", "la", "lb").distinct(), texts, size, percent)
+    if _listed_by(rare) > total:
+        return _cross_pairs(members.join(odd, ["a", "b"]), percent)
+    small = members.join(large, "band", "left_anti").join(odd, ["a", "b"])
+    return _cross_pairs(small, percent).unionByName(_rare_pairs(rare, percent))
+
+
+def _rarest(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``e`` (shingle of more than one class), its place ``nth`` among those of ``a, b``, rarest first.
+
+    Listed are the places at which the first shingle shared with a larger set may
+    stand; ``short`` marks those at which one shared with a set at least as small may not.
+    """
+    sets = texts.join(classes.select("a", "b", "n"), ["a", "b"])
+    elements = stage(sets.select("a", "b", "n", F.explode(_elements(size)("text")).alias("e")), "minhash-elements")
+    counts = stage(elements.groupBy("e").agg(F.count("*").alias("classes")).where("classes > 1"), "minhash-counts")
+    counted = left_join(elements, counts, "e", "a", hot=stage(hot_keys(elements, "e"), "minhash-hot-elements"))
+    order = Window.partitionBy("a", "b").orderBy(F.coalesce("classes", F.lit(1)), "e")
+    left = F.col("n") - F.col("nth") + 1  # elements from this one on
+    placed = counted.withColumn("nth", F.row_number().over(order)).where((F.col("classes") > 1) & (100 * left >= percent * F.col("n")))
+    short = (100 + percent) * left >= 2 * percent * F.col("n")
+    return stage(placed.select("e", "nth", "a", "b", short.alias("short")).join(classes, ["a", "b"]), "minhash-rarest")
+
+
+def _listed_by(rare: DataFrame) -> float:
+    """How many pairs of rows meet in a shingle, counted without listing them."""
+    met = rare.groupBy("e").agg(F.count_if("short").cast("double").alias("x"), F.count("*").cast("double").alias("y"))
+    return met.agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
+
+
+def _rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs of two components that share a shingle before too few are left for a link."""
+    x, y = rare.where("short").alias("x"), rare.alias("y")
+    apart = (F.col("x.la") != F.col("y.la")) | (F.col("x.lb") != F.col("y.lb"))
+    ordered = F.struct("x.n", "x.a", "x.b") < F.struct("y.n", "y.a", "y.b")
+    both = F.col("x.n") + F.col("y.n")
+    enough = [(100 + percent) * (F.col(f"{s}.n") - F.col(f"{s}.nth") + 1) >= percent * both for s in "xy"]
+    met = x.join(y, (F.col("x.e") == F.col("y.e")) & apart & ordered & enough[0] & enough[1])
+    return met.select("x.a", "x.b", "x.n", F.col("y.a").alias("a2"), F.col("y.b").alias("b2"), F.col("y.n").alias("n2"))
+
+
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket and two components that can still be links; what leaders have left open.
 
@@ -316,10 +380,14 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
 def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """Every row of ``nodes`` with the smallest id of its component."""
     own = nodes.select("doc_id", "ta", "tb", "n", "a", "b")
-    named = own.where("n > 0").join(labels, ["a", "b"], "left")
-    named = named.select("doc_id", "ta", "tb", "n", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
-    smallest = named.groupBy("la", "lb").agg(F.min("doc_id").alias("component_id"))
-    full = named.join(smallest, ["la", "lb"])
+    worded = own.where("n > 0").select("doc_id", "ta", "tb", "n", F.struct("a", "b").alias("class"))
+    worded = stage(worded.withColumn("spread", F.monotonically_increasing_id()), "minhash-worded")
+    known = labels.select(F.struct("a", "b").alias("class"), F.struct(F.col("la").alias("a"), F.col("lb").alias("b")).alias("label"))
+    named = left_join(worded, known, "class", "spread", hot=stage(hot_keys(worded, "class"), "minhash-hot-classes"))
+    named = stage(named.select("doc_id", "ta", "tb", "n", F.coalesce("label", "class").alias("label"), "spread"), "minhash-named")
+    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    full = left_join(named, smallest, "label", "spread", hot=stage(hot_keys(named, "label"), "minhash-hot-labels"))
+    full = full.select("doc_id", "ta", "tb", "n", F.col("label.a").alias("la"), F.col("label.b").alias("lb"), "component_id")
     empty = own.where("n = 0").select("doc_id", "ta", "tb", "n", F.lit(None).cast("long").alias("la"), F.lit(None).cast("long").alias("lb"),
                                       F.col("doc_id").alias("component_id"))
     return full.unionByName(empty).select("doc_id", "ta", "tb", F.col("n").alias("n_shingles"), F.col("la").alias("class_a"), F.col("lb").alias("class_b"), "component_id")

@@ -106,6 +106,48 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     assert minhash.deduplicate(frame.limit(0)).count() == 0 == minhash.components(frame.limit(0)).count()
 
 
+def test_a_bucket_of_long_pages_below_the_threshold_lists_no_pairs(spark, monkeypatch):
+    shared, alone = [f"s{i}" for i in range(1400)], 220  # two pages share 1,396 of about 1,620 shingles each: 0.76
+    texts = [" ".join([*shared, *(f"p{p}w{i}" for i in range(alone))]) for p in range(60)]
+    texts += [" ".join(t.split()[:-40]) for t in texts[:3]] + [texts[0]]  # links between different texts, one copy
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    nodes = [minhash.shingles(t) for t in texts]
+    pairs = [(i, j) for i in range(64) for j in range(i) if minhash.similar(nodes[i], nodes[j])]
+    assert len(pairs) == 5
+    asked = []
+    plain = minhash._rare_pairs
+    monkeypatch.setattr(minhash, "_rare_pairs", lambda *a: asked.append(plain(*a)) or asked[-1])
+    monkeypatch.setattr(minhash, "LEADER_ROUNDS", 2)
+    found = {r.doc_id: r.component_id for r in minhash.components(frame).collect()}
+    assert found == {**{i: i for i in range(60)}, 60: 0, 61: 1, 62: 2, 63: 0}
+    assert len(asked) == 1 and asked[0].select("a", "b", "a2", "b2").distinct().count() <= 3
+    # The same pairs by their rarest shingles alone, from all classes.
+    rows = [(minhash._signed(int(n[0])), i, len(n), i, i, t) for i, (n, t) in enumerate(zip(nodes[:63], texts))]
+    classes = spark.createDataFrame(rows, "a long, b long, n long, la long, lb long, text string")
+    rare = minhash._rarest(classes.drop("text"), classes.select("a", "b", "text"), 5, 80)
+    listed = {tuple(sorted((r.b, r.b2))) for r in plain(rare, 80).collect()}
+    assert {tuple(sorted(p)) for p in pairs if max(p) < 63} <= listed and len(listed) <= 6
+
+
+def test_rarest_shingles_miss_no_link(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for base in range(6):
+        words = [f"b{base}w{i}" for i in range(int(rng.integers(5, 120)))]
+        for _ in range(12):
+            cut = [w if rng.random() > 0.02 else f"x{rng.integers(9)}" for w in words]
+            texts.append(" ".join(cut[: len(cut) - int(rng.integers(0, 1 + len(cut) // 6))]))
+    sets = [minhash.shingles(t) for t in dict.fromkeys(texts)]
+    rows = [(i, i, len(n), i, i, t) for i, (n, t) in enumerate(zip(sets, dict.fromkeys(texts)))]
+    classes = spark.createDataFrame(rows, "a long, b long, n long, la long, lb long, text string")
+    for percent in (60, 80, 95):
+        rare = minhash._rarest(classes.drop("text"), classes.select("a", "b", "text"), 5, percent)
+        listed = {tuple(sorted((r.a, r.a2))) for r in minhash._rare_pairs(rare, percent).collect()}
+        true = {(i, j) for j in range(len(sets)) for i in range(j) if minhash.similar(sets[i], sets[j], percent)}
+        assert len(true) > 5 and true <= listed
+
+
+
 def test_sketches_fill_and_agree_as_often_as_sets_do():
     rng = np.random.default_rng(1)
     for n in (1, 2, 10, 500):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martline.operators.joins import estimated_bytes, hot_keys, left_join, orphan_rows, orphans, staged_hot_keys
 from martline.operators.ranking import global_rank
-from martline.operators.temporal import availability_counts, available_on
+from martline.operators.temporal import availability_counts, availability_per_product, available_on
 from martline.plans.dates import date_spine
 
 
@@ -117,3 +117,23 @@ def test_availability_equals_brute_force(spark):
         day = listed[0] + timedelta(offset)
         running = counts.get(day, running)
         assert running == sum(a <= day and (z is None or z > day) for _, a, z in spans)
+
+
+def test_availability_per_product_lists_no_days(spark):
+    from datetime import date, timedelta
+
+    rng = random.Random(6)
+    start = date(2024, 1, 1)
+    spans = [("p0", None, None), (None, start, None), ("p1", start, None), ("p1", start + timedelta(20), start + timedelta(22))]
+    for i in range(60):
+        launch = start + timedelta(rng.randrange(-30, 60))
+        spans.append((f"p{i}", launch, None if i % 2 else launch + timedelta(rng.randrange(0, 6))))
+    products = spark.createDataFrame(spans, "product_id string, launch_date date, discontinued_date date")
+    spine = date_spine(spark, start, start + timedelta(44)).where("day(date_actual) % 4 <> 1")
+    days = spine.unionAll(spine).unionAll(spark.createDataFrame([(None,)], "date_actual date"))
+    found = availability_per_product(products, days)
+    listed = available_on(products, days).groupBy("product_id").agg(
+        F.count("*"), F.min("date_actual"), F.max("date_actual"))
+    assert rows(found) == rows(listed)
+    assert "sequence(_start" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(availability_per_product(products, days.limit(0))) == []

@@ -199,10 +199,14 @@ def ingest(
             stored = parts.read_parts(spark, path, only=[name])
             bad = decoded.where("NOT is_valid").select("value", F.lit(batch_id).cast("bigint").alias("batch_id"))
             row = (*counted, time.time() - began, run, query, batch_id)
-            kept = [(figures, live.partial_figures(stored), live.merge_figures), (progress, spark.createDataFrame([row], _PROGRESS), None)]
-            for table, rows, combine in kept + [(rejects, bad, None)] * (counted["rejected"] > 0):
+            kept = [
+                (figures, live.partial_figures(stored).coalesce(1), live.merge_figures),  # one row per store
+                (progress, spark.createDataFrame([row], _PROGRESS).coalesce(1), None),
+            ]
+            # Rebalanced: few files, and still written by as many tasks as there are bad messages for.
+            for table, rows, combine in kept + [(rejects, bad.hint("rebalance"), None)] * (counted["rejected"] > 0):
                 parts.merge_parts(spark, table, skip=[name], combine=combine)
-                parts.write_part(rows.coalesce(1), table, name)
+                parts.write_part(rows, table, name)
         finally:
             decoded.unpersist()
 

@@ -280,3 +280,19 @@ def test_first_arrival_does_not_depend_on_splits(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
         kept.append(rows(files.read_table(spark, str(tmp_path / f"events-{size}")), "event_id", "quantity"))
     assert kept[0] == kept[1] == sorted((f"e{i}", i) for i in range(60))
+
+
+def test_bad_messages_are_not_gathered_in_one_task(spark, tmp_path, monkeypatch):
+    plans, write = {}, parts.write_part
+
+    def noted(rows, path, name):
+        plans[path] = rows._jdf.queryExecution().optimizedPlan().toString()
+        write(rows, path, name)
+
+    monkeypatch.setattr(parts, "write_part", noted)
+    _send(tmp_path / "inbox", "1", _event(1), "bad 1")
+    _send(tmp_path / "inbox", "2", "bad 2")
+    _drain(spark, tmp_path)
+    path = str(tmp_path / "events")
+    assert "Repartition 1," not in plans[streams.rejects_of(path)]
+    assert sorted(r.value for r in streams.ingest_rejects(spark, path).collect()) == ["bad 1", "bad 2"]

@@ -137,3 +137,69 @@ def test_availability_per_product_lists_no_days(spark):
     assert rows(found) == rows(listed)
     assert "sequence(_start" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert rows(availability_per_product(products, days.limit(0))) == []
+
+
+def test_hashed_keys_are_set_aside_and_put_back(spark):
+    from martline.functions.keys import hash_key, packed, put_back, set_aside
+
+    df = spark.createDataFrame([("a", 1), (None, 2), ("", None)], "k string, n int")
+    known = df.select("*", hash_key("k", "n").alias("sk"))
+    odd = df.select("*", F.lit("other").alias("sk")).union(df.select("*", F.lit(None).cast("string")))
+    both = known.union(odd)
+    short = set_aside(both, "sk", ["k", "n"])
+    assert "sk" not in short.columns
+    assert short.where("_odd_sk IS NOT NULL").count() == 3
+    assert rows(put_back(short, "sk", ["k", "n"]), "k", "n", "sk") == rows(both)
+    texts = ["", "0" * 32, "AB" * 16, "ab" * 16, "zz" * 16, "ab" * 8, "\x01" + "a" * 16, "0" * 31, "é", None]
+    shown = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed(F.col("t")).alias("p")).collect()
+    assert len({bytes(r.p) for r in shown if r.t is not None}) == len(texts) - 1
+    assert {r.t: r.p and len(r.p) for r in shown}["ab" * 16] == 17
+    assert [r.t for r in shown if r.p is None] == [None]
+
+
+def test_joins_move_no_hashes_and_keep_odd_keys(spark):
+    from martline.operators.details import order_details
+
+    sales = spark.createDataFrame(
+        [("s1", "o1", 1, "c1", "p1"), (None, "o2", 2, "c2", "p2"), ("s3", None, None, "c9", None)],
+        "order_line_sk string, order_id string, line_item_id int, customer_id string, product_id string",
+    ).selectExpr("*", "2 AS quantity", "10.0BD AS unit_price", "1.0BD AS discount_amount", "current_timestamp() AS loaded_at")
+    more = sales.where("order_id = 'o1'").withColumn("order_line_sk", F.expr("md5('o1|1')"))
+    products = spark.createDataFrame([("p1", "odd"), ("p2", None)], "product_id string, product_sk string").selectExpr(
+        "*", "3.0BD AS list_price", "1.0BD AS standard_cost")
+    customers = spark.createDataFrame([("c1",), ("c2",), ("c2",)], "customer_id string").selectExpr("*", "md5(customer_id) AS customer_sk")
+    joined = order_details(sales.union(more), products, customers)
+    plain = sales.union(more).join(products, "product_id", "left").join(customers, "customer_id", "left")
+    keys = ["order_line_sk", "order_id", "customer_id", "product_id", "product_sk", "customer_sk", "list_price"]
+    assert rows(joined, *keys) == rows(plain, *keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = order_details(sales, products, customers)._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Join LeftOuter"):].split("\n")[0:2]
+        assert not any("order_line_sk" in line and "_odd_" not in line for line in below)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_metrics_count_distinct_values_apart_from_the_totals(spark):
+    from datetime import date
+    from decimal import Decimal
+
+    from martline.operators.metrics import customer_metrics, product_totals
+
+    rng = random.Random(8)
+    data = [(rng.choice(["c1", "c2", None]), rng.choice([None, "x"]), rng.choice(["p1", "p2", "p3"]), "sk", rng.choice(["o1", "o2", None]),
+             rng.choice([None, date(2024, 1, 5), date(2024, 2, 5)]), rng.randrange(9), *[Decimal(rng.randrange(99))] * 4, rng.random()) for _ in range(300)]
+    money = ", ".join(f"{c} decimal(18,2)" for c in ("net_revenue", "gross_revenue", "total_cost", "net_profit"))
+    details = spark.createDataFrame(data, "customer_id string, customer_sk string, product_id string, product_sk string, "
+                                    f"order_id string, order_date date, quantity int, {money}, profit_margin_pct double")
+    found = customer_metrics(details, as_of=date(2024, 6, 1))
+    direct = details.groupBy("customer_id", "customer_sk").agg(
+        F.countDistinct("order_id").alias("total_orders"), F.count("*").alias("total_line_items"), F.sum("net_revenue").alias("total_revenue"),
+        F.countDistinct("product_id").alias("products"), F.countDistinct(F.trunc("order_date", "MM")).alias("months"))
+    assert rows(found, "customer_id", "customer_sk", "total_orders", "total_line_items", "total_revenue", "distinct_products_purchased",
+                "active_months") == rows(direct)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    plain = details.groupBy("product_id", "product_sk").agg(F.countDistinct("order_id"), F.countDistinct("customer_id"))
+    assert rows(product_totals(details), "product_id", "product_sk", "total_orders", "unique_customers") == rows(plain)
+    assert "total_orders" not in product_totals(details, counts=[]).columns

@@ -134,3 +134,13 @@ def test_injected_defects_are_caught(raw_sales):
     assert flagged.agg(*[F.sum(n) for n in names]).first() == (1, 1, 1, 1)
     assert clean.rejected_sales(dirty, as_of=TODAY).count() == 4
     assert clean.stg_sales(dirty, as_of=TODAY).count() == 50
+
+
+def test_complete_rejects_read_their_source_once(spark, raw_sales, tmp_path):
+    lines = raw_sales({}, {}, {"line_item_id": "2", "quantity": "-1"}, {"customer_id": " "}, {"line_item_id": None})
+    lines.write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.schema(lines.schema).parquet(str(tmp_path / "raw"))
+    rejected = clean.rejected_sales(stored, as_of=TODAY, complete=True)
+    assert not [f for f in rejected.inputFiles() if str(tmp_path) in f]
+    assert sorted(rows(rejected, "is_duplicate", "is_negative_quantity", "is_null_customer", "is_null_order_key")) == [
+        (0, 0, 0, 1), (0, 0, 1, 0), (0, 1, 0, 0), (1, 0, 0, 0)]

@@ -203,3 +203,9 @@ def test_metrics_count_distinct_values_apart_from_the_totals(spark):
     plain = details.groupBy("product_id", "product_sk").agg(F.countDistinct("order_id"), F.countDistinct("customer_id"))
     assert rows(product_totals(details), "product_id", "product_sk", "total_orders", "unique_customers") == rows(plain)
     assert "total_orders" not in product_totals(details, counts=[]).columns
+
+
+def test_rank_tables_are_written_with_zstd(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "id string, a int")
+    files = global_rank(df, {"rank_a": "a"}, "id").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)

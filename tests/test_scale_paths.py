@@ -209,3 +209,101 @@ def test_rank_tables_are_written_with_zstd(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "id string, a int")
     files = global_rank(df, {"rank_a": "a"}, "id").inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def _lines(spark):
+    """Details as the library makes them, and some whose keys and measures are other ones."""
+    from martline.operators.details import with_measures
+
+    data = [(f"o{i}", i % 3, f"c{i % 5}", f"p{i % 4}", f"2024-0{i % 4 + 1}-05", i, i * 3, 1, None if i % 7 == 0 else i) for i in range(1, 40)]
+    names = "order_id string, line_item_id int, customer_id string, product_id string, day string, quantity int, p int, d int, c int"
+    money = {"unit_price": "p", "discount_amount": "d", "standard_cost": "c"}
+    lines = spark.createDataFrame(data, names).selectExpr(
+        "order_id", "line_item_id", "customer_id", "product_id", "CAST(nullif(day, '2024-04-05') AS date) AS order_date",
+        "CAST(day AS date) AS ship_date", "quantity", *[f"CAST({c} AS decimal(10,2)) AS {n}" for n, c in money.items()],
+        "md5(concat_ws('|', order_id, CAST(line_item_id AS string))) AS order_line_sk", "md5(customer_id) AS customer_sk",
+        "IF(product_id = 'p2', NULL, md5(product_id)) AS product_sk")
+    lines = with_measures(lines)
+    odd = F.col("quantity") % 5 == 0
+    return lines.withColumns({"net_revenue": F.when(~odd, F.col("net_revenue")),
+                              "customer_sk": F.when(odd, F.lit("odd")).otherwise(F.col("customer_sk"))})
+
+
+def test_measures_are_set_aside_and_put_back(spark):
+    from martline.functions.keys import put_back_values, set_aside_values
+    from martline.operators.details import MEASURES
+
+    lines = _lines(spark)
+    short = set_aside_values(lines, MEASURES)
+    assert not {*MEASURES.values()} & set(short.columns)
+    assert 0 < short.where("_odd_values IS NOT NULL").count() < short.count()
+    assert rows(put_back_values(short, MEASURES), *lines.columns) == rows(lines)
+    other = lines.withColumn("net_revenue", F.lit("text"))
+    assert set_aside_values(other, MEASURES).columns == other.columns
+    assert set_aside_values(lines.drop("standard_cost"), MEASURES).columns == lines.drop("standard_cost").columns
+
+
+def test_staged_details_hold_no_hashes_or_measures_and_read_as_they_were(spark):
+    from martline.operators.details import stage_details
+
+    lines = _lines(spark)
+    staged = stage_details(lines)
+    assert staged.columns == lines.columns and rows(staged) == rows(lines)
+    stored = spark.read.parquet(*staged.inputFiles()).columns
+    assert not {"order_line_sk", "customer_sk", "gross_profit", "profit_margin_pct"} & set(stored)
+    some = ["customer_id", "customer_sk", "net_revenue", "order_date"]
+    narrow = stage_details(lines, some)
+    assert rows(narrow) == rows(lines.select(*some))
+    assert not {"ship_date", "line_item_id", "product_id"} & set(spark.read.parquet(*narrow.inputFiles()).columns)
+
+
+def test_states_are_stored_without_hashes(spark, tmp_path):
+    import json
+
+    from martline.operators.details import HASHED, MEASURES
+    from martline.operators.metrics import customer_state
+    from martline.sources import files
+
+    lines, path = _lines(spark), str(tmp_path / "fact")
+    files.upsert_increment(lines, path, states={"customer": customer_state}, hashed=HASHED, derived=MEASURES)
+    stored = files.read_table(spark, path)
+    assert rows(stored, *lines.columns) == rows(lines)
+    plain = customer_state(stored)
+    assert rows(files.read_state(spark, path, "customer"), *plain.columns) == rows(plain)
+    manifest = json.loads((tmp_path / "fact" / "_MANIFEST").read_text())
+    for entry in manifest["months"].values():
+        assert "customer_sk" not in [f["name"] for f in entry["states"]["customer"]["fields"]]
+
+
+def test_shuffle_files_go_when_a_query_ends(spark, tmp_path):
+    from pathlib import Path
+
+    from martline.sources.staging import shuffles_freed
+
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+
+    def shuffled(name):
+        found = set(folder.parent.rglob("shuffle_*.data"))
+        spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).count().write.parquet(str(tmp_path / name))
+        return set(folder.parent.rglob("shuffle_*.data")) - found
+
+    assert shuffled("kept")
+    with shuffles_freed(spark):
+        assert not shuffled("freed")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+def test_wide_table_is_written_in_parts_of_whole_months(spark, tmp_path):
+    from martline.sources import files
+
+    lines, path = _lines(spark), str(tmp_path / "fact")
+    files.upsert_increment(lines, path)
+    fact = files.read_table(spark, path)
+    parts = files.in_parts(fact, 3)
+    assert len(parts) == 3 and len(files.in_parts(fact, 99)) == 4 and files.in_parts(fact, 1) == [fact]
+    months = [{r[0] for r in p.select("sale_month").distinct().collect()} for p in parts]
+    assert sum(map(len, months)) == len(set().union(*months)) == 4
+    written, version = files.write_version_in_parts(iter(parts), str(tmp_path / "wide"), files.MONTH)
+    assert rows(written, *fact.columns) == rows(fact)
+    assert rows(files.commit_version(written, str(tmp_path / "wide"), version)) == rows(files.load_table(spark, str(tmp_path / "wide")))

@@ -307,3 +307,48 @@ def test_wide_table_is_written_in_parts_of_whole_months(spark, tmp_path):
     written, version = files.write_version_in_parts(iter(parts), str(tmp_path / "wide"), files.MONTH)
     assert rows(written, *fact.columns) == rows(fact)
     assert rows(files.commit_version(written, str(tmp_path / "wide"), version)) == rows(files.load_table(spark, str(tmp_path / "wide")))
+
+
+def test_a_table_written_in_parts_is_the_one_written_whole(spark, tmp_path):
+    from martline.sources import files
+
+    lines = _lines(spark)
+    files.upsert_increment(lines, str(tmp_path / "whole"))
+    files.upsert_increment(lines, str(tmp_path / "parts"), parts=3)
+    whole, parts = (files.read_table(spark, str(tmp_path / name)) for name in ("whole", "parts"))
+    assert rows(parts) == rows(whole)
+    months = (files._read_manifest(spark, str(tmp_path / name))["months"] for name in ("whole", "parts"))
+    assert len({tuple(sorted((m, e["newest"], e["words"]) for m, e in found.items())) for found in months}) == 1
+
+
+def test_details_are_gone_before_the_wide_table_and_checks_run_one_by_one(spark, tmp_path, monkeypatch, raw_sales, raw_customers, raw_products):
+    from datetime import date, datetime
+
+    from martline.operators import quality
+    from martline.plans import build as building
+    from martline.plans import marts
+    from martline.sources import staging
+
+    raw = building.Raw(raw_customers({}), raw_products({}), raw_sales({}))
+    settings = building.Settings(root=str(tmp_path / "w"), as_of=date(2024, 6, 30), run_ts=datetime(2024, 6, 30, 2))
+    staged, there, asked = [], [], []
+    path_of, wide, gate = staging.new_path, marts.obt_sales, quality.run_gate
+    monkeypatch.setattr(staging, "new_path", lambda s, name: staged.append(path_of(s, name)) or staged[-1])
+    monkeypatch.setattr(marts, "obt_sales", lambda *a, **k: there.extend(p for p in staged if "/details-" in p and staging_exists(spark, p)) or wide(*a, **k))
+    monkeypatch.setattr(quality, "run_gate", lambda checks: asked.append(len(checks)) or gate(checks))
+    assert building.build(spark, raw, settings)["obt_sales"].count() == 1
+    assert any("/details-" in p for p in staged) and not there
+    assert set(asked) == {1}
+
+
+def staging_exists(spark, path):
+    from martline.sources.fs import exists
+
+    return exists(spark, path)
+
+
+def test_rows_are_as_often_as_a_join_returns_them(skewed, dimension):
+    from martline.operators.joins import as_often_as_joined
+
+    again = dimension.unionByName(dimension.where("key = 'hot' or key = 'k7'"))
+    assert rows(as_often_as_joined(skewed, again, "key"), *skewed.columns) == rows(skewed.join(again, "key", "left").select(*skewed.columns))

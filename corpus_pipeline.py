@@ -37,12 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every drawn document, with the check that they decode to its bytes."""
-    tokens = byte_bpe.encode(docs, RANKS, PATTERN)
-    back = byte_bpe.decode(tokens, RANKS, PATTERN)
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return back.select(
-        "doc_id", "source", "lang", (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"), "tokens", same.alias("round_trip")
-    )
+    tokens = byte_bpe.encode(docs, RANKS, PATTERN, checked="round_trip")
+    return tokens.select("doc_id", "source", "lang", (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"), "tokens", "round_trip")
 
 
 STAGES = [

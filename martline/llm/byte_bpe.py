@@ -16,7 +16,7 @@ that is named like the output column is replaced by it.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martline.llm.common import column
+from martline.llm.common import column, free_name
 
 LONG = 1 << 16
 #: The pattern whose white-space runs are known to be one match.
@@ -86,15 +86,46 @@ def decode_ids(ids: bytes | None, known: tiktoken.Encoding, step: int = LONG) ->
     return b"".join(known.decode_bytes(numbers[i : i + step].tolist()) for i in range(0, len(numbers), step))
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "tokens") -> DataFrame:
-    """``docs`` with binary ``into``: the ids of the whole text."""
+def _binary(values: Iterable[bytes]) -> pa.Array:
+    """A binary array, gathered in one buffer: a worker keeps what lists of a batch's values once took."""
+    data, ends = bytearray(), [0]
+    for value in values:
+        data += value
+        ends.append(len(data))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(data)])
+
+
+def encode(
+    docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "tokens", checked: str | None = None
+) -> DataFrame:
+    """``docs`` with binary ``into``: the ids of the whole text.
+
+    ``checked`` names a column that tells whether the ids decode to the bytes of the
+    text; the decoded bytes of one text at a time are held for it.
+    """
 
     @F.arrow_udf(T.BinaryType())
     def encoded(texts: pa.Array) -> pa.Array:
         known = encoding(ranks, pattern)
-        return pa.array([encode_text(t.as_py(), known) for t in texts], pa.binary())
+        return _binary(encode_text(t.as_py(), known) for t in texts)
+
+    @F.arrow_udf(T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("same", T.BooleanType())]))
+    def encoded_and_checked(texts: pa.Array) -> pa.Array:
+        known, same = encoding(ranks, pattern), []
+
+        def ids() -> Iterator[bytes]:
+            for t in texts:
+                found = encode_text(whole := t.as_py() or "", known)
+                same.append(decode_ids(found, known) == whole.encode())
+                yield found
+
+        return pa.StructArray.from_arrays([_binary(ids()), pa.array(same, pa.bool_())], names=["ids", "same"])
 
-    return docs.withColumn(into, encoded(column(text)))
+    if checked is None:
+        return docs.withColumn(into, encoded(column(text)))
+    both = free_name(docs, "encoded")
+    made = docs.withColumn(both, encoded_and_checked(column(text)))
+    return made.withColumns({into: column(both)["ids"], checked: column(both)["same"]}).drop(both)
 
 
 def decode(docs: DataFrame, ranks: str, pattern: str, tokens: str = "tokens", into: str = "decoded") -> DataFrame:
@@ -103,6 +134,6 @@ def decode(docs: DataFrame, ranks: str, pattern: str, tokens: str = "tokens", in
     @F.arrow_udf(T.BinaryType())
     def decoded(ids: pa.Array) -> pa.Array:
         known = encoding(ranks, pattern)
-        return pa.array([decode_ids(x.as_py(), known) for x in ids], pa.binary())
+        return _binary(decode_ids(x.as_py(), known) for x in ids)
 
     return docs.withColumn(into, decoded(column(tokens)))

@@ -162,7 +162,7 @@ def _linked(size: int, percent: int):
     @F.arrow_udf(T.BooleanType())
     def linked(left: pa.Array, right: pa.Array) -> pa.Array:
         out, last, last_set = [], None, None
-        for x, y in zip(left.to_pylist(), right.to_pylist()):
+        for x, y in ((x.as_py(), y.as_py()) for x, y in zip(left, right)):  # a pair at a time: a batch's texts twice over are large
             if x != last:
                 last, last_set = x, shingles(x, size)
             out.append(similar(last_set, shingles(y, size), percent))

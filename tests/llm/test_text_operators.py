@@ -106,6 +106,21 @@ def test_byte_bpe_equals_the_library_and_decodes_to_the_bytes(docs, real):
             assert bytes(r.decoded) == (r.text or "").encode()
 
 
+def test_byte_bpe_tells_whether_ids_decode_to_the_text(docs, real, monkeypatch):
+    for frame in (docs, real):
+        told = byte_bpe.encode(frame, RANKS, PATTERN, checked="same").select("doc_id", "tokens", "same").collect()
+        plain = byte_bpe.encode(frame, RANKS, PATTERN).select("doc_id", "tokens").collect()
+        assert all(r.same for r in told)
+        assert sorted((str(r.doc_id), bytes(r.tokens)) for r in told) == sorted((str(r.doc_id), bytes(r.tokens)) for r in plain)
+
+
+def test_byte_bpe_gathers_values_in_one_buffer():
+    import pyarrow as pa
+
+    for values in ([], [b""], [b"ab", b"", b"c" * 70_000]):
+        assert byte_bpe._binary(iter(values)).to_pylist() == pa.array(values, pa.binary()).to_pylist()
+
+
 def test_pieces_are_cut_at_safe_places_only():
     plain = byte_bpe.encoding(RANKS, PATTERN)
     for long in (1, 7, 100):

@@ -352,3 +352,50 @@ def test_rows_are_as_often_as_a_join_returns_them(skewed, dimension):
 
     again = dimension.unionByName(dimension.where("key = 'hot' or key = 'k7'"))
     assert rows(as_often_as_joined(skewed, again, "key"), *skewed.columns) == rows(skewed.join(again, "key", "left").select(*skewed.columns))
+
+
+def test_tables_are_stored_without_hashes_and_measures(spark, tmp_path):
+    from martline.operators.details import HASHED, MEASURES
+    from martline.sources import files
+
+    lines, made = _lines(spark), {*HASHED, *MEASURES.texts}
+    fact, version = str(tmp_path / "fact"), str(tmp_path / "version")
+    files.upsert_increment(lines, fact, hashed=HASHED, derived=MEASURES, parts=2)
+    written, name = files.write_version_in_parts([lines], version, None, hashed=HASHED, derived=MEASURES)
+    files.commit_version(written, version, name)
+    for stored in (files.read_table(spark, fact), written, files.load_table(spark, version)):
+        assert rows(stored, *lines.columns) == rows(lines)
+        assert [stored.schema[c].dataType for c in lines.columns] == [f.dataType for f in lines.schema]
+        assert not made & set(spark.read.option("recursiveFileLookup", "true").parquet(*stored.inputFiles()).columns)
+
+
+def test_details_written_in_parts_are_the_ones_written_whole(spark):
+    from martline.operators.details import stage_details
+    from martline.plans.build import _shares
+
+    lines = _lines(spark)
+    shares = _shares(lines, 3)
+    orders = [{r[0] for r in part.select("order_id").distinct().collect()} for part in shares]
+    assert sum(map(len, orders)) == len(set().union(*orders))
+    assert rows(stage_details(shares), *lines.columns) == rows(lines)
+
+
+def test_row_rules_add_up_over_the_parts_of_a_table(spark, tmp_path):
+    from martline.operators.quality import Watch
+    from martline.sources import files
+
+    watch = Watch("t", not_null=["x"])
+    part = spark.createDataFrame([(1, None), (2, "a")], "id int, x string")
+    files.write_version_in_parts([part, part], str(tmp_path / "t"), None, watch)
+    assert watch.seen() == {"t.x.not_null": 2}
+
+
+def test_keys_are_counted_one_by_one_only_in_full_buckets(spark, skewed, monkeypatch):
+    from martline.operators import joins
+
+    written, stage = [], joins.stage
+    monkeypatch.setattr(joins, "stage", lambda df, name: written.append(name) or stage(df, name))
+    even = spark.range(6400).select(F.col("id").cast("string").alias("key"))
+    assert not rows(staged_hot_keys(even, ["key"], pieces=8)["key"]) and written == ["key-buckets"]
+    assert rows(staged_hot_keys(skewed, ["key"], pieces=8)["key"]) == rows(hot_keys(skewed, "key", pieces=8))
+    assert written[1:] == ["key-buckets", "hot-keys"]

@@ -6,6 +6,7 @@ from conftest import TODAY, rows
 from pyspark.sql import functions as F
 
 from martline.operators import quality
+from martline.operators.details import stage_details
 from martline.operators.quality import GateError
 from martline.plans.build import Raw, Settings, build
 from martline.sources import files
@@ -104,3 +105,37 @@ def test_the_gate_reads_what_writes_have_counted(spark, tmp_path, raw, monkeypat
     monkeypatch.setattr(quality, "rules", lambda table, df, **c: quality.Check(quality.count_where(df, quality.Watch(table, **c).conditions).selectExpr("check", "'error' severity", "violations")))
     tables = build(spark, raw, _settings(tmp_path))
     assert tables["gate_report"].where("check = 'fact_sales.quantity.accepted'").first()["violations"] == 0
+
+
+def test_a_fact_written_anew_is_what_the_dimensions_are_measured_on(spark, tmp_path, raw, monkeypatch):
+    from martline.plans import build as building
+
+    staged = []
+    monkeypatch.setattr(building, "PART_BYTES", 1)
+    monkeypatch.setattr(building, "stage_details", lambda *a, **k: staged.append(a) or stage_details(*a, **k))
+    tables = build(spark, raw, _settings(tmp_path))
+    assert not staged
+    assert rows(tables["dim_customer"], "customer_id", "total_revenue") == [("C1", 18.0), ("C2", 18.0)]
+    assert rows(tables["dim_product"], "product_id", "total_units_sold") == [("P1", 4), ("P2", None)]
+    # An increment does not hold the lines of before, which the dimensions are measured on as well.
+    later = build(spark, raw, _settings(tmp_path, run_ts=datetime(2024, 7, 1, 2)))
+    assert len(staged) == 1
+    for name in ("dim_customer", "dim_product", "fact_sales", "obt_sales"):
+        columns = [c for c in tables[name].columns if c != "loaded_at"]
+        assert rows(later[name], *columns) == rows(tables[name], *columns)
+
+
+def test_rejects_and_gates_run_beside_the_writes_but_still_stop_the_build(spark, tmp_path, raw, monkeypatch):
+    from martline.plans import build as building
+
+    failed = quality.GateError({"made_up": 1})
+
+    def broken(*args, **kwargs):
+        raise failed
+
+    monkeypatch.setattr(building, "anomaly_checks", broken)
+    with pytest.raises(GateError):
+        build(spark, raw, _settings(tmp_path))
+    assert files.exists(spark, str(tmp_path / "w" / "obt_sales"))
+    for name in ("dim_customer", "dim_product", "obt_sales"):
+        assert not files.exists(spark, str(tmp_path / "w" / name / "_CURRENT"))

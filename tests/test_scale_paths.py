@@ -399,3 +399,58 @@ def test_keys_are_counted_one_by_one_only_in_full_buckets(spark, skewed, monkeyp
     assert not rows(staged_hot_keys(even, ["key"], pieces=8)["key"]) and written == ["key-buckets"]
     assert rows(staged_hot_keys(skewed, ["key"], pieces=8)["key"]) == rows(hot_keys(skewed, "key", pieces=8))
     assert written[1:] == ["key-buckets", "hot-keys"]
+
+
+def test_short_details_are_the_details_once_they_are_put_back(spark):
+    from martline.functions.keys import put_back, put_back_values
+    from martline.operators.details import HASHED, MEASURES, order_details, short_details
+
+    kind = "order_id string, line_item_id int, order_line_sk string, customer_id string, product_id string, quantity int, "
+    kind += "unit_price decimal(10,2), discount_amount decimal(10,2), loaded_at timestamp"
+    sales = spark.createDataFrame([("a", 1, "own", "c1", "p1", 2, None, None, None), ("b", None, None, None, "p2", 3, None, None, None),
+                                   ("c", 2, "x", "c9", None, None, None, None, None)], kind)
+    priced = {"unit_price": F.lit("7.50").cast("decimal(10,2)"), "discount_amount": F.lit("0.25").cast("decimal(10,2)")}
+    sales = sales.withColumns(priced).withColumn("order_line_sk", F.when(F.col("order_line_sk") == "own", F.md5(F.lit("a|1"))).otherwise(F.col("order_line_sk")))
+    products = spark.createDataFrame([("p1", "odd"), ("p2", None)], "product_id string, product_sk string").withColumns(
+        {"list_price": F.lit(9).cast("decimal(10,2)"), "standard_cost": F.lit(3).cast("decimal(10,2)")})
+    customers = spark.createDataFrame([("c1",)], "customer_id string").withColumn("customer_sk", F.md5("customer_id"))
+    short = short_details(sales, products, customers)
+    assert not {*HASHED, *MEASURES.texts} & set(short.columns)
+    whole = order_details(sales, products, customers)
+    for key, columns in HASHED.items():
+        short = put_back(short, key, columns)
+    assert rows(put_back_values(short, MEASURES), *whole.columns) == rows(whole)
+
+
+def test_keys_set_aside_are_checked_as_whole_ones(spark):
+    from martline.functions.keys import packed, packed_key, set_aside
+    from martline.operators import quality
+
+    dim = spark.createDataFrame([("c1",), ("c2",), ("c4",)], "customer_id string").select(F.md5("customer_id").alias("customer_sk"))
+    made = F.when(F.col("n") == 0, F.md5("customer_id")).when(F.col("n") == 1, F.md5(F.lit("c4"))).when(F.col("n") == 2, F.lit("none"))
+    records = [("c1", 0), ("c1", 0), ("c3", 0), ("c2", 1), ("c2", 2), ("c5", 3), (None, 0)]
+    fact = spark.createDataFrame(records, "customer_id string, n int").withColumn("customer_sk", made)
+    short = set_aside(fact, "customer_sk", ["customer_id"])
+    names = {"broken": "b", "orphan_keys": "k", "orphan_rows": "r", "made_of": ["customer_id"]}
+    counts = [rows(quality.foreign_key(df, "customer_sk", dim, "customer_sk", **names).counts) for df in (fact, short)]
+    assert counts[0] == counts[1] == [("b", quality.ERROR, 2), ("k", quality.WARN, 3), ("r", quality.WARN, 4)]
+    packed_rows = [rows(df.select(key.alias("key"))) for df, key in ((fact, packed(F.col("customer_sk"))), (short, packed_key(short, "customer_sk", ["customer_id"])))]
+    assert packed_rows[0] == packed_rows[1]
+
+
+def test_a_table_by_month_is_read_as_it_is_stored(spark, tmp_path):
+    from martline.functions.keys import put_back, put_back_values
+    from martline.operators.details import HASHED, MEASURES
+    from martline.sources import files
+
+    lines, stored, plain = _lines(spark), str(tmp_path / "stored"), str(tmp_path / "plain")
+    files.upsert_increment(lines, plain)
+    shares = [lines.where("quantity % 2 = 0"), lines.where("quantity % 2 <> 0 OR quantity IS NULL")]
+    files.upsert_increment(shares, stored, hashed=HASHED, derived=MEASURES)
+    assert rows(files.read_table(spark, stored), *lines.columns) == rows(lines)
+    for path in (stored, plain):  # a table that was stored whole is shortened when it is read
+        short = files.read_short(spark, path, HASHED, MEASURES)
+        assert not set(MEASURES.texts) & set(short.columns) and "order_line_sk" not in short.columns
+        for key, columns in HASHED.items():
+            short = put_back(short, key, columns)
+        assert rows(put_back_values(short, MEASURES), *lines.columns) == rows(lines)

@@ -454,3 +454,23 @@ def test_a_table_by_month_is_read_as_it_is_stored(spark, tmp_path):
         for key, columns in HASHED.items():
             short = put_back(short, key, columns)
         assert rows(put_back_values(short, MEASURES), *lines.columns) == rows(lines)
+
+
+def test_queries_on_details_give_the_same_rows_in_shares(spark, monkeypatch):
+    from conftest import TESTDATA
+
+    import workload
+    from martline.plans import build as building
+
+    cleanup = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    whole = {name: workload.QUERIES[name](spark, str(TESTDATA)) for name in ("order_details", "obt_sales")}
+    found = {name: rows(df, *sorted(df.columns)) for name, df in whole.items()}
+    monkeypatch.setattr(building, "SHARE_BYTES", 1)
+    monkeypatch.setattr(building, "MOST_QUERY_SHARES", 2)
+    assert len(workload._detail_shares(spark, str(TESTDATA), workload.BATCH_DAY, False)) == 2
+    for name, expected in found.items():
+        shared = workload.QUERIES[name](spark, str(TESTDATA))
+        assert rows(shared, *sorted(shared.columns)) == expected
+        # What is returned reads written rows, so no shuffle of lines stays on disk while it is read.
+        assert "Exchange" not in shared._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == cleanup
